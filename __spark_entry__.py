@@ -18,6 +18,7 @@ from touchline.operators.loads import select_load
 from touchline.operators.metrics import run_metrics
 from touchline.operators.quality import Check, count_failures, violations
 from touchline.plans import gold, layouts, marts, serving, silver, suites
+from touchline.session import tune_session
 from touchline.sources.bronze import read_bronze
 from touchline.sources.landing import land_files
 from touchline.sources.lake import Lake
@@ -33,7 +34,7 @@ OLDER_LOAD = "2024-01-01"
 
 
 def _raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    return raw_view(spark, sf_dir, source)
+    return raw_view(tune_session(spark), sf_dir, source)
 
 
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -14,14 +13,18 @@ TIME_FORMS = ("HH:mm", "HH:mm:ss")
 TIMESTAMP_FORMS = tuple(f"{date} {time}" for time in TIME_FORMS for date in DATE_FORMS)
 
 
+def _has_shape(value: Column, form: str) -> Column:
+    """Whether a text has the length of a form and its first separator in the same place."""
+    place = next(i for i, mark in enumerate(form) if not mark.isalpha())
+    return (F.length(value) == len(form)) & (F.substring(value, place + 1, 1) == form[place])
+
+
 def _routed(value: Column, forms: Sequence[str], parse: Callable[[Column, str], Column]) -> Column:
-    # A failed parse costs an exception per row. The separators left after taking the digits out tell
-    # the only form that can match, so each row is parsed once instead of falling through the list.
-    shape = F.translate(value, "0123456789", "")
+    # A failed parse costs an exception per row. All forms have fixed widths, so the shape of a text names the
+    # only one it can match: each row is parsed once instead of falling through the list.
     result = None
     for form in forms:
-        matches = shape == re.sub("[A-Za-z]", "", form)
-        result = (F if result is None else result).when(matches, parse(value, form))
+        result = (F if result is None else result).when(_has_shape(value, form), parse(value, form))
     return result
 
 

@@ -25,7 +25,7 @@ def digits_to_int(value: Column) -> Column:
 
 def decimal_text(value: Column) -> Column:
     """Read a number with ``,`` or ``.`` as decimal mark, ignoring any other characters."""
-    pointed = F.translate(value.cast("string"), ",", ".")
+    pointed = F.replace(value.cast("string"), F.lit(","), F.lit("."))
     return F.regexp_replace(pointed, "[^0-9.-]", "").try_cast("double")
 
 

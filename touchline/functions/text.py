@@ -12,7 +12,8 @@ NO_BREAK_SPACE = "\u00a0"
 
 def clean_text(value: Column) -> Column:
     """Turn no-break spaces into spaces, trim, and read an empty result as null."""
-    return F.nullif(F.trim(F.translate(value, NO_BREAK_SPACE, " ")), F.lit(""))
+    spaced = F.replace(value, F.lit(NO_BREAK_SPACE), F.lit(" "))
+    return F.nullif(F.trim(spaced), F.lit(""))
 
 
 def relabel(value: Column, spellings: Mapping[str, Sequence[str]]) -> Column:
