@@ -131,7 +131,8 @@ def build_manifest(
         for source, path in files.items()
     ]
     found = reduce(DataFrame.unionByName, facts).collect()
-    empty = [row["file_path"] for row in found if not row["lines"]]
+    # Spark lists no empty file, so a source of nothing else is missing here.
+    empty = sorted(files[source] for source in set(files) - {row["source"] for row in found})
     if empty:
         raise ValueError(f"no header in {empty}")
     spanning = _records_across_lines(spark, [unquote(r["file_path"]) for r in found if r["open_quotes"]])
