@@ -9,7 +9,8 @@ from touchline.plans import serving
 from touchline.sources import jdbc, landing
 from touchline.sources.bronze import load_date_of, load_dates, read_bronze, read_csv_text, with_lineage
 from touchline.sources.lake import Lake
-from touchline.sources.storage import shared_folder, staging_path
+from touchline.session import sized_shuffles
+from touchline.sources.storage import path_bytes, shared_folder, staging_path
 from touchline.sources.tables import read_table, spread, write_quarantine, write_table
 
 NOW = datetime(2024, 3, 5, 23, 30, tzinfo=timezone.utc)
@@ -216,3 +217,15 @@ def test_jdbc_write_hands_options_to_the_writer():
 
 def test_every_served_table_has_a_declared_key():
     assert list(serving.PRIMARY_KEYS) == [*serving.FACT_TABLES, *serving.MART_TABLES]
+
+
+def test_shuffles_grow_with_the_input_and_are_set_back(spark, tmp_path):
+    put(tmp_path / "d/deeper", "f.csv", "x" * 1000)
+    size = path_bytes(spark, str(tmp_path / "d"), str(tmp_path / "missing"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert size == 1000
+    with sized_shuffles(spark, size, bytes_per_partition=100) as partitions:
+        assert partitions == 10 and spark.conf.get("spark.sql.shuffle.partitions") == "10"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    with sized_shuffles(spark, size) as partitions:
+        assert partitions == int(before)

@@ -86,17 +86,10 @@ def number_occurrences(
     ]
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
-
-
-def _with_offset(
-    frame: DataFrame, totals: DataFrame, columns: Sequence[str], offset: str
-) -> DataFrame:
-    """Left side plus ``offset`` from a frame with one row per ``columns``; nulls are equal."""
-    return frame.join(totals, _same(frame, totals, columns), "inner").select(
-        *[frame[c] for c in frame.columns], totals[offset]
-    )
+def _join_null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str], added: str) -> DataFrame:
+    """Left rows plus ``added`` from a frame with one row per ``columns``; nulls are equal."""
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+    return left.join(right, same, "inner").select(*[left[c] for c in left.columns], right[added])
 
 
 def _number_in_pieces(
@@ -123,13 +116,16 @@ def _number_in_pieces(
 
     piece_totals = packed.groupBy(*slot).agg(F.sum("_copies").alias("_n"))
     run_totals = piece_totals.groupBy(*run).agg(F.sum("_n").alias("_n"))
-    run_offsets = run_totals.withColumn("_run_start", before(group, order_by, "_n")).drop("_n")
-    piece_offsets = piece_totals.withColumn("_piece_start", before(run, ["_piece"], "_n")).drop("_n")
+    run_starts = run_totals.withColumn("_run_start", before(group, order_by, "_n")).drop("_n")
+    piece_starts = piece_totals.withColumn("_piece_start", before(run, ["_piece"], "_n")).drop("_n")
+    # Only the totals are joined on the group; the rows are joined on their piece, which no task finds large.
+    starts = _join_null_safe(piece_starts, run_starts, run, "_run_start").select(
+        *slot, (F.col("_run_start") + F.col("_piece_start")).alias("_start")
+    )
 
     placed = packed.withColumn("_row_start", before(slot, payload or ["_copies"], "_copies"))
-    placed = _with_offset(placed, piece_offsets, slot, "_piece_start")
-    placed = _with_offset(placed, run_offsets, run, "_run_start")
-    first = F.col("_run_start") + F.col("_piece_start") + F.col("_row_start")
+    placed = _join_null_safe(placed, starts, slot, "_start")
+    first = F.col("_start") + F.col("_row_start")
 
     # Expand in two steps with a shuffle between, so one row's many copies are written by many tasks.
     step = F.lit(rows_per_task).cast("bigint")

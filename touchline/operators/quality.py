@@ -57,14 +57,18 @@ def repeated(name: str, *keys: str, ignore_null_keys: bool = False) -> GroupChec
     return GroupCheck(name, keys, lambda n: n > 1, ignore_null_keys=ignore_null_keys)
 
 
-def _row_counts(frame: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
-    return frame.agg(*[F.count_if(check.fails).alias(check.name) for check in checks])
+# Counts are named by position while they are computed, so that suites may share check names.
+Numbered = tuple[str, Check]
 
 
-def _key_chains(checks: Sequence[GroupCheck]) -> list[list[tuple[str, ...]]]:
+def _row_counts(frame: DataFrame, checks: Sequence[Numbered]) -> DataFrame:
+    return frame.agg(*[F.count_if(check.fails).alias(name) for name, check in checks])
+
+
+def _key_chains(checks: Sequence[Numbered]) -> list[list[tuple[str, ...]]]:
     """Distinct key sets, gathered into chains that each go from finer keys to a subset of them."""
     chains: list[list[tuple[str, ...]]] = []
-    for keys in sorted({check.keys for check in checks}, key=len, reverse=True):
+    for keys in sorted({check.keys for _, check in checks}, key=len, reverse=True):
         for chain in chains:
             if set(keys) < set(chain[-1]):
                 chain.append(keys)
@@ -75,54 +79,58 @@ def _key_chains(checks: Sequence[GroupCheck]) -> list[list[tuple[str, ...]]]:
 
 
 def _group_counts(
-    frame: DataFrame, chain: Sequence[tuple[str, ...]], checks: Sequence[GroupCheck]
+    frame: DataFrame, chain: Sequence[tuple[str, ...]], checks: Sequence[Numbered]
 ) -> DataFrame:
     """Failing groups per check. Coarser keys are counted from the finer groups, not from the rows."""
     groups = frame.groupBy(*chain[0]).agg(F.count(F.lit(1)).alias("_n"))
     done: list[str] = []
-    for level, keys in enumerate(chain):
-        here = [check for check in checks if check.keys == keys]
-        last = level == len(chain) - 1
-        failing = [F.count_if(check.failing("_n")).alias(check.name) for check in here]
-        if last:
-            return groups.agg(*failing, *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in done])
-        groups = groups.groupBy(*chain[level + 1]).agg(
-            F.sum("_n").alias("_n"), *failing, *[F.sum(c).alias(c) for c in done]
-        )
-        done += [check.name for check in here]
+    for keys, coarser in zip(chain, [*chain[1:], None]):
+        here = [(name, check) for name, check in checks if check.keys == keys]
+        failing = [F.count_if(check.failing("_n")).alias(name) for name, check in here]
+        failing += [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in done]
+        if coarser is None:
+            return groups.agg(*failing)
+        groups = groups.groupBy(*coarser).agg(F.sum("_n").alias("_n"), *failing)
+        done += [name for name, _ in here]
     raise ValueError("no group keys")
 
 
-def _lines(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row of named counts to one row per check."""
+def _lines(counts: DataFrame, checks: Sequence[Numbered]) -> DataFrame:
+    """One row of counts to one row per check."""
     entries = [
         F.struct(
+            F.lit(int(name.removeprefix("c"))).alias("position"),
             F.lit(check.name).alias("check_name"),
             F.lit(check.severity).alias("severity"),
-            F.col(check.name).cast("bigint").alias("invalid_count"),
+            F.col(name).cast("bigint").alias("invalid_count"),
         )
-        for check in checks
+        for name, check in checks
     ]
     return counts.select(F.inline(F.array(*entries)))
 
 
-def count_failures(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Rows (check_name, severity, invalid_count), one per check."""
+def _positioned_counts(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    numbered = [(f"c{i}", check) for i, check in enumerate(checks)]
     parts = []
-    rows = [check for check in checks if isinstance(check, RowCheck)]
+    rows = [(name, check) for name, check in numbered if isinstance(check, RowCheck)]
     if rows:
         parts.append(_lines(_row_counts(frame, rows), rows))
-    grouped = [check for check in checks if isinstance(check, GroupCheck)]
+    grouped = [(name, check) for name, check in numbered if isinstance(check, GroupCheck)]
     for chain in _key_chains(grouped):
-        members = [check for check in grouped if check.keys in chain]
+        members = [(name, check) for name, check in grouped if check.keys in chain]
         parts.append(_lines(_group_counts(frame, chain, members), members))
-    for check in checks:
+    for name, check in numbered:
         if isinstance(check, FrameCheck):
-            counted = check.violations.agg(F.count(F.lit(1)).alias(check.name))
-            parts.append(_lines(counted, [check]))
+            counted = check.violations.agg(F.count(F.lit(1)).alias(name))
+            parts.append(_lines(counted, [(name, check)]))
     return reduce(DataFrame.unionByName, parts)
 
 
+def count_failures(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Rows (check_name, severity, invalid_count), one per check."""
+    return _positioned_counts(frame, checks).drop("position")
+
+
 def violations(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Every failing row or group once per check it fails, with ``check_name``.
 
@@ -188,23 +196,39 @@ class QualityError(ValueError):
         super().__init__("\n- ".join([f"{report.suite} failed its quality checks:", *lines]))
 
 
-_ROWS = "_rows"
-
+@dataclass(frozen=True)
+class Suite:
+    """Named checks, whether they gate, and how many records to sample per failing check."""
 
-def build_report(
-    suite: str, frame: DataFrame, checks: Sequence[Check], sample_limit: int = 0
-) -> Report:
-    """Run a suite. With ``sample_limit``, each failing check also brings that many failing records."""
-    everything = [RowCheck(_ROWS, F.lit(True)), *checks]
-    counts = {row["check_name"]: row["invalid_count"] for row in count_failures(frame, everything).collect()}
-    results = []
-    for check in checks:
-        count = counts[check.name]
-        sample = []
-        if sample_limit and count:
-            sample = [row.asDict() for row in failing_frame(frame, check).limit(sample_limit).collect()]
-        results.append(CheckResult(check.name, check.severity, count, sample))
-    return Report(suite, counts[_ROWS], results)
+    name: str
+    checks: Sequence[Check]
+    gate: bool = True
+    quarantine: bool = False
+    sample_limit: int = 0
+
+
+def build_reports(frame: DataFrame, suites: Sequence[Suite]) -> list[Report]:
+    """Run several suites over one table together: one scan for all their row checks, one per chain of keys."""
+    checks: list[Check] = [RowCheck("rows", F.lit(True)), *[check for suite in suites for check in suite.checks]]
+    counted = {row["position"]: row["invalid_count"] for row in _positioned_counts(frame, checks).collect()}
+    reports, position = [], 1
+    for suite in suites:
+        results = []
+        for check in suite.checks:
+            count = counted[position]
+            position += 1
+            sample = []
+            if suite.sample_limit and count:
+                failing = failing_frame(frame, check).limit(suite.sample_limit)
+                sample = [row.asDict() for row in failing.collect()]
+            results.append(CheckResult(check.name, check.severity, count, sample))
+        reports.append(Report(suite.name, counted[0], results))
+    return reports
+
+
+def build_report(name: str, frame: DataFrame, checks: Sequence[Check], sample_limit: int = 0) -> Report:
+    """Run one suite. With ``sample_limit``, each failing check also brings that many failing records."""
+    return build_reports(frame, [Suite(name, checks, sample_limit=sample_limit)])[0]
 
 
 def require_no_critical(report: Report) -> Report:

@@ -18,14 +18,16 @@ from touchline.operators.metrics import run_metrics
 from touchline.operators.quality import (
     Check,
     Report,
-    build_report,
+    Suite,
+    build_reports,
     require_no_critical,
     violations,
 )
 from touchline.plans import gold, marts, silver, suites
-from touchline.sources.bronze import read_bronze
+from touchline.session import sized_shuffles, tune_session
+from touchline.sources.bronze import latest_load, read_bronze
 from touchline.sources.lake import Lake
-from touchline.sources.storage import staging_path
+from touchline.sources.storage import path_bytes, staging_path
 from touchline.sources.tables import read_table, write_quarantine, write_table
 
 SAMPLE_LIMIT = 20
@@ -40,15 +42,6 @@ class StepResult:
     reports: tuple[Report, ...] = ()
 
 
-@dataclass(frozen=True)
-class Suite:
-    name: str
-    checks: Sequence[Check]
-    gate: bool = True
-    quarantine: bool = False
-    sample_limit: int = 0
-
-
 def _metrics(frame: DataFrame, distinct: Mapping[str, str]) -> dict[str, int]:
     return run_metrics(frame, distinct).first().asDict()
 
@@ -61,14 +54,12 @@ def _stage(spark: SparkSession, lake: Lake, name: str, frame: DataFrame) -> Data
 
 def _check(table: DataFrame, lake: Lake, dataset: str, planned: Sequence[Suite], run_date: str) -> list[Report]:
     """Run the suites, quarantine what they ask for, then raise on the first failing gate."""
-    reports = []
-    for suite in planned:
-        report = build_report(suite.name, table, suite.checks, suite.sample_limit)
+    reports = build_reports(table, planned)
+    for suite, report in zip(planned, reports):
         failing = {result.check_name for result in report.failing()}
         if suite.quarantine and failing:
             failed = [check for check in suite.checks if check.name in failing]
             write_quarantine(violations(table, failed), lake.quarantine(dataset), run_date)
-        reports.append(report)
     for suite, report in zip(planned, reports):
         if suite.gate:
             require_no_critical(report)
@@ -99,53 +90,83 @@ def _finish(
 _MATCHES_AND_SEASONS = {"distinct_matches": "match_id", "distinct_seasons": "season"}
 
 
+def _silver_matches_table(spark: SparkSession, lake: Lake, *columns: str) -> DataFrame:
+    return read_table(spark, lake.silver_table("matches"), columns)
+
+
+def _build_silver(
+    spark: SparkSession,
+    lake: Lake,
+    source: str,
+    load_date: str | None,
+    transform: Callable[[DataFrame], DataFrame],
+    suites_of: Callable[[DataFrame], Sequence[Suite]],
+    distinct: Mapping[str, str],
+    publish_first: bool = False,
+) -> StepResult:
+    """Compute a cleaned table once, check it, publish it."""
+    tune_session(spark)
+    chosen = latest_load(spark, lake, source, load_date)
+    dataset = f"silver_{source}"
+    with sized_shuffles(spark, path_bytes(spark, lake.raw_load(source, chosen))):
+        staged = _stage(spark, lake, dataset, transform(read_bronze(spark, lake, source, chosen)))
+        path = lake.silver_table(source)
+        return _finish(spark, lake, dataset, path, staged, suites_of(staged), distinct, publish_first)
+
+
 def build_silver_matches(
     spark: SparkSession, lake: Lake, load_date: str | None = None, publish_first: bool = False
 ) -> StepResult:
-    table = silver.silver_matches(read_bronze(spark, lake, "matches", load_date))
-    staged = _stage(spark, lake, "silver_matches", table)
-    planned = [
-        Suite("silver.matches gate", suites.silver_matches_gate()),
-        Suite("silver.matches", suites.silver_matches(), quarantine=True, sample_limit=SAMPLE_LIMIT),
-    ]
-    path = lake.silver_table("matches")
-    seasons = {"distinct_seasons": "season"}
-    return _finish(spark, lake, "silver_matches", path, staged, planned, seasons, publish_first)
-
+    def planned(_: DataFrame) -> list[Suite]:
+        return [
+            Suite("silver.matches gate", suites.silver_matches_gate()),
+            Suite("silver.matches", suites.silver_matches(), quarantine=True, sample_limit=SAMPLE_LIMIT),
+        ]
 
-def _silver_matches_table(spark: SparkSession, lake: Lake, *columns: str) -> DataFrame:
-    return read_table(spark, lake.silver_table("matches"), columns)
+    seasons = {"distinct_seasons": "season"}
+    return _build_silver(
+        spark, lake, "matches", load_date, silver.silver_matches, planned, seasons, publish_first
+    )
 
 
 def build_silver_goals(spark: SparkSession, lake: Lake, load_date: str | None = None) -> StepResult:
     """The suite reports and never raises."""
     matches = _silver_matches_table(spark, lake, *silver.EVENT_MATCH_COLUMNS, "total_goals")
-    table = silver.silver_goals(read_bronze(spark, lake, "goals", load_date), matches)
-    staged = _stage(spark, lake, "silver_goals", table)
-    planned = [Suite("silver.goals", suites.silver_goals(staged, matches), gate=False)]
-    path = lake.silver_table("goals")
-    return _finish(spark, lake, "silver_goals", path, staged, planned, _MATCHES_AND_SEASONS)
+
+    def planned(goals: DataFrame) -> list[Suite]:
+        return [Suite("silver.goals", suites.silver_goals(goals, matches), gate=False)]
+
+    def transform(raw: DataFrame) -> DataFrame:
+        return silver.silver_goals(raw, matches)
+
+    return _build_silver(spark, lake, "goals", load_date, transform, planned, _MATCHES_AND_SEASONS)
 
 
 def build_silver_cards(spark: SparkSession, lake: Lake, load_date: str | None = None) -> StepResult:
     """The suite reports and never raises."""
     matches = _silver_matches_table(spark, lake, *silver.EVENT_MATCH_COLUMNS)
-    table = silver.silver_cards(read_bronze(spark, lake, "cards", load_date), matches)
-    staged = _stage(spark, lake, "silver_cards", table)
-    planned = [Suite("silver.cards", suites.silver_cards(), gate=False)]
-    path = lake.silver_table("cards")
-    return _finish(spark, lake, "silver_cards", path, staged, planned, _MATCHES_AND_SEASONS)
+
+    def planned(_: DataFrame) -> list[Suite]:
+        return [Suite("silver.cards", suites.silver_cards(), gate=False)]
+
+    def transform(raw: DataFrame) -> DataFrame:
+        return silver.silver_cards(raw, matches)
+
+    return _build_silver(spark, lake, "cards", load_date, transform, planned, _MATCHES_AND_SEASONS)
 
 
 def build_silver_match_statistics(
     spark: SparkSession, lake: Lake, load_date: str | None = None
 ) -> StepResult:
     matches = _silver_matches_table(spark, lake, *silver.STATISTICS_MATCH_COLUMNS)
-    raw = read_bronze(spark, lake, "match_statistics", load_date)
-    staged = _stage(spark, lake, "silver_match_statistics", silver.silver_match_statistics(raw, matches))
-    planned = [Suite("silver.match_statistics", suites.silver_match_statistics())]
-    path = lake.silver_table("match_statistics")
-    return _finish(spark, lake, "silver_match_statistics", path, staged, planned, _MATCHES_AND_SEASONS)
+
+    def planned(_: DataFrame) -> list[Suite]:
+        return [Suite("silver.match_statistics", suites.silver_match_statistics())]
+
+    def transform(raw: DataFrame) -> DataFrame:
+        return silver.silver_match_statistics(raw, matches)
+
+    return _build_silver(spark, lake, "match_statistics", load_date, transform, planned, _MATCHES_AND_SEASONS)
 
 
 def _build_fact(
@@ -158,9 +179,12 @@ def _build_fact(
     distinct: Mapping[str, str],
 ) -> StepResult:
     """A fact is a projection of a table already laid out by season: nothing to stage, nothing to shuffle."""
-    table = transform(require_rows(read_table(spark, lake.silver_table(source)), f"silver.{source}"))
+    tune_session(spark)
+    path = lake.silver_table(source)
+    table = transform(require_rows(read_table(spark, path), f"silver.{source}"))
     planned = [Suite(f"gold.{name}", checks)]
-    return _finish(spark, lake, name, lake.gold_table(name), table, planned, distinct)
+    with sized_shuffles(spark, path_bytes(spark, path)):
+        return _finish(spark, lake, name, lake.gold_table(name), table, planned, distinct)
 
 
 def build_fact_matches(spark: SparkSession, lake: Lake) -> StepResult:
@@ -192,10 +216,12 @@ def build_fact_team_match_statistics(spark: SparkSession, lake: Lake) -> StepRes
 def _build_mart(
     spark: SparkSession, lake: Lake, name: str, transform: Callable[..., DataFrame], *sources: str
 ) -> StepResult:
-    facts = [read_table(spark, lake.gold_table(source)) for source in sources]
-    table = transform(*facts)
+    tune_session(spark)
+    paths = [lake.gold_table(source) for source in sources]
+    table = transform(*[read_table(spark, path) for path in paths])
     path = lake.mart(name)
-    write_table(table, path)
+    with sized_shuffles(spark, path_bytes(spark, *paths)):
+        write_table(table, path)
     return StepResult(path, _metrics(read_table(spark, path, schema=table.schema), {}))
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -35,3 +39,25 @@ def tune_session(spark: SparkSession) -> SparkSession:
     key = "spark.sql.codegen.hugeMethodLimit"
     spark.conf.set(key, DEFAULTS[key])
     return spark
+
+
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+BYTES_PER_PARTITION = 128 << 20
+
+
+@contextmanager
+def sized_shuffles(
+    spark: SparkSession, input_bytes: int, bytes_per_partition: int = BYTES_PER_PARTITION
+) -> Iterator[int]:
+    """Raise the number of shuffle partitions to fit an input, for the work done inside.
+
+    Adaptive execution merges partitions that turn out small but does not add any, so a default of 200 would
+    put hundreds of gigabytes of a large load into each task.
+    """
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    partitions = max(int(before), math.ceil(input_bytes / bytes_per_partition))
+    spark.conf.set(SHUFFLE_PARTITIONS, str(partitions))
+    try:
+        yield partitions
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)

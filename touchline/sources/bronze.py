@@ -49,6 +49,14 @@ def load_dates(spark: SparkSession, lake: Lake, source: str) -> list[str]:
     return [match.group(1) for match in found if match]
 
 
+def latest_load(spark: SparkSession, lake: Lake, source: str, load_date: str | None = None) -> str:
+    """The given load date if the source has it, else its latest."""
+    dates = load_dates(spark, lake, source)
+    if not dates:
+        raise ValueError(f"no files for source {source}")
+    return choose_load_date(dates, load_date)
+
+
 def read_bronze(
     spark: SparkSession,
     lake: Lake,
@@ -61,10 +69,7 @@ def read_bronze(
     The load is chosen from directory names and only its directory is read, so older loads cost nothing and
     a different column order in one of them cannot mix up this one.
     """
-    dates = load_dates(spark, lake, source)
-    if not dates:
-        raise ValueError(f"no files for source {source}")
-    chosen = choose_load_date(dates, load_date)
+    chosen = latest_load(spark, lake, source, load_date)
     raw = read_csv_text(spark, lake.raw_load(source, chosen), encoding)
     require_rows(raw, f"source {source}, load date {chosen}")
     return raw.select(

@@ -14,20 +14,32 @@ def join_path(*parts: str) -> str:
     return "/".join([parts[0].rstrip("/"), *[part.strip("/") for part in parts[1:]]])
 
 
+def _open(spark: SparkSession, path: str):
+    """A path and the file system it is on."""
+    located = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return located, located.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    located, files = _open(spark, path)
+    return files.exists(located)
+
+
 def child_directories(spark: SparkSession, path: str) -> list[str]:
     """Names of the directories directly under a path; empty if the path does not exist."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(root):
+    located, files = _open(spark, path)
+    if not files.exists(located):
         return []
-    return sorted(entry.getPath().getName() for entry in files.listStatus(root) if entry.isDirectory())
+    return sorted(entry.getPath().getName() for entry in files.listStatus(located) if entry.isDirectory())
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
+def path_bytes(spark: SparkSession, *paths: str) -> int:
+    """Stored size of some paths."""
+    total = 0
+    for path in paths:
+        located, files = _open(spark, path)
+        total += files.getContentSummary(located).getLength() if files.exists(located) else 0
+    return total
 
 
 def shared_folder(spark: SparkSession) -> str:
