@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.integrity import key_report, orphans
-from touchline.operators.layout import rename_resolved
+from touchline.operators.layout import project, rename_resolved
 from touchline.operators.loads import select_load
 from touchline.operators.metrics import run_metrics
 from touchline.operators.quality import Check, count_failures, violations
@@ -33,60 +33,77 @@ PLACES = 9
 OLDER_LOAD = "2024-01-01"
 
 
-def _raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    return raw_view(tune_session(spark), sf_dir, source)
+class Tables:
+    """The pipeline's tables over one scale-factor directory.
 
+    With ``keep``, each cleaned table is computed once into the shared folder and read back: for queries that
+    pass over a table more than once. Without it, a table is a plan that Spark prunes to what the query needs.
+    """
 
-def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_matches(select_load(_raw(spark, sf_dir, "matches")))
+    def __init__(self, spark: SparkSession, sf_dir: str, keep: str | None = None):
+        self.spark = tune_session(spark)
+        self.sf_dir = sf_dir
+        self.keep = keep
+        self.kept: dict[str, DataFrame] = {}
 
+    def raw(self, source: str) -> DataFrame:
+        return raw_view(self.spark, self.sf_dir, source)
 
-def _goals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_goals(_raw(spark, sf_dir, "goals"), _matches(spark, sf_dir))
+    def _silver(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if self.keep is None:
+            return build()
+        if name not in self.kept:
+            frame = build()
+            path = staging_path(self.spark, self.sf_dir, self.keep, name)
+            frame.write.mode("overwrite").parquet(path)
+            self.kept[name] = self.spark.read.schema(frame.schema).parquet(path)
+        return self.kept[name]
 
+    def silver_matches(self) -> DataFrame:
+        return self._silver("matches", lambda: silver.silver_matches(select_load(self.raw("matches"))))
 
-def _cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_cards(_raw(spark, sf_dir, "cards"), _matches(spark, sf_dir))
+    def silver_goals(self) -> DataFrame:
+        return self._silver("goals", lambda: silver.silver_goals(self.raw("goals"), self.silver_matches()))
 
+    def silver_cards(self) -> DataFrame:
+        return self._silver("cards", lambda: silver.silver_cards(self.raw("cards"), self.silver_matches()))
 
-def _statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_match_statistics(_raw(spark, sf_dir, "match_statistics"), _matches(spark, sf_dir))
-
-
-def _fact_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.fact_matches(_matches(spark, sf_dir))
-
-
-def _fact_goals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.fact_goals(_goals(spark, sf_dir))
-
-
-def _fact_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.fact_cards(_cards(spark, sf_dir))
-
+    def silver_match_statistics(self) -> DataFrame:
+        return self._silver(
+            "match_statistics",
+            lambda: silver.silver_match_statistics(self.raw("match_statistics"), self.silver_matches()),
+        )
 
-def _fact_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.fact_team_match_statistics(_statistics(spark, sf_dir))
+    def fact_matches(self) -> DataFrame:
+        return gold.fact_matches(self.silver_matches())
 
+    def fact_goals(self) -> DataFrame:
+        return gold.fact_goals(self.silver_goals())
 
-def _season_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.team_season_summary(_fact_statistics(spark, sf_dir))
+    def fact_cards(self) -> DataFrame:
+        return gold.fact_cards(self.silver_cards())
 
+    def fact_team_match_statistics(self) -> DataFrame:
+        return gold.fact_team_match_statistics(self.silver_match_statistics())
 
-def _side_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.team_home_away_summary(_fact_statistics(spark, sf_dir))
+    def team_season_summary(self) -> DataFrame:
+        return marts.team_season_summary(self.fact_team_match_statistics())
 
+    def team_home_away_summary(self) -> DataFrame:
+        return marts.team_home_away_summary(self.fact_team_match_statistics())
 
-def _scorers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.top_scorers_by_season(_fact_goals(spark, sf_dir))
+    def top_scorers_by_season(self) -> DataFrame:
+        return marts.top_scorers_by_season(self.fact_goals())
 
+    def team_discipline_summary(self) -> DataFrame:
+        return marts.team_discipline_summary(self.fact_cards(), self.fact_team_match_statistics())
 
-def _discipline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.team_discipline_summary(_fact_cards(spark, sf_dir), _fact_statistics(spark, sf_dir))
+    def home_away_wide(self) -> DataFrame:
+        return marts.home_away_wide(self.team_home_away_summary())
 
 
-def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.home_away_wide(_side_summary(spark, sf_dir))
+def _table(name: str) -> Query:
+    return lambda spark, sf_dir: getattr(Tables(spark, sf_dir), name)()
 
 
 def _rounded(query: Query) -> Query:
@@ -99,85 +116,87 @@ def _rounded(query: Query) -> Query:
     return run
 
 
-def _served(table: str, query: Query) -> Query:
-    return lambda spark, sf_dir: serving.declared_shape(table, query(spark, sf_dir))
+def _served(table: str) -> Query:
+    return lambda spark, sf_dir: serving.declared_shape(table, _table(table)(spark, sf_dir))
 
 
-def _checked(query: Query, checks: Callable[[], list[Check]]) -> Query:
-    return lambda spark, sf_dir: count_failures(query(spark, sf_dir), checks())
+def _checked(table: str, checks: Callable[[], list[Check]], keep: bool = True) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = Tables(spark, sf_dir, keep=f"dq_{table}" if keep else None)
+        return count_failures(getattr(tables, table)(), checks())
+
+    return run
 
 
 def _checked_goals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    goals = _goals(spark, sf_dir)
-    return count_failures(goals, suites.silver_goals(goals, _matches(spark, sf_dir)))
+    tables = Tables(spark, sf_dir, keep="dq_silver_goals")
+    goals = tables.silver_goals()
+    return count_failures(goals, suites.silver_goals(goals, tables.silver_matches()))
 
 
 def _resolved_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rename_resolved(_raw(spark, sf_dir, "cards"), layouts.CARDS)
+    return rename_resolved(Tables(spark, sf_dir).raw("cards"), layouts.CARDS)
 
 
 def _load(wanted: str | None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        chosen = select_load(_raw(spark, sf_dir, "matches"), wanted)
+        chosen = select_load(Tables(spark, sf_dir).raw("matches"), wanted)
         return chosen.select(F.col("ID").alias("match_key"), F.col("_load_date").alias("load_date"))
 
     return run
 
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failing = violations(_matches(spark, sf_dir), suites.silver_matches())
+    matches = Tables(spark, sf_dir, keep="dq_quarantine").silver_matches()
     path = staging_path(spark, sf_dir, "quarantine")
-    write_quarantine(failing, path, run_date="2024-01-02")
+    write_quarantine(violations(matches, suites.silver_matches()), path, run_date="2024-01-02")
     return spark.read.parquet(path).select("check_name", "match_id")
 
 
 def _unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {
-        "fact_matches": _fact_matches,
-        "fact_goals": _fact_goals,
-        "fact_cards": _fact_cards,
-        "team_season_summary": _season_summary,
-        "team_home_away_summary": _wide,
-        "top_scorers_by_season": _scorers,
-        "team_discipline_summary": _discipline,
-    }
-    reports = [
-        key_report(query(spark, sf_dir), name, serving.PRIMARY_KEYS[name]) for name, query in tables.items()
-    ]
+    tables = Tables(spark, sf_dir, keep="dq_unique_keys")
+    keyed = {name: getattr(tables, name) for name in serving.PRIMARY_KEYS}
+    keyed["team_home_away_summary"] = tables.home_away_wide
+    reports = [key_report(table(), name, serving.PRIMARY_KEYS[name]) for name, table in keyed.items()]
     return reduce(DataFrame.unionByName, reports)
 
 
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matches = _fact_matches(spark, sf_dir)
+    # An orphan depends on nothing but the key, so the typed events are enough: no join to matches before this one.
+    tables = Tables(spark, sf_dir)
+    matches = tables.fact_matches()
     parts = [
-        orphans(query(spark, sf_dir), matches, "match_id").select(F.lit(name).alias("table_name"), "*")
-        for name, query in (("fact_goals", _fact_goals), ("fact_cards", _fact_cards))
+        orphans(project(tables.raw(source), [layouts.MATCH_KEY]), matches, "match_id").select(
+            F.lit(name).alias("table_name"), "*"
+        )
+        for name, source in (("fact_goals", "goals"), ("fact_cards", "cards"))
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
 def _reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suites.goal_reconciliation(_goals(spark, sf_dir), _matches(spark, sf_dir))
+    tables = Tables(spark, sf_dir)
+    return suites.goal_reconciliation(tables.silver_goals(), tables.silver_matches())
 
 
 def _run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {
-        "silver_matches": (_matches, "home_team"),
-        "silver_goals": (_goals, "team"),
-        "silver_cards": (_cards, "team"),
-        "silver_match_statistics": (_statistics, "team"),
-    }
+    tables = Tables(spark, sf_dir)
     parts = []
-    for name, (query, team) in tables.items():
+    for name, team in (
+        ("silver_matches", "home_team"),
+        ("silver_goals", "team"),
+        ("silver_cards", "team"),
+        ("silver_match_statistics", "team"),
+    ):
         distinct = {"distinct_matches": "match_id", "distinct_seasons": "season", "distinct_teams": team}
-        parts.append(run_metrics(query(spark, sf_dir), distinct).select(F.lit(name).alias("table_name"), "*"))
+        parts.append(run_metrics(getattr(tables, name)(), distinct).select(F.lit(name).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
 def _bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write both loads as raw CSV, then read the latest back."""
     lake = Lake(staging_path(spark, sf_dir, "bronze_roundtrip"))
-    raw = _raw(spark, sf_dir, "matches").drop("_source_file").withColumnRenamed("_load_date", "load_date")
+    raw = Tables(spark, sf_dir).raw("matches").drop("_source_file").withColumnRenamed("_load_date", "load_date")
     (
         raw.write.mode("overwrite")
         .partitionBy("load_date")
@@ -192,10 +211,10 @@ def _bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write each source as CSV files, land them, and sum the manifest per source."""
     work = staging_path(spark, sf_dir, "file_manifest")
-    files = {}
+    tables, files = Tables(spark, sf_dir), {}
     for source in RAW:
         files[source] = join_path(work, "inbox", source)
-        text = _raw(spark, sf_dir, source).drop("_source_file", "_load_date")
+        text = tables.raw(source).drop("_source_file", "_load_date")
         text.write.mode("overwrite").option("header", True).csv(files[source])
     manifest = land_files(spark, Lake(join_path(work, "lake")), files)
     return manifest.groupBy("source_name", "column_count", "encoding").agg(F.sum("row_count").alias("row_count"))
@@ -203,39 +222,41 @@ def _file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """The season table per team, from raw text to mart."""
-    return _rounded(_season_summary)(spark, "/root/testdata/sf0.001")
+    return _rounded(_table("team_season_summary"))(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
     return {
-        "silver_matches": _matches,
-        "silver_goals": _goals,
-        "silver_cards": _cards,
-        "silver_match_statistics": _statistics,
-        "fact_matches": _fact_matches,
-        "fact_goals": _fact_goals,
-        "fact_cards": _fact_cards,
-        "fact_team_match_statistics": _fact_statistics,
-        "team_season_summary": _rounded(_season_summary),
-        "team_home_away_summary": _rounded(_side_summary),
-        "top_scorers_by_season": _rounded(_scorers),
-        "team_discipline_summary": _rounded(_discipline),
-        "home_away_wide": _wide,
-        "serving_fact_matches": _served("fact_matches", _fact_matches),
-        "serving_fact_goals": _served("fact_goals", _fact_goals),
-        "serving_fact_cards": _served("fact_cards", _fact_cards),
-        "serving_team_season": _served("team_season_summary", _season_summary),
-        "serving_scorers": _served("top_scorers_by_season", _scorers),
-        "serving_discipline": _served("team_discipline_summary", _discipline),
-        "dq_silver_matches_gate": _checked(_matches, suites.silver_matches_gate),
-        "dq_silver_matches": _checked(_matches, suites.silver_matches),
+        "silver_matches": _table("silver_matches"),
+        "silver_goals": _table("silver_goals"),
+        "silver_cards": _table("silver_cards"),
+        "silver_match_statistics": _table("silver_match_statistics"),
+        "fact_matches": _table("fact_matches"),
+        "fact_goals": _table("fact_goals"),
+        "fact_cards": _table("fact_cards"),
+        "fact_team_match_statistics": _table("fact_team_match_statistics"),
+        "team_season_summary": _rounded(_table("team_season_summary")),
+        "team_home_away_summary": _rounded(_table("team_home_away_summary")),
+        "top_scorers_by_season": _rounded(_table("top_scorers_by_season")),
+        "team_discipline_summary": _rounded(_table("team_discipline_summary")),
+        "home_away_wide": _table("home_away_wide"),
+        "serving_fact_matches": _served("fact_matches"),
+        "serving_fact_goals": _served("fact_goals"),
+        "serving_fact_cards": _served("fact_cards"),
+        "serving_team_season": _served("team_season_summary"),
+        "serving_scorers": _served("top_scorers_by_season"),
+        "serving_discipline": _served("team_discipline_summary"),
+        "dq_silver_matches_gate": _checked("silver_matches", suites.silver_matches_gate, keep=False),
+        "dq_silver_matches": _checked("silver_matches", suites.silver_matches, keep=False),
         "dq_silver_goals": _checked_goals,
-        "dq_silver_cards": _checked(_cards, suites.silver_cards),
-        "dq_silver_match_statistics": _checked(_statistics, suites.silver_match_statistics),
-        "dq_fact_matches": _checked(_fact_matches, suites.fact_matches),
-        "dq_fact_goals": _checked(_fact_goals, suites.fact_goals),
-        "dq_fact_cards": _checked(_fact_cards, suites.fact_cards),
-        "dq_fact_team_match_statistics": _checked(_fact_statistics, suites.fact_team_match_statistics),
+        "dq_silver_cards": _checked("silver_cards", suites.silver_cards),
+        "dq_silver_match_statistics": _checked("silver_match_statistics", suites.silver_match_statistics),
+        "dq_fact_matches": _checked("fact_matches", suites.fact_matches, keep=False),
+        "dq_fact_goals": _checked("fact_goals", suites.fact_goals),
+        "dq_fact_cards": _checked("fact_cards", suites.fact_cards),
+        "dq_fact_team_match_statistics": _checked(
+            "fact_team_match_statistics", suites.fact_team_match_statistics
+        ),
         "dq_quarantine": _quarantine,
         "dq_unique_keys": _unique_keys,
         "dq_orphans": _orphans,

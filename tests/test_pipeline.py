@@ -21,7 +21,7 @@ LINEAGE = ["ingestion_date", "source_file"]
 def write_csv(frame, path):
     plain = frame.drop("_load_date", "_source_file")
     (
-        plain.write.mode("overwrite")
+        plain.coalesce(2).write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

@@ -33,16 +33,6 @@ def read_table(
     return table.select(*schema.names) if schema is not None else table
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Shuffle a scan over all cores if it has fewer splits than there are cores; otherwise leave it.
-
-    Files that cannot be split (one row group, or compressed as a whole) would keep all later work in few tasks.
-    A table with more splits than cores, as any large one, is returned untouched.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
-
-
 def write_table(
     frame: DataFrame,
     path: str,

@@ -7,10 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.sources.tables import spread
-
 TABLES = ("orders", "customer", "lineitem")
-DRIVING = {"orders", "lineitem"}
 SPARK_SIDES = "LATERAL VIEW explode(array(0, 1)) s AS side"
 DUCKDB_SIDES = ", unnest([0, 1]) AS s(side)"
 
@@ -94,7 +91,6 @@ def raw_view(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     text = f"WITH m AS ({BASE}) {RAW[source]}"
     used = [name for name in TABLES if "{" + name + "}" in text]
     frames = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in used}
-    frames = {name: spread(frame) if name in DRIVING else frame for name, frame in frames.items()}
     return spark.sql(text.replace("{sides}", SPARK_SIDES), **frames)
 
 
