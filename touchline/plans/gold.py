@@ -10,6 +10,7 @@ from touchline.plans import silver
 
 LINEAGE_COLUMNS = ("ingestion_date", "source_file")
 
+# The columns taken over from matches, in order.
 FACT_MATCHES_COLUMNS = (
     "match_id round match_date match_time match_datetime season home_team away_team home_formation "
     "away_formation home_coach away_coach winner winner_normalized stadium home_score away_score home_state "

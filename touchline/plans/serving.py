@@ -22,7 +22,7 @@ MART_TABLES = (
     "team_discipline_summary",
 )
 
-# Keys the relational schema declares.
+# Keys the relational schema declares.
 PRIMARY_KEYS = {
     "fact_matches": ("match_id",),
     "fact_goals": ("goal_id",),
@@ -52,6 +52,7 @@ _EVENT_MINUTES = [
     _renamed("int", "minute_exact", "minute"),
 ]
 
+# Columns and types the relational schema declares. Which computed column fills each is our reading.
 DECLARED: dict[str, Sequence[Target]] = {
     "fact_matches": [
         *_same("string", "match_id"),

@@ -16,6 +16,7 @@ from touchline.operators.layout import project
 from touchline.operators.numbering import HotBuckets, measure_hot_buckets, number_occurrences
 from touchline.plans import layouts
 
+# The columns of each table, in order.
 MATCHES_COLUMNS = (
     "match_id round match_time home_team away_team home_formation away_formation home_coach away_coach winner "
     "stadium home_score away_score home_state away_state gross_revenue ingestion_date source_file match_date "

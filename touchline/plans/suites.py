@@ -13,6 +13,7 @@ from touchline.operators.integrity import reconcile_counts
 from touchline.operators.quality import WARNING, Check, FrameCheck, GroupCheck, RowCheck, repeated
 from touchline.plans import layouts
 
+# Limits the checks use.
 LAST_PLAUSIBLE_MINUTE = 130
 ROWS_PER_MATCH = 2
 
