@@ -7,7 +7,7 @@ order of a floating-point sum is not fixed.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,45 +34,42 @@ OLDER_LOAD = "2024-01-01"
 
 
 class Tables:
-    """The pipeline's tables over one scale-factor directory.
+    """The pipeline's tables over one scale-factor directory, as plans that Spark prunes to what a query needs."""
 
-    With ``keep``, each cleaned table is computed once into the shared folder and read back: for queries that
-    pass over a table more than once. Without it, a table is a plan that Spark prunes to what the query needs.
-    """
-
-    def __init__(self, spark: SparkSession, sf_dir: str, keep: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune_session(spark)
         self.sf_dir = sf_dir
-        self.keep = keep
-        self.kept: dict[str, DataFrame] = {}
 
     def raw(self, source: str) -> DataFrame:
         return raw_view(self.spark, self.sf_dir, source)
 
-    def _silver(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if self.keep is None:
-            return build()
-        if name not in self.kept:
-            frame = build()
-            path = staging_path(self.spark, self.sf_dir, self.keep, name)
-            frame.write.mode("overwrite").parquet(path)
-            self.kept[name] = self.spark.read.schema(frame.schema).parquet(path)
-        return self.kept[name]
+    @cached_property
+    def _matches(self) -> DataFrame:
+        return silver.silver_matches(select_load(self.raw("matches")))
+
+    @cached_property
+    def _goals(self) -> DataFrame:
+        return silver.silver_goals(self.raw("goals"), self._matches)
+
+    @cached_property
+    def _cards(self) -> DataFrame:
+        return silver.silver_cards(self.raw("cards"), self._matches)
+
+    @cached_property
+    def _statistics(self) -> DataFrame:
+        return silver.silver_match_statistics(self.raw("match_statistics"), self._matches)
 
     def silver_matches(self) -> DataFrame:
-        return self._silver("matches", lambda: silver.silver_matches(select_load(self.raw("matches"))))
+        return self._matches
 
     def silver_goals(self) -> DataFrame:
-        return self._silver("goals", lambda: silver.silver_goals(self.raw("goals"), self.silver_matches()))
+        return self._goals
 
     def silver_cards(self) -> DataFrame:
-        return self._silver("cards", lambda: silver.silver_cards(self.raw("cards"), self.silver_matches()))
+        return self._cards
 
     def silver_match_statistics(self) -> DataFrame:
-        return self._silver(
-            "match_statistics",
-            lambda: silver.silver_match_statistics(self.raw("match_statistics"), self.silver_matches()),
-        )
+        return self._statistics
 
     def fact_matches(self) -> DataFrame:
         return gold.fact_matches(self.silver_matches())
@@ -120,16 +117,12 @@ def _served(table: str) -> Query:
     return lambda spark, sf_dir: serving.declared_shape(table, _table(table)(spark, sf_dir))
 
 
-def _checked(table: str, checks: Callable[[], list[Check]], keep: bool = True) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = Tables(spark, sf_dir, keep=f"dq_{table}" if keep else None)
-        return count_failures(getattr(tables, table)(), checks())
-
-    return run
+def _checked(table: str, checks: Callable[[], list[Check]]) -> Query:
+    return lambda spark, sf_dir: count_failures(_table(table)(spark, sf_dir), checks())
 
 
 def _checked_goals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = Tables(spark, sf_dir, keep="dq_silver_goals")
+    tables = Tables(spark, sf_dir)
     goals = tables.silver_goals()
     return count_failures(goals, suites.silver_goals(goals, tables.silver_matches()))
 
@@ -147,14 +140,14 @@ def _load(wanted: str | None) -> Query:
 
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matches = Tables(spark, sf_dir, keep="dq_quarantine").silver_matches()
+    matches = Tables(spark, sf_dir).silver_matches()
     path = staging_path(spark, sf_dir, "quarantine")
     write_quarantine(violations(matches, suites.silver_matches()), path, run_date="2024-01-02")
     return spark.read.parquet(path).select("check_name", "match_id")
 
 
 def _unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = Tables(spark, sf_dir, keep="dq_unique_keys")
+    tables = Tables(spark, sf_dir)
     keyed = {name: getattr(tables, name) for name in serving.PRIMARY_KEYS}
     keyed["team_home_away_summary"] = tables.home_away_wide
     reports = [key_report(table(), name, serving.PRIMARY_KEYS[name]) for name, table in keyed.items()]
@@ -246,17 +239,15 @@ def queries() -> dict[str, Query]:
         "serving_team_season": _served("team_season_summary"),
         "serving_scorers": _served("top_scorers_by_season"),
         "serving_discipline": _served("team_discipline_summary"),
-        "dq_silver_matches_gate": _checked("silver_matches", suites.silver_matches_gate, keep=False),
-        "dq_silver_matches": _checked("silver_matches", suites.silver_matches, keep=False),
+        "dq_silver_matches_gate": _checked("silver_matches", suites.silver_matches_gate),
+        "dq_silver_matches": _checked("silver_matches", suites.silver_matches),
         "dq_silver_goals": _checked_goals,
         "dq_silver_cards": _checked("silver_cards", suites.silver_cards),
         "dq_silver_match_statistics": _checked("silver_match_statistics", suites.silver_match_statistics),
-        "dq_fact_matches": _checked("fact_matches", suites.fact_matches, keep=False),
+        "dq_fact_matches": _checked("fact_matches", suites.fact_matches),
         "dq_fact_goals": _checked("fact_goals", suites.fact_goals),
         "dq_fact_cards": _checked("fact_cards", suites.fact_cards),
-        "dq_fact_team_match_statistics": _checked(
-            "fact_team_match_statistics", suites.fact_team_match_statistics
-        ),
+        "dq_fact_team_match_statistics": _checked("fact_team_match_statistics", suites.fact_team_match_statistics),
         "dq_quarantine": _quarantine,
         "dq_unique_keys": _unique_keys,
         "dq_orphans": _orphans,
