@@ -17,7 +17,7 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # The JVM never compiles a method above 8000 bytecodes. A wide projection that fuses into one is better run
-    # as separate compiled expressions, several times faster.
+    # as separate compiled expressions.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
