@@ -11,12 +11,13 @@ from touchline.llm import bpe
 from touchline.llm.common import table
 from touchline.llm.token_counts import token_counts
 
+PATTERN = public_tokenizers.PATTERN
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.token_digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return bpe.token_digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
