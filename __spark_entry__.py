@@ -27,6 +27,15 @@ from touchline.sources.tables import write_quarantine
 from verification.fixtures import RAW, raw_view
 from verification.oracle import oracle_sql as _oracle_sql
 
+try:
+    import corpus_pipeline
+    from touchline.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    # Both can be left out of an installation; anything else that is missing is an error.
+    if missing.name not in ("corpus_pipeline", "touchline.llm"):
+        raise
+    _llm = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 PLACES = 9
@@ -218,6 +227,10 @@ def entry(spark: SparkSession) -> DataFrame:
     return _rounded(_table("team_season_summary"))(spark, "/root/testdata/sf0.001")
 
 
+def _training_data_queries() -> dict[str, Query]:
+    return {} if _llm is None else _llm.queries() | {"pipeline": corpus_pipeline.run}
+
+
 def queries() -> dict[str, Query]:
     return {
         "silver_matches": _table("silver_matches"),
@@ -258,8 +271,8 @@ def queries() -> dict[str, Query]:
         "run_metrics": _run_metrics,
         "bronze_roundtrip": _bronze_roundtrip,
         "file_manifest": _file_manifest,
-    }
+    } | _training_data_queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle_sql()
+    return _oracle_sql() | ({} if _llm is None else _llm.oracle_sql())
