@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from touchline.llm.common import map_blocks, texts_of
+from touchline.llm.common import ddl, map_blocks, texts_of
 from touchline.llm.merges import PairTable, replay
 
 #: Pre-tokens remembered per Python worker (about 250 bytes each).
@@ -107,26 +107,22 @@ def vocabulary(path: str, pattern: str) -> ByteBPE:
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "token_ids") -> DataFrame:
     """Add the token ids of each text as an array column."""
-    schema = docs.drop(out).schema
-
     def process(block: pa.RecordBatch) -> dict[str, list]:
         columns = {name: block.column(number) for number, name in enumerate(block.schema.names) if name != out}
         return columns | {out: vocabulary(path, pattern).encode(texts_of(block, text))}
 
-    return map_blocks(docs, text, schema.add(out, "array<int>").simpleString()[7:-1], process)
+    return map_blocks(docs, text, f"{ddl(docs.drop(out))}, `{out}` array<int>", process)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """Add the bytes that the ids stand for; null ids give null."""
-    schema = tokens.drop(out).schema
-
     def process(block: pa.RecordBatch) -> dict[str, list]:
         columns = {name: block.column(number) for number, name in enumerate(block.schema.names) if name != out}
         words = vocabulary(path, pattern)
         lists = block.column(block.schema.get_field_index(ids)).to_pylist()
         return columns | {out: [None if numbers is None else words.decode(numbers) for numbers in lists]}
 
-    return map_blocks(tokens, ids, schema.add(out, "binary").simpleString()[7:-1], process)
+    return map_blocks(tokens, ids, f"{ddl(tokens.drop(out))}, `{out}` binary", process)
 
 
 def token_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:

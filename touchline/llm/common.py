@@ -6,7 +6,10 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from touchline.sources.storage import join_path, shared_folder
 
@@ -61,19 +64,39 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
 
 
 def map_blocks(
-    frame: DataFrame, text: str, schema: str, process: Callable[[pa.RecordBatch], dict[str, list]]
+    frame: DataFrame,
+    text: str,
+    schema: str,
+    process: Callable[[pa.RecordBatch], dict[str, list]],
+    row: str | None = None,
 ) -> DataFrame:
-    """Apply ``process`` to blocks of rows in Arrow; it returns the output columns by name."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+    """Apply ``process`` to blocks of rows in Arrow; it returns the output columns by name.
 
+    ``row`` names a column to add that numbers the rows, each once. A second run may number them otherwise, so the
+    result must be stored before the numbers are used.
+    """
+    schema = f"{schema}, `{row}` long" if row else schema
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for block in blocks(batches, text):
             columns = process(block)
+            if row:
+                columns[row] = range(number, number + block.num_rows)
+                number += block.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[field.name], type=field.type) for field in target], schema=target
+                [_array(columns[field.name], field.type) for field in target], schema=target
             )
 
     return frame.mapInArrow(run, schema)
+
+
+def _array(values, kind: pa.DataType) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+
+
+def ddl(frame: DataFrame, *columns: str) -> str:
+    """The schema of some columns as text."""
+    types = {field.name: field.dataType.simpleString() for field in frame.schema.fields}
+    return ", ".join(f"`{name}` {types[name]}" for name in columns or frame.columns)

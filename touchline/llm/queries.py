@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm import bpe
 from touchline.llm.common import table
+from touchline.llm.simhash import near_duplicates
 from touchline.llm.token_counts import token_counts
 
 PATTERN = public_tokenizers.PATTERN
@@ -20,6 +21,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), PIECES)
 
@@ -27,6 +32,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op6_simhash": op6_simhash,
         "op7_token_counts": op7_token_counts,
     }
 
