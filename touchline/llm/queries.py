@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm import bpe
 from touchline.llm.common import table
+from touchline.llm.exact_dedup import exact_duplicates
 from touchline.llm.simhash import near_duplicates
 from touchline.llm.token_counts import token_counts
 
@@ -29,13 +30,30 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Ids are unique in ``documents``.
+EXACT_DEDUP = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
         "op6_simhash": op6_simhash,
         "op7_token_counts": op7_token_counts,
+        "op10_exact_dedup": op10_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_exact_dedup": EXACT_DEDUP}
