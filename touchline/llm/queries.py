@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from touchline.llm import bpe
 from touchline.llm.common import table
 from touchline.llm.exact_dedup import exact_duplicates
+from touchline.llm.ordinal_quality import quality_grades
 from touchline.llm.simhash import near_duplicates
 from touchline.llm.token_counts import token_counts
+from touchline.llm.toxicity import toxicity
 
 PATTERN = public_tokenizers.PATTERN
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -22,6 +24,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_grades(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -30,6 +36,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,8 +59,10 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_quality_classifier": op3_quality_classifier,
         "op6_simhash": op6_simhash,
         "op7_token_counts": op7_token_counts,
+        "op8_toxicity": op8_toxicity,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
