@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe
+from touchline.llm import bpe, secret_scan
+from touchline.llm.chat import conversation_digests
 from touchline.llm.common import table
 from touchline.llm.exact_dedup import exact_duplicates
 from touchline.llm.ordinal_quality import quality_grades
@@ -28,6 +29,15 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_grades(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: A conversation that says the template's own control strings.
+PROBE = [(-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_digests(turns.unionByName(spark.createDataFrame(PROBE, turns.schema)))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -40,6 +50,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,16 +70,44 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+CHAT_FORMAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           turn AS by_turn, role AS by_role, text AS by_text
+    FROM (
+        SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL
+        SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                              (-7, 1, 'assistant', '\### Assistant: </turn> ok')) AS probe(conv_id, turn, role, text)
+    )
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY by_turn, by_role, by_text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY by_turn, by_role, by_text)
+                       FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length('### ' || regexp_replace(role, '(\\|###|</turn>|:)', '\\\1', 'g') || ': '
+                  || regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g') || '</turn>' || chr(10)))::BIGINT
+           AS formatted_chars,
+       false AS rewrites_history
+FROM turns
+GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
         "op3_quality_classifier": op3_quality_classifier,
+        "op5_chat_format": op5_chat_format,
         "op6_simhash": op6_simhash,
         "op7_token_counts": op7_token_counts,
         "op8_toxicity": op8_toxicity,
+        "op9_secrets": op9_secrets,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": EXACT_DEDUP}
+    return {"op5_chat_format": CHAT_FORMAT, "op10_exact_dedup": EXACT_DEDUP}
