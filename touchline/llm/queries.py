@@ -12,6 +12,7 @@ from touchline.llm.chat import conversation_digests
 from touchline.llm.common import table
 from touchline.llm.exact_dedup import exact_duplicates
 from touchline.llm.ordinal_quality import quality_grades
+from touchline.llm.quality_rules import quality_rules
 from touchline.llm.simhash import near_duplicates
 from touchline.llm.token_counts import token_counts
 from touchline.llm.toxicity import toxicity
@@ -21,6 +22,10 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -98,6 +103,7 @@ GROUP BY conv_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_quality_classifier": op3_quality_classifier,
         "op5_chat_format": op5_chat_format,
