@@ -17,7 +17,8 @@ from touchline.sources.storage import join_path, shared_folder
 SPACES = r"[\x20\x09-\x0D]+"
 
 #: Bytes of text one step of a task holds as Python objects.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,14 +30,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return join_path(shared_folder(spark), "touchline-llm", f"{name}-{uuid.uuid4().hex}")
 
 
-def staged(frame: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def staged(frame: DataFrame, name: str) -> DataFrame:
     """Write a table to shared storage and read it back: cuts lineage, and survives the loss of executors."""
     spark = frame.sparkSession
     path = scratch_path(spark, name)
-    writer = frame.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(_BATCH_BYTES)
+    spark.conf.set(_BATCH_BYTES, str(BLOCK_BYTES))  # several copies of a batch are in memory at once
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -88,6 +91,7 @@ def map_blocks(
             yield pa.RecordBatch.from_arrays(
                 [_array(columns[field.name], field.type) for field in target], schema=target
             )
+            pa.default_memory_pool().release_unused()
 
     return frame.mapInArrow(run, schema)
 

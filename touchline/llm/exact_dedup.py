@@ -30,7 +30,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from touchline.llm.common import ddl, map_blocks, staged, texts_of
 
 #: Bytes of text that a bucket holds before it splits.
-CAPACITY = 64 << 20
+CAPACITY = 16 << 20
 #: Neighbouring buckets share an owner beyond so many owners: every task of the shuffle writes to each.
 MOST_OWNERS = 20_000
 #: Bits of the prefixes that the first sums are for, and of each further step for buckets still too full.
