@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe, secret_scan
+from touchline.llm import bpe, secret_scan, source_mix
 from touchline.llm.chat import conversation_digests
 from touchline.llm.common import table
 from touchline.llm.exact_dedup import exact_duplicates
@@ -38,6 +38,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROBE = [(-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(source_mix.with_domain(table(spark, sf_dir, "documents")), source_mix.LEVELS)
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conversation_digests(turns.unionByName(spark.createDataFrame(PROBE, turns.schema)))
@@ -75,6 +79,74 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def _filled(level: int) -> str:
+    """SQL that divides each parent's tokens among the nodes of one level of the tree."""
+    path = ["domain", "lang", "source"][:level]
+    parents = path[:-1]
+    columns, part = ", ".join(path), f"PARTITION BY {', '.join(parents)}" if parents else ""
+    from_ = (
+        f"JOIN given{level - 1} AS g ON " + " AND ".join(f"n.{name} IS NOT DISTINCT FROM g.{name}" for name in parents)
+        if parents
+        else "CROSS JOIN (SELECT sum(n_tokens)::HUGEINT AS given FROM docs) AS g"
+    )
+    before = f"({part} ORDER BY coalesce(supply::DOUBLE / nullif(weight, 0), -1), {columns} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""
+nodes{level} AS (
+    SELECT {columns}, sum(tokens * 2)::HUGEINT AS supply, any_value(w{level})::HUGEINT AS weight
+    FROM leaves GROUP BY {columns}
+),
+ranked{level} AS (
+    SELECT {columns}, supply, weight,
+           budget - coalesce(sum(supply) OVER {before}, 0) AS remaining,
+           sum(weight) OVER ({part}) - coalesce(sum(weight) OVER {before}, 0) AS weights
+    FROM (SELECT n.*, g.given AS budget FROM nodes{level} AS n {from_})
+),
+marked{level} AS (SELECT *, supply * weights <= weight * greatest(remaining, 0) AS filled FROM ranked{level}),
+given{level} AS (
+    SELECT {columns},
+           (CASE WHEN filled THEN supply
+                 ELSE weight * greatest(max(CASE WHEN NOT filled THEN remaining END) OVER ({part}), 0)
+                      // max(CASE WHEN NOT filled THEN weights END) OVER ({part}) END)::HUGEINT AS given
+    FROM marked{level}
+)"""
+
+
+def _case(column: str, weights: dict[str, int]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{value}' THEN {weight}" for value, weight in weights.items()) + " ELSE 1 END"
+
+
+def _source_mix_sql() -> str:
+    domains = ", ".join(f"'{name}'" for name in source_mix.DOMAIN_WEIGHTS)
+    return rf"""
+WITH docs AS (
+    SELECT doc_id, lang, source,
+           coalesce(list_extract([{domains}],
+               try_cast(nullif(regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1), '') AS BIGINT) % 4 + 1), 'other')
+               AS domain,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens
+    FROM documents
+),
+leaves AS (
+    SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens,
+           {_case("domain", source_mix.DOMAIN_WEIGHTS)} AS w1, {_case("lang", source_mix.LANGUAGE_WEIGHTS)} AS w2, 1 AS w3
+    FROM docs GROUP BY domain, lang, source
+),{_filled(1)},{_filled(2)},{_filled(3)},
+plan AS (
+    SELECT l.domain, l.lang, l.source,
+           CASE WHEN tokens > 0 THEN given // tokens ELSE 0 END AS whole,
+           CASE WHEN tokens > 0 THEN given % tokens ELSE 0 END AS rest
+    FROM leaves AS l JOIN given3 AS g ON l.domain IS NOT DISTINCT FROM g.domain
+         AND l.lang IS NOT DISTINCT FROM g.lang AND l.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, d.domain, d.lang, d.source, n_tokens,
+       (whole + CASE WHEN sum(n_tokens) OVER (PARTITION BY d.domain, d.lang, d.source
+                                              ORDER BY md5('{source_mix.SEED}:' || whole || ':' || doc_id)) <= rest
+                     THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM docs AS d JOIN plan AS p ON d.domain IS NOT DISTINCT FROM p.domain
+     AND d.lang IS NOT DISTINCT FROM p.lang AND d.source IS NOT DISTINCT FROM p.source
+"""
+
+
 CHAT_FORMAT = r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
@@ -106,6 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_quality_classifier": op3_quality_classifier,
+        "op4_source_mix": op4_source_mix,
         "op5_chat_format": op5_chat_format,
         "op6_simhash": op6_simhash,
         "op7_token_counts": op7_token_counts,
@@ -116,4 +189,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": CHAT_FORMAT, "op10_exact_dedup": EXACT_DEDUP}
+    return {"op4_source_mix": _source_mix_sql(), "op5_chat_format": CHAT_FORMAT, "op10_exact_dedup": EXACT_DEDUP}
