@@ -1,30 +1,72 @@
-"""A pipeline over ``documents``: each stage's result is written as Parquet and reread as the next one's input."""
+"""A pipeline over ``documents``: each stage's result is written as Parquet and reread as the next one's input.
+
+All stages but the last return the columns of ``documents``. A stage works on every row its predecessor kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm.common import staged, table
+from touchline.llm import bpe, source_mix, toxicity
+from touchline.llm.common import drop_staged, staged, table
+from touchline.llm.exact_dedup import exact_duplicates
 from touchline.llm.queries import PATTERN, RANKS
-from touchline.llm import bpe
+from touchline.llm.simhash import near_duplicates
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not predict to be toxic. Labels held out for testing teach nothing."""
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~F.coalesce(toxicity.held_out(), F.lit(True))))
+    return toxicity.score(docs, model).where("score < 0.5").select(*docs.columns)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: that with the largest id."""
+    others = [name for name in docs.columns if name not in ("doc_id", "text")]
+    marked = docs.withColumn("_none", F.col("text").isNull())
+    kept = exact_duplicates(marked, carry=[*others, "_none"]).where("kept")
+    return kept.withColumn("text", F.when(~F.col("_none"), F.col("_text"))).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that SimHash links connect: that with the smallest id."""
+    return near_duplicates(docs, keep=docs.columns).where("kept").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture to the target weights, each document as often as its epochs say."""
+    numbered = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    mixed = source_mix.mix(source_mix.with_domain(numbered), source_mix.LEVELS, keep=["_row"])
+    chosen = mixed.where("copies > 0").select("_row", "copies")
+    repeated = numbered.join(chosen, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return repeated.select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of every document that is left."""
+    """Tokens of every row of the mixture, and what they decode to, as digests."""
     return bpe.token_digests(docs, RANKS, PATTERN)
 
 
 STAGES = [
+    ("toxicity", reject_toxic),
+    ("exact dedup", drop_exact_copies),
+    ("SimHash near-dedup", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
     ("byte-level BPE encoding and decoding", encode_tokens),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), "pipeline")
+    for number, (_, stage) in enumerate(STAGES):
+        result = staged(stage(spark, docs, sf_dir), "stage")
+        if number:
+            drop_staged(docs)
+        docs = result
     return docs
 
 
-#: A trained model decides in the first stage, which SQL cannot express.
+#: A trained model decides in the first stage, which SQL cannot express; tests hold it against a brute-force version.
 ORACLE_SQL = None
