@@ -15,33 +15,44 @@ from touchline.llm.queries import PATTERN, RANKS
 from touchline.llm.simhash import near_duplicates
 
 
+def _packed(docs: DataFrame, *beside: str) -> DataFrame:
+    """All columns in one, ``_doc``, so that no name clashes with an operator's; and some beside it."""
+    return docs.select(*beside, F.struct(*docs.columns).alias("_doc"))
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not predict to be toxic. Labels held out for testing teach nothing."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(~F.coalesce(toxicity.held_out(), F.lit(True))))
-    return toxicity.score(docs, model).where("score < 0.5").select(*docs.columns)
+    return toxicity.score(_packed(docs, "text"), model, keep=["_doc"]).where("score < 0.5").select("_doc.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: that with the largest id."""
-    others = [name for name in docs.columns if name not in ("doc_id", "text")]
-    marked = docs.withColumn("_none", F.col("text").isNull())
-    kept = exact_duplicates(marked, carry=[*others, "_none"]).where("kept")
-    return kept.withColumn("text", F.when(~F.col("_none"), F.col("_text"))).select(*docs.columns)
+    # The text itself stays with the operator, which keeps it once for each group.
+    marked = docs.select(
+        "doc_id",
+        "text",
+        F.struct(*[F.isnull("text").alias("text") if name == "text" else name for name in docs.columns]).alias("_doc"),
+    )
+    kept = exact_duplicates(marked, carry=["_doc"]).where("kept")
+    text = F.when(~F.col("_doc.text"), F.col("_text")).alias("text")
+    return kept.select(*[text if name == "text" else F.col("_doc")[name].alias(name) for name in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that SimHash links connect: that with the smallest id."""
-    return near_duplicates(docs, keep=docs.columns).where("kept").select(*docs.columns)
+    return near_duplicates(_packed(docs, "doc_id", "text"), keep=["_doc"]).where("kept").select("_doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture to the target weights, each document as often as its epochs say."""
-    numbered = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    mixed = source_mix.mix(source_mix.with_domain(numbered), source_mix.LEVELS, keep=["_row"])
+    numbered = staged(_packed(docs).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    leaves = numbered.select("_row", "_doc.doc_id", "_doc.text", "_doc.lang", "_doc.source")
+    mixed = source_mix.mix(source_mix.with_domain(leaves), source_mix.LEVELS, keep=["_row"])
     chosen = mixed.where("copies > 0").select("_row", "copies")
     repeated = numbered.join(chosen, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return repeated.select(*docs.columns)
+    return repeated.select("_doc.*")
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
