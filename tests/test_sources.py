@@ -116,18 +116,66 @@ def test_manifest_counts_records_that_span_lines(spark, tmp_path, lake):
     assert sorted(values(manifest, "source", "row_count")) == [("p", 3), ("q", 2)]
 
 
-def test_large_files_are_streamed_to_the_same_fingerprint(spark, tmp_path, monkeypatch):
+def test_fingerprints_tell_valid_encodings(spark, tmp_path):
     put(tmp_path / "in", "valid.csv", "a\n" + "é" * 5000)
     put(tmp_path / "in", "other file.csv", "a\n" + "é" * 5000, "latin-1")
     put(tmp_path / "in", "cut.csv", "a\n" + "x" * 50)
     (tmp_path / "in/broken.csv").write_bytes(b"a\n\xc3")
-    small = landing.file_fingerprints(spark, str(tmp_path / "in")).orderBy("file_path")
-    large = landing.file_fingerprints(spark, str(tmp_path / "in"), inline_bytes=60).orderBy("file_path")
-    found = values(small, "file_path", "length", "sha256", "valid_utf8")
-    assert values(large, "file_path", "length", "sha256", "valid_utf8") == found
-    assert [row[3] for row in found] == [False, True, False, True]
-    streamed = landing.file_fingerprints(spark, str(tmp_path / "in"), inline_bytes=0).orderBy("file_path")
-    assert values(streamed, "file_path", "length", "sha256", "valid_utf8") == found
+    found = values(landing.file_fingerprints(spark, str(tmp_path / "in")).orderBy("file_path"), "sha256", "valid_utf8")
+    assert [row[1] for row in found] == [False, True, False, True]
+
+
+@pytest.mark.parametrize(
+    ("name", "content"),
+    [
+        ("breaks.csv", b'a,b,c\n1,"two\nlines",x\n2,"a,""b""",c\n3,4\n'),
+        ("surplus.csv", b'a,b\n1,2,3,4\n\n  \n"q ""x""",5,6\na,b\na,b\n'),
+        ("latin.csv", "a,b\r\né,ü\r\nõ,\r\n".encode("latin-1")),
+        ("g [1].csv", b"a,b\n1,2\n"),
+        ("old mac.csv", b"a,b\r1,2\r3,4\r"),
+        ("no end.csv", b"\xef\xbb\xbfa,b\n1,2\n3,\"4\""),
+        ("header only plus.csv", b"a,b\n,\n"),
+    ],
+)
+def test_landing_loses_and_alters_nothing(spark, tmp_path, lake, name, content):
+    path = tmp_path / "in" / name
+    path.parent.mkdir()
+    path.write_bytes(content)
+    manifest = landing.land_files(spark, lake, {"s": str(path)}, NOW).first()
+    encoding = manifest["encoding"]
+    copy = tmp_path / "direct" / "f.csv"
+    copy.parent.mkdir()
+    copy.write_bytes(content)
+    direct = spark.read.option("header", True).option("multiLine", manifest["spans_lines"]).option("encoding", encoding)
+    direct = direct.csv(str(copy))
+    landed = read_bronze(spark, lake, "s").drop("_source_file", "_load_date")
+    assert landed.columns == direct.columns == manifest["columns"]
+    assert sorted(values(landed, "*"), key=str) == sorted(values(direct, "*"), key=str)
+    assert manifest["row_count"] == direct.count()
+
+
+def test_same_name_in_two_folders_and_encodings(spark, tmp_path, lake):
+    put(tmp_path / "in/x", "g.csv", "a\né\nb\n")
+    put(tmp_path / "in/y", "g.csv", "a\nü\nc\n", "latin-1")
+    manifest = landing.land_files(spark, lake, {"s": str(tmp_path / "in")}, NOW)
+    assert sorted(values(manifest, "file", "row_count", "encoding")) == [
+        ("x/g.csv", 2, "UTF-8"), ("y/g.csv", 2, "ISO-8859-1")]
+    assert sorted(values(read_bronze(spark, lake, "s"), "a")) == [("b",), ("c",), ("é",), ("ü",)]
+
+
+def test_an_empty_file_in_a_folder_is_refused(spark, tmp_path, lake):
+    put(tmp_path / "in", "a.csv", "x\n1\n")
+    put(tmp_path / "in", "b.csv", "")
+    with pytest.raises(ValueError, match="no header.*b.csv"):
+        landing.land_files(spark, lake, {"s": str(tmp_path / "in")}, NOW)
+
+
+def test_landed_files_that_disagree_are_refused(spark, tmp_path, lake):
+    put(tmp_path / "in", "a.csv", "x,y\n1,2\n")
+    put(tmp_path / "in", "b.csv", "y,x\n1,2\n")
+    landing.land_files(spark, lake, {"s": str(tmp_path / "in")}, NOW)
+    with pytest.raises(ValueError, match="disagree"):
+        read_bronze(spark, lake, "s")
 
 
 def test_empty_file_has_no_header(spark, tmp_path, lake):

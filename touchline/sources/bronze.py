@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from touchline.operators.guards import require_rows
 from touchline.operators.loads import LOAD_DATE, choose_load_date
 from touchline.sources.lake import Lake
-from touchline.sources.storage import child_directories
+from touchline.sources.storage import child_directories, path_exists
 
 SOURCE_FILE = "_source_file"
 # Fixed value: how a path names its load date.
@@ -37,6 +39,21 @@ def read_csv_text(spark: SparkSession, path: str | list[str], encoding: str = "U
     )
 
 
+def _read_landed(spark: SparkSession, lake: Lake, source: str, load_date: str) -> DataFrame:
+    """Landed lines under the header that the manifest has for all files of the load."""
+    manifest = spark.read.schema("columns array<string>, spans_lines boolean").option("recursiveFileLookup", True)
+    least, most, spans = (
+        manifest.json(lake.manifest_of(source, load_date)).agg(F.min("columns"), F.max("columns"), F.max("spans_lines"))
+    ).first()
+    if least != most:
+        raise ValueError(f"files of source {source}, load date {load_date} disagree on the header: {least}, {most}")
+    times = Counter(name.lower() for name in least)
+    names = [f"_c{at}" if not name else f"{name}{at}" if times[name.lower()] > 1 else name for at, name in enumerate(least)]
+    schema = StructType([StructField(name, StringType()) for name in names])
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("multiLine", bool(spans))
+    return reader.csv(lake.raw_load(source, load_date))
+
+
 def with_lineage(frame: DataFrame) -> DataFrame:
     """Add the input file and the load date its path names, for a frame read straight from files."""
     path = F.col("_metadata.file_path")
@@ -67,10 +84,14 @@ def read_bronze(
     """One load of a source: the given one, else the latest.
 
     The load is chosen from directory names and only its directory is read, so older loads cost nothing and
-    a different column order in one of them cannot mix up this one.
+    a different column order in one of them cannot mix up this one. If the load was landed with a manifest, its files
+    are lines without headers and the columns are the manifest's; otherwise each file has its header.
     """
     chosen = latest_load(spark, lake, source, load_date)
-    raw = read_csv_text(spark, lake.raw_load(source, chosen), encoding)
+    if path_exists(spark, lake.manifest_of(source, chosen)):
+        raw = _read_landed(spark, lake, source, chosen)
+    else:
+        raw = read_csv_text(spark, lake.raw_load(source, chosen), encoding)
     require_rows(raw, f"source {source}, load date {chosen}")
     return raw.select(
         "*", F.col("_metadata.file_path").alias(SOURCE_FILE), F.lit(chosen).alias(LOAD_DATE)

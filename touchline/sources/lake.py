@@ -19,8 +19,11 @@ class Lake:
     marts: str = "gold/marts"
     quality: str = "quality"
 
+    def raw_root(self) -> str:
+        return join_path(self.root, self.raw)
+
     def raw_source(self, source: str) -> str:
-        return join_path(self.root, self.raw, f"source={source}")
+        return join_path(self.raw_root(), f"source={source}")
 
     def raw_load(self, source: str, load_date: str) -> str:
         return join_path(self.raw_source(source), f"load_date={load_date}")
@@ -28,6 +31,9 @@ class Lake:
     def manifest(self) -> str:
         return join_path(self.root, self.metadata)
 
+    def manifest_of(self, source: str, load_date: str) -> str:
+        return join_path(self.manifest(), f"source={source}", f"load_date={load_date}")
+
     def silver_table(self, name: str) -> str:
         return join_path(self.root, self.silver, name)
 

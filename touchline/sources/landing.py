@@ -1,157 +1,173 @@
-"""Landing of source files into the raw layer, with a manifest of what was landed."""
+"""Landing of source files into the raw layer, with a manifest of what was landed.
+
+Raw data is the lines of a file as they are: they are copied, not parsed, so no value, blank line or surplus column can
+get lost or change. Only the header line is taken out, since a large file is landed in many parts; it is in the manifest,
+from which the reader of the raw layer takes the columns. Text that is not UTF-8 is decoded as ISO-8859-1, which gives
+every byte a character, and stored as UTF-8; the manifest names the encoding.
+"""
 
 from __future__ import annotations
 
-import codecs
-import csv
-import hashlib
-from collections.abc import Iterator, Mapping
+import re
+from collections.abc import Mapping
 from datetime import datetime, timezone
 from functools import reduce
-from pathlib import PurePosixPath
-from urllib.parse import unquote
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.sources.bronze import read_csv_text
 from touchline.sources.lake import Lake
-from touchline.sources.storage import join_path, path_exists
+from touchline.sources.storage import empty_files, literal_path, path_exists, qualified, staging_path
 
 # Encodings tried, in order. A byte order mark is dropped.
 PREFERRED_ENCODING, FALLBACK_ENCODING = "UTF-8", "ISO-8859-1"
 
-# Files up to this size are hashed from one binary value; larger ones are streamed in their task.
-INLINE_BYTES = 256 << 20
-STREAM_BYTES = 4 << 20
-
 FILE = "file"
 
 MANIFEST_SCHEMA = (
     "source string, load_date string, file string, source_name string, original_filename string, "
     "source_path string, lake_root string, raw_path string, metadata_path string, file_size_bytes bigint, "
-    "row_count bigint, column_count int, columns array<string>, file_sha256 string, encoding string, "
-    "ingested_at_utc string"
+    "row_count bigint, column_count int, columns array<string>, header string, spans_lines boolean, "
+    "file_sha256 string, encoding string, ingested_at_utc string"
 )
 
+# One value of a header line with the comma before it: quoted, or plain.
+_HEADER_VALUE = r'(?:^|,)(?:"(?:[^"]|"")*"|[^,]*)'
+
+
+def _file() -> Column:
+    return F.col("_metadata.file_path").alias("file_path")
+
+
+def _lines(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """Rows (file_path, value): lines between line feeds, byte for byte, or one row per file."""
+    read = spark.read.text(path, wholetext=whole, lineSep="\n", recursiveFileLookup=True)
+    return read.select(_file(), F.col("_metadata.file_block_start").alias("block"), "value")
 
-def _fingerprint_streamed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """SHA-256 and UTF-8 validity of each file, read in chunks."""
-    from pyarrow import fs
-
-    for batch in batches:
-        records = []
-        for key in batch["file_path"]:
-            system, location = fs.FileSystem.from_uri(key.replace("s3a://", "s3://", 1))
-            digest, decoder, valid = hashlib.sha256(), codecs.getincrementaldecoder("utf-8")(), True
-            with system.open_input_stream(location) as stream:
-                chunk = stream.read(STREAM_BYTES)
-                while chunk:
-                    digest.update(chunk)
-                    following = stream.read(STREAM_BYTES)
-                    try:
-                        if valid:
-                            decoder.decode(chunk, final=not following)
-                    except UnicodeDecodeError:
-                        valid = False
-                    chunk = following
-            records.append((key, digest.hexdigest(), valid))
-        yield pd.DataFrame(records, columns=["file_path", "sha256", "valid_utf8"])
-
-
-def file_fingerprints(spark: SparkSession, path: str, inline_bytes: int = INLINE_BYTES) -> DataFrame:
-    """Rows (file_path, length, sha256, valid_utf8), one per file of a file, folder or glob path."""
-    files = (
+
+def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (file_path, length, sha256, valid_utf8), one per file of a file, folder or glob path.
+
+    A digest needs a file's bytes in order, so each file is one value in one task; Spark refuses files over 2 GB.
+    """
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
-        .select("length", "content", F.col("_metadata.file_path").alias("file_path"))
-    )
-    small = files.filter(F.col("length") <= inline_bytes).select(
-        "file_path",
-        F.sha2("content", 256).alias("sha256"),
-        F.is_valid_utf8(F.col("content")).alias("valid_utf8"),
+        .select(
+            _file(), "length", F.sha2("content", 256).alias("sha256"), F.is_valid_utf8(F.col("content")).alias("valid_utf8")
+        )
     )
-    large = files.filter(F.col("length") > inline_bytes).select("file_path")
-    streamed = large.mapInPandas(_fingerprint_streamed, "file_path string, sha256 string, valid_utf8 boolean")
-    return files.select("file_path", "length").join(small.unionByName(streamed), "file_path")
 
 
 def file_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (file_path, lines, open_quotes, header), one per file that has any line.
+    """Rows (file_path, records, open_quotes, first), one per file that has any line.
 
-    ``open_quotes`` counts lines with an odd number of quotes, ``header`` is the first line in bytes. Files are
-    read in splits and combined map-side.
+    ``records`` counts lines that are not blank, ``open_quotes`` those with an odd number of quotes, and ``first`` is
+    the first line in bytes. Files are read in splits and combined map-side.
     """
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    where = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"))
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("file_path"), "value", where.alias("at"), (quotes % 2).alias("odd"))
+    where = F.struct("block", F.monotonically_increasing_id().alias("i"))
+    pieces = F.filter(F.split("value", "\r"), lambda piece: F.trim(piece) != "")
+    lines = _lines(spark, path).select(
+        "file_path", "value", where.alias("at"), (quotes % 2).alias("odd"), F.size(pieces).alias("records")
     )
     return lines.groupBy("file_path").agg(
-        F.count(F.lit(1)).alias("lines"),
+        F.sum("records").alias("records"),
         F.sum("odd").alias("open_quotes"),
-        F.min_by("value", "at").cast("binary").alias("header"),
+        F.min_by("value", "at").cast("binary").alias("first"),
     )
 
 
-def _records_across_lines(spark: SparkSession, paths: list[str]) -> dict[str, int]:
-    """Record counts of files in which a quoted value may hold a line break; only the CSV reader can tell."""
-    if not paths:
-        return {}
+def _records_across_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Record counts by the CSV reader, for files in which a quoted value may hold a line break."""
     reader = spark.read.option("header", True).option("multiLine", True).option("encoding", FALLBACK_ENCODING)
-    counted = reader.csv(paths).groupBy(F.col("_metadata.file_path").alias("file_path")).count()
-    return {row["file_path"]: row["count"] for row in counted.collect()}
+    counted = reader.option("recursiveFileLookup", True).csv(path)
+    return counted.groupBy(_file()).agg(F.count(F.lit(1)).alias("spanning_records"))
+
+
+def _decoded(binary: Column, valid: Column) -> Column:
+    return F.when(valid, F.decode(binary, PREFERRED_ENCODING)).otherwise(F.decode(binary, FALLBACK_ENCODING))
+
+
+def _header_columns(header: Column) -> Column:
+    """Names in a header line; quotes around a name are taken off."""
+    values = F.transform(
+        F.regexp_extract_all(header, F.lit(_HEADER_VALUE), F.lit(0)),
+        lambda value, at: F.when(at > 0, F.substr(value, F.lit(2))).otherwise(value),
+    )
+    plain = lambda value: F.replace(F.substr(value, F.lit(2), F.length(value) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(values, lambda value: F.when(value.startswith('"'), plain(value)).otherwise(value))
+
+
+def _relative(path: Column, base: str) -> Column:
+    """A file's path below the folder it was found in; its name if it was named itself."""
+    inside = re.escape(base.rstrip("/")) + "/+"
+    return F.when(path.rlike("^" + inside), F.regexp_replace(path, "^" + inside, "")).otherwise(
+        F.substring_index(path, "/", -1)
+    )
+
+
+def _facts(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file: fingerprint, header, record count, place."""
+    literal = literal_path(spark, path)
+    facts = file_fingerprints(spark, literal).join(file_lines(spark, literal), "file_path", "left")
+    if facts.where("open_quotes > 0").limit(1).count():
+        facts = facts.join(_records_across_lines(spark, literal), "file_path", "left")
+    else:
+        facts = facts.withColumn("spanning_records", F.lit(None).cast("long"))
+    place = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
+    return facts.select(
+        "*",
+        # Line breaks are line feeds here; a carriage return ends the header as well.
+        F.rtrim(F.regexp_replace(F.substring_index(_decoded(F.col("first"), F.col("valid_utf8")), "\r", 1), "^﻿", ""))
+        .alias("header"),
+        place.alias("source_path"),
+        _relative(F.regexp_replace(place, "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/"), qualified(spark, path)).alias(FILE),
+    )
 
 
 def build_manifest(
-    spark: SparkSession,
-    lake: Lake,
-    files: Mapping[str, str],
-    now: datetime | None = None,
-    inline_bytes: int = INLINE_BYTES,
+    spark: SparkSession, lake: Lake, files: Mapping[str, str], now: datetime | None = None
 ) -> DataFrame:
-    """One row per file of a catalogue {source: file or folder}.
-
-    Contents are read by tasks; the driver sees one small row per file, to which it adds the names.
-    """
+    """One row per file of a catalogue {source: file, folder or glob path}; contents are read by tasks only."""
     for path in files.values():
         if not path_exists(spark, path):
             raise FileNotFoundError(f"source file not found: {path}")
+    if empty := [name for path in files.values() for name in empty_files(spark, path)]:
+        raise ValueError(f"no header in {empty}")
     now = now or datetime.now(timezone.utc)
     load_date = now.date().isoformat()
-
-    facts = [
-        file_fingerprints(spark, path, inline_bytes)
-        .join(file_lines(spark, path), "file_path", "left")
-        .withColumn("source", F.lit(source))
-        for source, path in files.items()
-    ]
-    found = reduce(DataFrame.unionByName, facts).collect()
-    # Spark lists no empty file, so a source of nothing else is missing here.
-    empty = sorted(files[source] for source in set(files) - {row["source"] for row in found})
-    if empty:
-        raise ValueError(f"no header in {empty}")
-    spanning = _records_across_lines(spark, [unquote(r["file_path"]) for r in found if r["open_quotes"]])
-
-    rows = []
-    for row in found:
-        source, path = row["source"], unquote(row["file_path"])
-        encoding = PREFERRED_ENCODING if row["valid_utf8"] else FALLBACK_ENCODING
-        header = bytes(row["header"]).decode("utf-8-sig" if row["valid_utf8"] else FALLBACK_ENCODING)
-        columns = next(csv.reader([header]))
-        name, count = PurePosixPath(path), spanning.get(row["file_path"], row["lines"] - 1)
-        raw_path = join_path(lake.raw_load(source, load_date), f"{FILE}={name.name}")
-        partition = (f"source={source}", f"load_date={load_date}", f"{FILE}={name.name}")
-        rows.append(
-            (source, load_date, name.name, source, name.name, path, lake.root, raw_path,
-             join_path(lake.manifest(), *partition), row["length"], count, len(columns), columns,
-             row["sha256"], encoding, now.isoformat())
-        )
-    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+    found = reduce(
+        DataFrame.unionByName,
+        [_facts(spark, path).withColumn("source", F.lit(source)) for source, path in files.items()],
+    )
+    columns = _header_columns(F.col("header"))
+    below = F.concat(F.lit("source="), "source", F.lit(f"/load_date={load_date}/{FILE}="), FILE)
+    spans = F.coalesce(F.col("open_quotes") > 0, F.lit(False))
+    return found.select(
+        "source",
+        F.lit(load_date).alias("load_date"),
+        FILE,
+        F.col("source").alias("source_name"),
+        F.substring_index("source_path", "/", -1).alias("original_filename"),
+        "source_path",
+        F.lit(lake.root).alias("lake_root"),
+        F.concat(F.lit(lake.raw_root() + "/"), below).alias("raw_path"),
+        F.concat(F.lit(lake.manifest() + "/"), below).alias("metadata_path"),
+        F.col("length").alias("file_size_bytes"),
+        F.when(spans, F.col("spanning_records")).otherwise(F.col("records") - 1).alias("row_count"),
+        F.size(columns).alias("column_count"),
+        columns.alias("columns"),
+        "header",
+        spans.alias("spans_lines"),
+        F.col("sha256").alias("file_sha256"),
+        F.when(F.col("valid_utf8"), PREFERRED_ENCODING).otherwise(FALLBACK_ENCODING).alias("encoding"),
+        F.lit(now.isoformat()).alias("ingested_at_utc"),
+        "file_path",
+        "first",
+        "valid_utf8",
+    )
 
 
 def write_manifest(manifest: DataFrame, lake: Lake) -> None:
@@ -164,28 +180,56 @@ def write_manifest(manifest: DataFrame, lake: Lake) -> None:
     )
 
 
+def _raw_lines(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
+    """Rows (file, value): a source's lines without the header line of each file, as UTF-8."""
+    literal = literal_path(spark, path)
+    keys = files.select("file_path", FILE, "first", "valid_utf8", "spans_lines")
+    # In bytes: the header up to a line break, and what a text of the first line has after it.
+    header = F.octet_length(F.substring_index(F.col("first").cast("string"), "\r", 1))
+    after = F.substring(F.col("value").cast("binary"), header + 2, F.octet_length("value"))
+    decoded = _decoded(F.col("value").cast("binary"), F.col("valid_utf8")).alias("value")
+    lines = _lines(spark, literal).drop("block").join(keys.where("not spans_lines"), "file_path")
+    is_first = F.col("value").cast("binary") == F.col("first")
+    rows = lines.where(~is_first).select(FILE, decoded)
+    # All lines equal to the header are the same text, so it does not matter which of them is it: all but one stay.
+    firsts = lines.where(is_first).groupBy(FILE, "value", "first", "valid_utf8").agg(F.count("*").alias("n"))
+    again = firsts.where("n > 1").withColumn("_", F.explode(F.expr("sequence(2, cast(n as int))"))).select(FILE, decoded)
+    whole = _lines(spark, literal, whole=True).join(keys.where("spans_lines"), "file_path")
+    rest = firsts.select(FILE, "valid_utf8", after.alias("rest")).unionByName(
+        whole.select(FILE, "valid_utf8", after.alias("rest"))
+    )
+    rest = rest.where(F.octet_length("rest") > 0).select(
+        FILE, F.regexp_replace(_decoded(F.col("rest"), F.col("valid_utf8")), "\n$", "").alias("value")
+    )
+    return rows.unionByName(again).unionByName(rest)
+
+
 def land_files(
     spark: SparkSession, lake: Lake, files: Mapping[str, str], now: datetime | None = None
 ) -> DataFrame:
-    """Land a catalogue {source: file or folder} under today's load date (UTC) and return its manifest.
+    """Land a catalogue {source: file, folder or glob path} under today's load date (UTC); returns its manifest.
 
-    Tasks rewrite the records as UTF-8 CSV parts that each have the header, in one folder per source file, so
-    a large file is landed by many tasks. Landing a file again replaces it and leaves the others.
+    There is one folder per source file, keyed by its path below the given one, with as many parts as tasks read it
+    (files in which quoted values hold line breaks stay in one). Landing a file again replaces it and leaves others.
     """
-    manifest = build_manifest(spark, lake, files, now)
-    landed = manifest.select("source", "load_date", "encoding", "source_path").collect()
-    for source, load_date, encoding in sorted({(r["source"], r["load_date"], r["encoding"]) for r in landed}):
-        paths = [r["source_path"] for r in landed if (r["source"], r["encoding"]) == (source, encoding)]
-        records = read_csv_text(spark, paths, encoding)
-        (
-            records.select("*", F.col("_metadata.file_name").alias(FILE))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("header", True)
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .partitionBy(FILE)
-            .csv(lake.raw_load(source, load_date))
-        )
+    now = now or datetime.now(timezone.utc)
+    built = build_manifest(spark, lake, files, now)
+    stage = staging_path(spark, lake.root, "manifest")
+    built.write.mode("overwrite").parquet(stage)
+    facts = spark.read.schema(built.schema).parquet(stage)
+    landed = [
+        _raw_lines(spark, path, facts.where(F.col("source") == source)).withColumn("source", F.lit(source))
+        for source, path in files.items()
+    ]
+    (
+        reduce(DataFrame.unionByName, landed)
+        .withColumn("load_date", F.lit(now.date().isoformat()))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("lineSep", "\n")
+        .partitionBy("source", "load_date", FILE)
+        .text(lake.raw_root())
+    )
+    manifest = facts.drop("file_path", "first", "valid_utf8")
     write_manifest(manifest, lake)
     return manifest

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,8 +22,37 @@ def _open(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or a file that a glob path matches, exists."""
     located, files = _open(spark, path)
-    return files.exists(located)
+    return files.exists(located) or bool(files.globStatus(located))
+
+
+def literal_path(spark: SparkSession, path: str) -> str:
+    """The path as Spark's readers must be given it: glob characters of an existing path are escaped."""
+    located, files = _open(spark, path)
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path) if files.exists(located) else path
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The folder part of a path without its scheme, up to the first glob character unless the path exists."""
+    located, files = _open(spark, path)
+    full = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", files.makeQualified(located).toString())
+    return full if files.exists(located) else re.sub(r"/[^/]*[\[{*?].*$", "", full)
+
+
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Files without a byte under a path, which Spark's readers pass over; hidden files do not count."""
+    located, files = _open(spark, path)
+    roots = [located] if files.exists(located) else [status.getPath() for status in files.globStatus(located) or []]
+    found = []
+    for root in roots:
+        listed = files.listFiles(root, True)
+        while listed.hasNext():
+            status = listed.next()
+            name = status.getPath().getName()
+            if not status.getLen() and not name.startswith(("_", ".")):
+                found.append(status.getPath().toString())
+    return found
 
 
 def child_directories(spark: SparkSession, path: str) -> list[str]:
