@@ -6,6 +6,7 @@ order of a floating-point sum is not fixed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -18,7 +19,7 @@ from touchline.operators.loads import select_load
 from touchline.operators.metrics import run_metrics
 from touchline.operators.quality import Check, count_failures, violations
 from touchline.plans import gold, layouts, marts, serving, silver, suites
-from touchline.session import tune_session
+from touchline.session import DEFAULTS
 from touchline.sources.bronze import read_bronze
 from touchline.sources.landing import land_files
 from touchline.sources.lake import Lake
@@ -46,7 +47,9 @@ class Tables:
     """The pipeline's tables over one scale-factor directory, as plans that Spark prunes to what a query needs."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = tune_session(spark)
+        # The queries run after they are returned, so the setting stays.
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", DEFAULTS["spark.sql.codegen.hugeMethodLimit"])
+        self.spark = spark
         self.sf_dir = sf_dir
 
     def raw(self, source: str) -> DataFrame:
@@ -60,6 +63,10 @@ class Tables:
     def _goals(self) -> DataFrame:
         return silver.silver_goals(self.raw("goals"), self._matches)
 
+    @cached_property
+    def _unnumbered_goals(self) -> DataFrame:
+        return silver.goals_without_ids(self.raw("goals"), self._matches)
+
     @cached_property
     def _cards(self) -> DataFrame:
         return silver.silver_cards(self.raw("cards"), self._matches)
@@ -99,7 +106,7 @@ class Tables:
         return marts.team_home_away_summary(self.fact_team_match_statistics())
 
     def top_scorers_by_season(self) -> DataFrame:
-        return marts.top_scorers_by_season(self.fact_goals())
+        return marts.top_scorers_by_season(self._unnumbered_goals)
 
     def team_discipline_summary(self) -> DataFrame:
         return marts.team_discipline_summary(self.fact_cards(), self.fact_team_match_statistics())
@@ -108,6 +115,31 @@ class Tables:
         return marts.home_away_wide(self.team_home_away_summary())
 
 
+class StagedTables(Tables):
+    """The same, with each cleaned table derived once, into Parquet, for queries that read it several times."""
+
+    def _stage(self, name: str, table: DataFrame) -> DataFrame:
+        path = staging_path(self.spark, self.sf_dir, uuid.uuid4().hex, name)
+        table.write.parquet(path)
+        return self.spark.read.schema(table.schema).parquet(path)
+
+    @cached_property
+    def _matches(self) -> DataFrame:
+        return self._stage("matches", super()._matches)
+
+    @cached_property
+    def _goals(self) -> DataFrame:
+        return self._stage("goals", super()._goals)
+
+    @cached_property
+    def _cards(self) -> DataFrame:
+        return self._stage("cards", super()._cards)
+
+    @cached_property
+    def _statistics(self) -> DataFrame:
+        return self._stage("match_statistics", super()._statistics)
+
+
 def _table(name: str) -> Query:
     return lambda spark, sf_dir: getattr(Tables(spark, sf_dir), name)()
 
@@ -131,11 +163,18 @@ def _checked(table: str, checks: Callable[[], list[Check]]) -> Query:
 
 
 def _checked_goals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = Tables(spark, sf_dir)
+    tables = StagedTables(spark, sf_dir)
     goals = tables.silver_goals()
     return count_failures(goals, suites.silver_goals(goals, tables.silver_matches()))
 
 
+def _silver_goals_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The goals numbered by the route for huge groups, which must not change any row."""
+    tables = Tables(spark, sf_dir)
+    hot = silver.measure_goals(tables.raw("goals"), rows_per_task=6)
+    return silver.silver_goals(tables.raw("goals"), tables.silver_matches(), hot, rows_per_task=6)
+
+
 def _resolved_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename_resolved(Tables(spark, sf_dir).raw("cards"), layouts.CARDS)
 
@@ -156,7 +195,7 @@ def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = Tables(spark, sf_dir)
+    tables = StagedTables(spark, sf_dir)
     keyed = {name: getattr(tables, name) for name in serving.PRIMARY_KEYS}
     keyed["team_home_away_summary"] = tables.home_away_wide
     reports = [key_report(table(), name, serving.PRIMARY_KEYS[name]) for name, table in keyed.items()]
@@ -178,11 +217,11 @@ def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = Tables(spark, sf_dir)
-    return suites.goal_reconciliation(tables.silver_goals(), tables.silver_matches())
+    return suites.goal_reconciliation(tables._unnumbered_goals, tables.silver_matches())
 
 
 def _run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = Tables(spark, sf_dir)
+    tables = StagedTables(spark, sf_dir)
     parts = []
     for name, team in (
         ("silver_matches", "home_team"),
@@ -235,6 +274,7 @@ def queries() -> dict[str, Query]:
     return {
         "silver_matches": _table("silver_matches"),
         "silver_goals": _table("silver_goals"),
+        "silver_goals_hot": _silver_goals_in_pieces,
         "silver_cards": _table("silver_cards"),
         "silver_match_statistics": _table("silver_match_statistics"),
         "fact_matches": _table("fact_matches"),

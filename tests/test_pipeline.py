@@ -1,5 +1,6 @@
 """From CSV files to marts and served tables, compared with the transforms applied directly."""
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.loads import select_load
 from touchline.operators.quality import QualityError
-from touchline.plans import gold, marts, pipeline, serving, silver
+from touchline.plans import gold, marts, pipeline, serving, silver, suites
 from touchline.sources.jdbc import JdbcTarget
 from touchline.sources.lake import Lake
 from touchline.sources.landing import land_files
@@ -156,7 +157,20 @@ def test_gate_keeps_bad_matches_unpublished(spark, inputs, tmp_path):
     assert not path_exists(spark, lake.silver_table("matches"))
     kept = spark.read.parquet(lake.quarantine("silver_matches"))
     assert kept.filter("check_name in ('draw_with_winner', 'non_draw_invalid_winner')").count() == 5
+    with pytest.raises(QualityError, match="silver.matches gate"):
+        pipeline.build_silver_matches(spark, lake, publish_first=True)
+    assert not path_exists(spark, lake.silver_table("matches"))
+
+
+def test_report_after_publishing_raises_with_the_table_in_place(spark, inputs, tmp_path, monkeypatch):
+    fails = suites.silver_matches_gate()[:1]
+    monkeypatch.setattr(suites, "silver_matches_gate", lambda: [])
+    monkeypatch.setattr(suites, "silver_matches", lambda: [replace(fails[0], fails=F.lit(True))])
+    lake = lake_with(spark, tmp_path, matches=inputs["matches"].limit(5))
     with pytest.raises(QualityError):
+        pipeline.build_silver_matches(spark, lake)
+    assert not path_exists(spark, lake.silver_table("matches"))
+    with pytest.raises(QualityError, match="silver.matches"):
         pipeline.build_silver_matches(spark, lake, publish_first=True)
     assert read_table(spark, lake.silver_table("matches")).count() == 5
 

@@ -9,7 +9,7 @@ from touchline.plans import serving
 from touchline.sources import jdbc, landing
 from touchline.sources.bronze import load_date_of, load_dates, read_bronze, read_csv_text, with_lineage
 from touchline.sources.lake import Lake
-from touchline.session import sized_shuffles
+from touchline.session import shuffle_plan, sized_shuffles, tuned_session
 from touchline.sources.storage import path_bytes, shared_folder, staging_path
 from touchline.sources.tables import read_table, write_quarantine, write_table
 
@@ -232,8 +232,10 @@ def test_jdbc_options_bound_connections_and_keep_declared_keys():
     target = jdbc.JdbcTarget("jdbc:x", {"user": "u", "driver": "d"}, max_connections=4)
     assert target.options("fact_goals") == {
         "url": "jdbc:x", "user": "u", "driver": "d", "dbtable": "analytics.fact_goals", "numPartitions": "4",
-        "batchsize": "10000", "truncate": "true",
+        "batchsize": "10000", "truncate": "true", "cascadeTruncate": "true",
     }
+    kept = jdbc.JdbcTarget("jdbc:x", truncate=False).options("t")
+    assert "truncate" not in kept and "cascadeTruncate" not in kept
 
 
 def test_jdbc_write_hands_options_to_the_writer():
@@ -271,3 +273,25 @@ def test_shuffles_grow_with_the_input_and_are_set_back(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     with sized_shuffles(spark, size) as partitions:
         assert partitions == int(before)
+
+
+def test_shuffles_of_100_terabytes_stay_within_bounds(spark):
+    reducers, split = shuffle_plan(100 << 40)
+    assert 10_000 <= reducers <= 60_000 and split == 1 << 30
+    assert (100 << 40) / reducers < 2 << 30
+    sizes = [shuffle_plan(size << 30) for size in (1, 100, 500, 501, 5_000, 50_000)]
+    assert sizes == sorted(sizes) and sizes[0] == (8, 128 << 20)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with sized_shuffles(spark, 100 << 40) as partitions:
+        assert partitions == reducers and spark.conf.get("spark.sql.files.maxPartitionBytes") == str(split)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_the_session_is_set_back(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "65535")
+    with tuned_session(spark):
+        assert spark.conf.get(key) == "8000"
+    assert spark.conf.get(key) == "65535"
+    spark.conf.set(key, before)

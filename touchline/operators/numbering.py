@@ -5,8 +5,10 @@ but one bad value can gather a large part of all rows. So the rows are measured
 number of hash buckets, combined map-side, tells which buckets hold too much. Rows outside them take the
 plain window. Rows inside take a route that never holds a group in one task: equal rows are counted, the
 counts are summed into ranges piece by piece, and the ranges are expanded after being spread again.
-Both routes give each group exactly the numbers 1..n, ordered by the given columns. Ties are broken by the
-remaining columns, so a rerun numbers the same rows alike.
+
+Both routes number a group in the same order: the given columns, then the MD5 of the remaining columns, then
+those. A piece is a range of that MD5, so the number a row gets depends neither on the route nor on the number
+of pieces, and a load that grows keeps its numbers.
 """
 
 from __future__ import annotations
@@ -19,9 +21,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1 << 16
+# Ordinary groups fill a bucket to ROWS_PER_TASK only beyond 2e12 rows; then all rows take the route in pieces.
+BUCKETS = 1 << 20
 ROWS_PER_TASK = 2_000_000
-TIMES_AVERAGE = 4
+# Buckets named one by one; with more, all are treated alike.
+MOST_NAMED = 10_000
 
 
 @dataclass(frozen=True)
@@ -33,6 +37,8 @@ class HotBuckets:
     largest: int = 0
 
     def contains(self) -> Column:
+        if len(self.buckets) > MOST_NAMED:
+            return F.lit(True)
         return _bucket(self.keys).isin(*self.buckets)
 
 
@@ -40,19 +46,22 @@ def _bucket(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
 
 
+def _digest(columns: Sequence[str]) -> Column:
+    """MD5 of some columns as text, in order of their names; null counts as empty."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(columns)]))
+
+
 def measure_hot_buckets(
     rows: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> HotBuckets:
-    """Count rows per hash bucket of the keys and name the buckets far above the average.
+    """Count rows per hash bucket of the keys and name the buckets that are too much for one task.
 
-    The scan is pruned to the keys. The counts are at most ``BUCKETS`` pairs whatever the size of the data,
-    so bringing those above ``rows_per_task`` to the driver is bounded.
+    There are at most ``BUCKETS`` counts whatever the size of the data, so bringing those above ``rows_per_task``
+    to the driver is bounded. Of a columnar source only the keys are read.
     """
     counts = rows.groupBy(_bucket(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     large = F.when(F.col("n") > rows_per_task, F.struct("bucket", "n"))
-    total, candidates = counts.agg(F.sum("n"), F.collect_list(large)).first()
-    limit = TIMES_AVERAGE * (total or 0) / BUCKETS
-    hot = {row["bucket"]: row["n"] for row in candidates if row["n"] > limit}
+    hot = {row["bucket"]: row["n"] for row in counts.agg(F.collect_list(large).alias("large")).first()["large"]}
     return HotBuckets(tuple(keys), tuple(sorted(hot)), max(hot.values(), default=0))
 
 
@@ -72,7 +81,7 @@ def number_occurrences(
     if not set(hot.keys) <= set(keys):
         raise ValueError(f"hot buckets over {hot.keys} do not cover whole groups of {tuple(keys)}")
     rest = [c for c in rows.columns if c not in keys and c not in order_by]
-    window = Window.partitionBy(*keys).orderBy(*order_by, *rest)
+    window = Window.partitionBy(*keys).orderBy(*order_by, _digest(rest), *rest)
 
     def plain(part: DataFrame) -> DataFrame:
         return part.repartition(*hot.keys).withColumn(name, F.row_number().over(window))
@@ -104,9 +113,9 @@ def _number_in_pieces(
     payload = [c for c in columns if c not in keys and c not in order_by]
     # Copies of a row are interchangeable: keep one with its count. The count combines map-side.
     packed = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    # The piece comes from the row itself, so a task run again puts every row where it was.
-    piece = F.pmod(F.xxhash64(*payload), F.lit(pieces)) if payload else F.lit(0).cast("bigint")
-    packed = packed.withColumn("_piece", piece)
+    # A piece is a range of the digest: pieces in order hold rows in order.
+    leading = F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint")
+    packed = packed.withColumn("_digest", _digest(payload)).withColumn("_piece", F.shiftright(leading * pieces, 32))
 
     group, run, slot = list(keys), [*keys, *order_by], [*keys, *order_by, "_piece"]
 
@@ -123,7 +132,7 @@ def _number_in_pieces(
         *slot, (F.col("_run_start") + F.col("_piece_start")).alias("_start")
     )
 
-    placed = packed.withColumn("_row_start", before(slot, payload or ["_copies"], "_copies"))
+    placed = packed.withColumn("_row_start", before(slot, ["_digest", *payload], "_copies"))
     placed = _join_null_safe(placed, starts, slot, "_start")
     first = F.col("_start") + F.col("_row_start")
 

@@ -12,10 +12,31 @@ LINEAGE_COLUMNS = ("ingestion_date", "source_file")
 
 # The columns taken over from matches, in order.
 FACT_MATCHES_COLUMNS = (
-    "match_id round match_date match_time match_datetime season home_team away_team home_formation "
-    "away_formation home_coach away_coach winner winner_normalized stadium home_score away_score home_state "
-    "away_state gross_revenue is_draw home_result away_result total_goals"
-).split()
+    "match_id",
+    "round",
+    "match_date",
+    "match_time",
+    "match_datetime",
+    "season",
+    "home_team",
+    "away_team",
+    "home_formation",
+    "away_formation",
+    "home_coach",
+    "away_coach",
+    "winner",
+    "winner_normalized",
+    "stadium",
+    "home_score",
+    "away_score",
+    "home_state",
+    "away_state",
+    "gross_revenue",
+    "is_draw",
+    "home_result",
+    "away_result",
+    "total_goals",
+)
 FACT_GOALS_COLUMNS = [c for c in silver.GOALS_COLUMNS if c not in LINEAGE_COLUMNS]
 FACT_CARDS_COLUMNS = [c for c in silver.CARDS_COLUMNS if c not in LINEAGE_COLUMNS]
 FACT_STATISTICS_COLUMNS = [c for c in silver.STATISTICS_COLUMNS if c not in LINEAGE_COLUMNS]

@@ -22,11 +22,29 @@ TEAM_SUMS = {
     "goals_against": "goals_conceded",
     "points": "match_points",
 }
+# The averages of each summary, in order.
 SEASON_AVERAGES = (
-    "goals_scored goals_conceded shots shots_on_target shot_accuracy scoring_efficiency possession passes "
-    "pass_accuracy fouls yellow_cards red_cards corners"
-).split()
-SIDE_AVERAGES = "goals_scored goals_conceded shots possession pass_accuracy".split()
+    "goals_scored",
+    "goals_conceded",
+    "shots",
+    "shots_on_target",
+    "shot_accuracy",
+    "scoring_efficiency",
+    "possession",
+    "passes",
+    "pass_accuracy",
+    "fouls",
+    "yellow_cards",
+    "red_cards",
+    "corners",
+)
+SIDE_AVERAGES = (
+    "goals_scored",
+    "goals_conceded",
+    "shots",
+    "possession",
+    "pass_accuracy",
+)
 
 
 def _sums(columns: Mapping[str, str]) -> list[Column]:
@@ -37,10 +55,6 @@ def _averages(columns: Iterable[str]) -> list[Column]:
     return [F.avg(name).alias(f"avg_{name}") for name in columns]
 
 
-def _matching(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def _goal_difference() -> Column:
     return F.col("goals_for") - F.col("goals_against")
 
@@ -87,8 +101,8 @@ def top_scorers_by_season(
         .agg(
             F.count(F.lit(1)).alias("goals"),
             F.avg("minute").alias("avg_goal_minute"),
-            _matching(kind == penalty_label).alias("penalty_goals"),
-            _matching(kind == own_goal_label).alias("own_goals_labeled"),
+            F.count_if(kind == penalty_label).alias("penalty_goals"),
+            F.count_if(kind == own_goal_label).alias("own_goals_labeled"),
         )
     )
 
@@ -99,8 +113,8 @@ def team_discipline_summary(cards: DataFrame, facts: DataFrame) -> DataFrame:
     A team without cards gets zeros; so does the group of unknown seasons, since null keys match nothing.
     """
     booked = cards.groupBy("season", "team").agg(
-        _matching(F.col("card_type") == "yellow").alias("yellow_cards_events"),
-        _matching(F.col("card_type") == "red").alias("red_cards_events"),
+        F.count_if(F.col("card_type") == "yellow").alias("yellow_cards_events"),
+        F.count_if(F.col("card_type") == "red").alias("red_cards_events"),
         F.sum("card_weight").alias("discipline_points"),
     )
     played = facts.groupBy("season", "team").agg(

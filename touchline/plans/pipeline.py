@@ -2,12 +2,15 @@
 
 Each cleaned table is computed once, into an intermediate Parquet table in the shared folder. Checks, metrics
 and the published table read that, with only the columns they need; a lost executor repeats no more than its
-own tasks. Checks run before anything is published unless ``publish_first`` asks for the other order.
+own tasks. All checks run before anything is published, unless ``publish_first`` asks for the order gate, publish,
+report: then a failing gate publishes nothing, and a failing report raises with the table in place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -24,10 +27,10 @@ from touchline.operators.quality import (
     violations,
 )
 from touchline.plans import gold, marts, silver, suites
-from touchline.session import sized_shuffles, tune_session
+from touchline.session import sized_shuffles, tuned_session
 from touchline.sources.bronze import latest_load, read_bronze
 from touchline.sources.lake import Lake
-from touchline.sources.storage import path_bytes, staging_path
+from touchline.sources.storage import delete_path, path_bytes, staging_path
 from touchline.sources.tables import read_table, write_quarantine, write_table
 
 SAMPLE_LIMIT = 20
@@ -46,10 +49,15 @@ def _metrics(frame: DataFrame, distinct: Mapping[str, str]) -> dict[str, int]:
     return run_metrics(frame, distinct).first().asDict()
 
 
-def _stage(spark: SparkSession, lake: Lake, name: str, frame: DataFrame) -> DataFrame:
-    path = staging_path(spark, lake.root, name)
-    write_table(frame, path, gather=True)
-    return read_table(spark, path, schema=frame.schema)
+@contextmanager
+def _staged(spark: SparkSession, lake: Lake, name: str, frame: DataFrame) -> Iterator[DataFrame]:
+    """An intermediate table of this run, deleted at the end."""
+    path = staging_path(spark, lake.root, uuid.uuid4().hex, name)
+    try:
+        write_table(frame, path, gather=True)
+        yield read_table(spark, path, schema=frame.schema)
+    finally:
+        delete_path(spark, path)
 
 
 def _check(table: DataFrame, lake: Lake, dataset: str, planned: Sequence[Suite], run_date: str) -> list[Report]:
@@ -78,11 +86,11 @@ def _finish(
 ) -> StepResult:
     """Check and publish, in the order asked for, then measure what was published."""
     today = datetime.now(timezone.utc).date().isoformat()
-    if publish_first:
-        write_table(table, path)
-    reports = _check(table, lake, dataset, planned, today)
-    if not publish_first:
-        write_table(table, path)
+    before = 1 if publish_first else len(planned)
+    reports = _check(table, lake, dataset, planned[:before], today)
+    write_table(table, path)
+    if planned[before:]:
+        reports += _check(table, lake, dataset, planned[before:], today)
     published = read_table(spark, path, schema=table.schema)
     return StepResult(path, _metrics(published, distinct), tuple(reports))
 
@@ -105,13 +113,13 @@ def _build_silver(
     publish_first: bool = False,
 ) -> StepResult:
     """Compute a cleaned table once, check it, publish it."""
-    tune_session(spark)
     chosen = latest_load(spark, lake, source, load_date)
     dataset = f"silver_{source}"
-    with sized_shuffles(spark, path_bytes(spark, lake.raw_load(source, chosen))):
-        staged = _stage(spark, lake, dataset, transform(read_bronze(spark, lake, source, chosen)))
-        path = lake.silver_table(source)
-        return _finish(spark, lake, dataset, path, staged, suites_of(staged), distinct, publish_first)
+    with tuned_session(spark), sized_shuffles(spark, path_bytes(spark, lake.raw_load(source, chosen))):
+        raw = read_bronze(spark, lake, source, chosen)
+        with _staged(spark, lake, dataset, transform(raw)) as staged:
+            path = lake.silver_table(source)
+            return _finish(spark, lake, dataset, path, staged, suites_of(staged), distinct, publish_first)
 
 
 def build_silver_matches(
@@ -179,11 +187,10 @@ def _build_fact(
     distinct: Mapping[str, str],
 ) -> StepResult:
     """A fact is a projection of a table already laid out by season: nothing to stage, nothing to shuffle."""
-    tune_session(spark)
     path = lake.silver_table(source)
     table = transform(require_rows(read_table(spark, path), f"silver.{source}"))
     planned = [Suite(f"gold.{name}", checks)]
-    with sized_shuffles(spark, path_bytes(spark, path)):
+    with tuned_session(spark), sized_shuffles(spark, path_bytes(spark, path)):
         return _finish(spark, lake, name, lake.gold_table(name), table, planned, distinct)
 
 
@@ -216,11 +223,10 @@ def build_fact_team_match_statistics(spark: SparkSession, lake: Lake) -> StepRes
 def _build_mart(
     spark: SparkSession, lake: Lake, name: str, transform: Callable[..., DataFrame], *sources: str
 ) -> StepResult:
-    tune_session(spark)
     paths = [lake.gold_table(source) for source in sources]
     table = transform(*[read_table(spark, path) for path in paths])
     path = lake.mart(name)
-    with sized_shuffles(spark, path_bytes(spark, *paths)):
+    with tuned_session(spark), sized_shuffles(spark, path_bytes(spark, *paths)):
         write_table(table, path)
     return StepResult(path, _metrics(read_table(spark, path, schema=table.schema), {}))
 

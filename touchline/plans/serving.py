@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,7 +114,11 @@ def serve(
     declared: bool = False,
     write: Callable[[DataFrame, JdbcTarget, str], None] = write_jdbc,
 ) -> list[str]:
-    """Load all tables in order and return their names."""
+    """Load all tables in order and return their names.
+
+    Only tables of the declared shape fit the declared schema, so others replace their table instead of emptying it.
+    """
+    target = replace(target, truncate=target.truncate and declared)
     names = []
     for name, frame in serving_tables(spark, lake, declared):
         write(frame, target, name)

@@ -13,31 +13,106 @@ from touchline.functions.minutes import minute_bucket, parse_minute
 from touchline.functions.numbers import ratio
 from touchline.functions.outcomes import by_side, is_home_side, known_result, lookup, result_or_draw
 from touchline.operators.layout import project
-from touchline.operators.numbering import HotBuckets, measure_hot_buckets, number_occurrences
+from touchline.operators.numbering import ROWS_PER_TASK, HotBuckets, measure_hot_buckets, number_occurrences
 from touchline.plans import layouts
 
 # The columns of each table, in order.
 MATCHES_COLUMNS = (
-    "match_id round match_time home_team away_team home_formation away_formation home_coach away_coach winner "
-    "stadium home_score away_score home_state away_state gross_revenue ingestion_date source_file match_date "
-    "match_datetime season total_goals is_draw home_result away_result winner_normalized"
-).split()
+    "match_id",
+    "round",
+    "match_time",
+    "home_team",
+    "away_team",
+    "home_formation",
+    "away_formation",
+    "home_coach",
+    "away_coach",
+    "winner",
+    "stadium",
+    "home_score",
+    "away_score",
+    "home_state",
+    "away_state",
+    "gross_revenue",
+    "ingestion_date",
+    "source_file",
+    "match_date",
+    "match_datetime",
+    "season",
+    "total_goals",
+    "is_draw",
+    "home_result",
+    "away_result",
+    "winner_normalized",
+)
 
 GOALS_COLUMNS = (
-    "goal_id match_id round season match_date team player minute_raw minute_base stoppage_minute minute "
-    "minute_bucket goal_type is_home_team_goal ingestion_date source_file"
-).split()
+    "goal_id",
+    "match_id",
+    "round",
+    "season",
+    "match_date",
+    "team",
+    "player",
+    "minute_raw",
+    "minute_base",
+    "stoppage_minute",
+    "minute",
+    "minute_bucket",
+    "goal_type",
+    "is_home_team_goal",
+    "ingestion_date",
+    "source_file",
+)
 
 CARDS_COLUMNS = (
-    "card_id match_id round season match_date team player shirt_number position minute_raw minute_base "
-    "stoppage_minute minute minute_bucket card_type card_weight is_home_team_card ingestion_date source_file"
-).split()
+    "card_id",
+    "match_id",
+    "round",
+    "season",
+    "match_date",
+    "team",
+    "player",
+    "shirt_number",
+    "position",
+    "minute_raw",
+    "minute_base",
+    "stoppage_minute",
+    "minute",
+    "minute_bucket",
+    "card_type",
+    "card_weight",
+    "is_home_team_card",
+    "ingestion_date",
+    "source_file",
+)
 
 STATISTICS_COLUMNS = (
-    "match_id round season match_date team opponent_team is_home_team match_result goals_scored goals_conceded "
-    "shots shots_on_target shot_accuracy scoring_efficiency possession passes pass_accuracy fouls yellow_cards "
-    "red_cards offsides corners ingestion_date source_file"
-).split()
+    "match_id",
+    "round",
+    "season",
+    "match_date",
+    "team",
+    "opponent_team",
+    "is_home_team",
+    "match_result",
+    "goals_scored",
+    "goals_conceded",
+    "shots",
+    "shots_on_target",
+    "shot_accuracy",
+    "scoring_efficiency",
+    "possession",
+    "passes",
+    "pass_accuracy",
+    "fouls",
+    "yellow_cards",
+    "red_cards",
+    "offsides",
+    "corners",
+    "ingestion_date",
+    "source_file",
+)
 
 EVENT_MATCH_COLUMNS = ("match_id", "season", "match_date", "home_team", "away_team")
 STATISTICS_MATCH_COLUMNS = (*EVENT_MATCH_COLUMNS, "home_score", "away_score")
@@ -90,28 +165,41 @@ def _with_match(events: DataFrame, matches: DataFrame, columns: tuple[str, ...],
     return joined.withColumn(side, is_home_side(F.col("team"), F.col("home_team"), F.col("away_team")))
 
 
-def measure_goals(raw: DataFrame) -> HotBuckets:
-    """Match keys under which too many goals gather for one task; reads the key column only."""
-    return measure_hot_buckets(project(raw, [layouts.MATCH_KEY]), ["match_id"])
+def measure_goals(raw: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> HotBuckets:
+    """Match keys under which too many goals gather for one task; only the key column is used."""
+    return measure_hot_buckets(project(raw, [layouts.MATCH_KEY]), ["match_id"], rows_per_task)
 
 
-def silver_goals(raw: DataFrame, matches: DataFrame, hot: HotBuckets | None = None) -> DataFrame:
+def _typed_goals(raw: DataFrame) -> DataFrame:
+    return _with_minutes(project(raw, layouts.GOALS))
+
+
+def _with_goal_columns(goals: DataFrame, matches: DataFrame) -> DataFrame:
+    joined = _with_match(goals, matches, EVENT_MATCH_COLUMNS, "is_home_team_goal")
+    return joined.withColumn("minute_bucket", minute_bucket(F.col("minute")))
+
+
+def goals_without_ids(raw: DataFrame, matches: DataFrame) -> DataFrame:
+    """The goals without ``goal_id``, for work that needs none: nothing is numbered or distributed by match."""
+    goals = _with_goal_columns(_typed_goals(raw), matches)
+    return goals.select(*[column for column in GOALS_COLUMNS if column != "goal_id"])
+
+
+def silver_goals(
+    raw: DataFrame, matches: DataFrame, hot: HotBuckets | None = None, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """One row per goal.
 
     The goals are distributed once, by match key: numbering and the join to matches share that shuffle.
     """
     hot = measure_goals(raw) if hot is None else hot
-    goals = _with_minutes(project(raw, layouts.GOALS))
-    numbered = number_occurrences(goals, GOAL_IDENTITY, ["source_file"], "occurrence", hot)
-    parts = [_with_match(part, matches, EVENT_MATCH_COLUMNS, "is_home_team_goal") for part in numbered]
+    numbered = number_occurrences(
+        _typed_goals(raw), GOAL_IDENTITY, ["source_file"], "occurrence", hot, rows_per_task
+    )
+    parts = [_with_goal_columns(part, matches) for part in numbered]
     return (
         reduce(DataFrame.unionByName, parts)
-        .withColumns(
-            {
-                "minute_bucket": minute_bucket(F.col("minute")),
-                "goal_id": digest_id(*map(F.col, [*GOAL_IDENTITY, "occurrence"])),
-            }
-        )
+        .withColumn("goal_id", digest_id(*map(F.col, [*GOAL_IDENTITY, "occurrence"])))
         .select(*GOALS_COLUMNS)
     )
 

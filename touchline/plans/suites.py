@@ -138,7 +138,16 @@ def _two_rows_per_match() -> GroupCheck:
 
 
 def silver_match_statistics() -> list[Check]:
-    counters = "shots shots_on_target passes fouls yellow_cards red_cards offsides corners".split()
+    counters = (
+        "shots",
+        "shots_on_target",
+        "passes",
+        "fouls",
+        "yellow_cards",
+        "red_cards",
+        "offsides",
+        "corners",
+    )
     expected = result_or_draw(col("goals_scored"), col("goals_conceded"))
     return [
         *_missing("match_id", "team", "season"),

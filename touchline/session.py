@@ -34,30 +34,56 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
-def tune_session(spark: SparkSession) -> SparkSession:
-    """Apply the code-generation limit to a session started elsewhere; everything else stays as it is."""
+@contextmanager
+def tuned_session(spark: SparkSession) -> Iterator[SparkSession]:
+    """The code-generation limit for the work done inside, in a session started elsewhere; then as it was."""
     key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
     spark.conf.set(key, DEFAULTS[key])
-    return spark
+    try:
+        yield spark
+    finally:
+        spark.conf.set(key, before)
 
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 BYTES_PER_PARTITION = 128 << 20
+# Each map task writes a block for each reducer, so both must grow slower than the input. Up to LINEAR_PARTITIONS
+# reducers their number follows the input; beyond, its square root, and so does the size of scan splits.
+LINEAR_PARTITIONS = 4_000
+LARGEST_SPLIT = 1 << 30
+
+
+def shuffle_plan(input_bytes: int, bytes_per_partition: int = BYTES_PER_PARTITION) -> tuple[int, int]:
+    """The number of reducers and the bytes of a scan split for an input.
+
+    100 TB give some 57,000 reducers of about 1.8 GB and some 100,000 scan tasks of 1 GB.
+    """
+    wanted = math.ceil(input_bytes / bytes_per_partition)
+    if wanted <= LINEAR_PARTITIONS:
+        return wanted, bytes_per_partition
+    growth = math.sqrt(wanted / LINEAR_PARTITIONS)
+    return math.ceil(LINEAR_PARTITIONS * growth), min(LARGEST_SPLIT, int(bytes_per_partition * growth))
 
 
 @contextmanager
 def sized_shuffles(
     spark: SparkSession, input_bytes: int, bytes_per_partition: int = BYTES_PER_PARTITION
 ) -> Iterator[int]:
-    """Raise the number of shuffle partitions to fit an input, for the work done inside.
+    """Raise the number of shuffle partitions and the size of scan splits to fit an input, for the work done inside.
 
     Adaptive execution merges partitions that turn out small but does not add any, so a default of 200 would
     put hundreds of gigabytes of a large load into each task.
     """
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    partitions = max(int(before), math.ceil(input_bytes / bytes_per_partition))
+    before = {key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SCAN_BYTES)}
+    reducers, split = shuffle_plan(input_bytes, bytes_per_partition)
+    partitions = max(int(before[SHUFFLE_PARTITIONS]), reducers)
     spark.conf.set(SHUFFLE_PARTITIONS, str(partitions))
+    if split > bytes_per_partition:
+        spark.conf.set(SCAN_BYTES, str(split))
     try:
         yield partitions
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -18,17 +18,21 @@ class JdbcTarget:
     max_connections: int = 16
     rows_per_batch: int = 10_000
     truncate: bool = True
+    cascade_truncate: bool = True
 
     def options(self, table: str) -> dict[str, str]:
-        return {
+        options = {
             **self.properties,
             "url": self.url,
             "dbtable": f"{self.schema}.{table}",
             "numPartitions": str(self.max_connections),
             "batchsize": str(self.rows_per_batch),
-            # Keep the declared keys and indexes: empty the table instead of dropping it.
-            "truncate": str(self.truncate).lower(),
         }
+        if self.truncate:
+            # Keep the declared keys and indexes: empty the table instead of dropping it. A table that foreign keys
+            # refer to can only be emptied together with the referring ones, which are loaded after it.
+            options |= {"truncate": "true", "cascadeTruncate": str(self.cascade_truncate).lower()}
+        return options
 
 
 def write_jdbc(frame: DataFrame, target: JdbcTarget, table: str, mode: str = "overwrite") -> None:

@@ -55,6 +55,11 @@ def empty_files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    located, files = _open(spark, path)
+    files.delete(located, True)
+
+
 def child_directories(spark: SparkSession, path: str) -> list[str]:
     """Names of the directories directly under a path; empty if the path does not exist."""
     located, files = _open(spark, path)

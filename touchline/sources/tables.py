@@ -58,4 +58,4 @@ def write_table(
 def write_quarantine(violating: DataFrame, path: str, run_date: str) -> None:
     """Write violating rows under ``check_name=/run_date=``; checks without such rows are left as they are."""
     dated = violating.withColumn("run_date", F.lit(run_date))
-    write_table(dated, path, ("check_name", "run_date"), dynamic=True)
+    write_table(dated, path, ("check_name", "run_date"), gather=True, dynamic=True)

@@ -72,7 +72,9 @@ SELECT TRY_CAST(partida_id AS BIGINT) AS match_id, TRY_CAST(rodada AS INT) AS ro
 FROM goals_raw""",
     "numbered_goals": """
 SELECT *, row_number() OVER (PARTITION BY match_id, team, player, minute, goal_type
-    ORDER BY source_file, round NULLS FIRST, minute_raw NULLS FIRST) AS n
+    ORDER BY source_file, md5(concat_ws('|', CAST(ingestion_date AS VARCHAR), coalesce(CAST(minute_base AS VARCHAR), ''),
+      coalesce(minute_raw, ''), coalesce(CAST(round AS VARCHAR), ''),
+      coalesce(CAST(stoppage_minute AS VARCHAR), '')))) AS n
 FROM (SELECT *, minute_base + stoppage_minute AS minute FROM typed_goals)""",
     "silver_goals": f"""
 SELECT sha256(concat_ws('||', CAST(e.match_id AS VARCHAR), coalesce(e.team, ''), coalesce(e.player, ''),
@@ -416,6 +418,7 @@ _METRIC_TABLES = (
 )
 
 OTHER = {
+    "silver_goals_hot": "SELECT * FROM silver_goals",
     "resolved_columns": """
 SELECT partida_id AS match_id, rodada AS round, clube AS team, cartao AS card_type, atleta AS player,
   num_camisa AS shirt_number, posicao AS position, minuto AS minute_text, _load_date AS ingestion_date,
