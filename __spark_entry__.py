@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,13 @@ from touchline.operators.layout import project, rename_resolved
 from touchline.operators.loads import select_load
 from touchline.operators.metrics import run_metrics
 from touchline.operators.quality import Check, count_failures, violations
-from touchline.plans import gold, layouts, marts, serving, silver, suites
+from touchline.plans import gold, layouts, marts, pipeline, serving, silver, suites
 from touchline.session import DEFAULTS
 from touchline.sources.bronze import read_bronze
 from touchline.sources.landing import land_files
 from touchline.sources.lake import Lake
 from touchline.sources.storage import join_path, staging_path
-from touchline.sources.tables import write_quarantine
+from touchline.sources.tables import read_table, write_quarantine
 from verification.fixtures import RAW, raw_view
 from verification.oracle import oracle_sql as _oracle_sql
 
@@ -249,16 +250,51 @@ def _bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, lake, "matches").drop("_source_file")
 
 
-def _file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write each source as CSV files, land them, and sum the manifest per source."""
-    work = staging_path(spark, sf_dir, "file_manifest")
+def _landed(spark: SparkSession, sf_dir: str, *sources: str) -> tuple[Lake, DataFrame]:
+    """Write sources as CSV files, all loads together, and land them in a new lake; the lake and its manifest."""
+    work = staging_path(spark, sf_dir, uuid.uuid4().hex, "landed")
     tables, files = Tables(spark, sf_dir), {}
-    for source in RAW:
+    for source in sources:
         files[source] = join_path(work, "inbox", source)
-        text = tables.raw(source).drop("_source_file", "_load_date")
-        text.write.mode("overwrite").option("header", True).csv(files[source])
-    manifest = land_files(spark, Lake(join_path(work, "lake")), files)
-    return manifest.groupBy("source_name", "column_count", "encoding").agg(F.sum("row_count").alias("row_count"))
+        (
+            tables.raw(source)
+            .drop("_source_file", "_load_date")
+            .write.option("header", True)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(files[source])
+        )
+    lake = Lake(join_path(work, "lake"))
+    land_files(spark, lake, files, datetime(2024, 1, 2, tzinfo=timezone.utc))
+    return lake, spark.read.json(lake.manifest())
+
+
+def _file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land each source and sum the stored manifest per source."""
+    _, manifest = _landed(spark, sf_dir, *RAW)
+    names = F.array_join("columns", ",").alias("columns")
+    kept = manifest.select("source_name", F.col("column_count").cast("int"), "encoding", names, "row_count")
+    return kept.groupBy("source_name", "column_count", "encoding", "columns").agg(F.sum("row_count").alias("row_count"))
+
+
+def _landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matches as they are read back from the raw layer."""
+    lake, _ = _landed(spark, sf_dir, "matches")
+    return read_bronze(spark, lake, "matches").drop("_source_file", "_load_date")
+
+
+def _through_layers(mart: str, source: str, fact: str) -> Query:
+    """From CSV files through every layer to a mart, by the pipeline's steps, read back from the lake."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake, _ = _landed(spark, sf_dir, "matches", source)
+        for name in ("matches", source):
+            pipeline.SILVER_STEPS[name](spark, lake)
+        pipeline.FACT_STEPS[fact](spark, lake)
+        pipeline.MART_STEPS[mart](spark, lake)
+        return read_table(spark, lake.mart(mart))
+
+    return _rounded(run)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -311,6 +347,14 @@ def queries() -> dict[str, Query]:
         "run_metrics": _run_metrics,
         "bronze_roundtrip": _bronze_roundtrip,
         "file_manifest": _file_manifest,
+        "landed_rows": _landed_rows,
+        "pipeline_team_season": _through_layers(
+            "team_season_summary", "match_statistics", "fact_team_match_statistics"
+        ),
+        "pipeline_home_away": _through_layers(
+            "team_home_away_summary", "match_statistics", "fact_team_match_statistics"
+        ),
+        "pipeline_scorers": _through_layers("top_scorers_by_season", "goals", "fact_goals"),
     } | _training_data_queries()
 
 

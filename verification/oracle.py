@@ -417,6 +417,24 @@ _METRIC_TABLES = (
     ("silver_match_statistics", "match_id", "team"),
 )
 
+HEADERS = {
+    "matches": ("ID", "rodada", "data", "hora", "mandante", "visitante", "formacao_mandante", "formacao_visitante",
+                "tecnico_mandante", "tecnico_visitante", "vencedor", "arena", "mandante_Placar", "visitante_Placar",
+                "mandante_Estado", "visitante_Estado", "arrecadacao"),
+    "goals": ("partida_id", "rodada", "clube", "atleta", "minuto", "tipo_de_gol"),
+    "cards": ("partida_ID", "rodada", "clube", "cartao", "atleta", "num_camisa", "posicao", "minuto"),
+    "match_statistics": ("partida_id", "rodada", "clube", "chutes", "chutes_no_alvo", "posse_de_bola", "passes",
+                         "precisao_passes", "faltas", "cartao_amarelo", "cartao_vermelho", "impedimentos",
+                         "escanteios"),
+}
+
+#: Marts that the pipeline's steps make of files that hold all loads.
+THROUGH_LAYERS = {
+    "pipeline_team_season": "team_season_summary",
+    "pipeline_home_away": "team_home_away_summary",
+    "pipeline_scorers": "top_scorers_by_season",
+}
+
 OTHER = {
     "silver_goals_hot": "SELECT * FROM silver_goals",
     "resolved_columns": """
@@ -440,10 +458,14 @@ FROM cards_raw""",
 SELECT * EXCLUDE (_source_file, hora, formacao_mandante), nullif(hora, '') AS hora,
   nullif(formacao_mandante, '') AS formacao_mandante
 FROM matches_raw WHERE {LATEST}""",
+    "landed_rows": """
+SELECT * EXCLUDE (_source_file, _load_date, hora, formacao_mandante), nullif(hora, '') AS hora,
+  nullif(formacao_mandante, '') AS formacao_mandante
+FROM matches_raw""",
     "file_manifest": "\nUNION ALL\n".join(
         f"SELECT '{source}' AS source_name, (SELECT count(*) FROM {source}_raw) AS row_count, "
-        f"{width} AS column_count, 'UTF-8' AS encoding"
-        for source, width in (("matches", 17), ("goals", 6), ("cards", 8), ("match_statistics", 13))
+        f"{len(columns)} AS column_count, '{','.join(columns)}' AS columns, 'UTF-8' AS encoding"
+        for source, columns in HEADERS.items()
     ),
 }
 
@@ -456,4 +478,6 @@ _TABLES = (
 
 def oracle_sql() -> dict[str, str]:
     selects = {name: f"SELECT * FROM {name}" for name in _TABLES}
-    return {name: _over_views(text) for name, text in {**selects, **SERVING, **QUALITY, **OTHER}.items()}
+    found = {name: _over_views(text) for name, text in {**selects, **SERVING, **QUALITY, **OTHER}.items()}
+    layered = {name: found[mart].replace(LATEST, "TRUE") for name, mart in THROUGH_LAYERS.items()}
+    return found | layered
