@@ -212,3 +212,10 @@ def test_summaries_combine_before_their_shuffle(tables):
 def test_no_python_worker_in_any_table(tables):
     for frame in tables.values():
         assert "Python" not in plan_of(frame)
+
+
+def test_work_without_goal_ids_distributes_no_goals(raw, tables):
+    goals = silver.goals_without_ids(raw["goals"], tables["matches"])
+    plan = marts.top_scorers_by_season(goals)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" not in plan and "Window" not in plan
+    assert goals.columns == [column for column in silver.GOALS_COLUMNS if column != "goal_id"]
