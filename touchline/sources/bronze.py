@@ -93,6 +93,4 @@ def read_bronze(
     else:
         raw = read_csv_text(spark, lake.raw_load(source, chosen), encoding)
     require_rows(raw, f"source {source}, load date {chosen}")
-    return raw.select(
-        "*", F.col("_metadata.file_path").alias(SOURCE_FILE), F.lit(chosen).alias(LOAD_DATE)
-    )
+    return with_lineage(raw)

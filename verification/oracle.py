@@ -460,7 +460,7 @@ SELECT * EXCLUDE (_source_file, hora, formacao_mandante), nullif(hora, '') AS ho
 FROM matches_raw WHERE {LATEST}""",
     "landed_rows": """
 SELECT * EXCLUDE (_source_file, _load_date, hora, formacao_mandante), nullif(hora, '') AS hora,
-  nullif(formacao_mandante, '') AS formacao_mandante
+  nullif(formacao_mandante, '') AS formacao_mandante, '2024-01-02' AS _load_date
 FROM matches_raw""",
     "file_manifest": "\nUNION ALL\n".join(
         f"SELECT '{source}' AS source_name, (SELECT count(*) FROM {source}_raw) AS row_count, "
