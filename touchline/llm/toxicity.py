@@ -16,6 +16,7 @@ the sample has only one class, or is empty, all texts get that class's share of
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import ddl, drop_staged, map_blocks, staged, texts_of
+from touchline.llm.common import blocks, ddl, drop_staged, map_blocks, staged, texts_of
 
 SIZES = (5, 6, 7, 8)
 #: A text of so many bytes that holds an n-gram once has the value 1/2.
@@ -37,8 +38,8 @@ LEAST_TEXTS = 3
 #: Weight of the penalty on squared weights, per text.
 PENALTY = 1e-3
 _STEPS = 400
-#: Bytes of text hashed at once.
-_BLOCK = 4 << 20
+#: Bytes of text hashed at once; some 150 times as many are held meanwhile.
+_BLOCK = 1 << 19
 _TO_SPACE = bytes.maketrans(b"\t\n\v\f\r", b"     ")
 
 
@@ -132,14 +133,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     """Fit the model on a bounded sample of labelled rows."""
     sample = staged(labelled_sample(docs, labels, label, key, text).repartition(8), "sample")
 
-    def counts(block: pa.RecordBatch) -> dict[str, list]:
-        positive = np.array(block.column(block.schema.get_field_index("_label")).to_pylist()) >= 0.5
-        rows, features, values = densities(texts_of(block, "_text"), None)
-        names, where = np.unique(features, return_inverse=True)
-        yes = np.bincount(where, weights=values * positive[rows], minlength=len(names))
-        return {"feature": names, "yes": yes, "no": np.bincount(where, weights=values, minlength=len(names)) - yes}
-
-    by_feature = map_blocks(sample, "_text", "feature long, yes double, no double", counts)
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sums of a task by class, one number for each hash, so that a task's memory does not follow its texts.
+        yes, no = np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS)
+        for block in blocks(batches, "_text", _BLOCK):
+            positive = np.array(block.column(block.schema.get_field_index("_label")).to_pylist()) >= 0.5
+            rows, features, values = densities(texts_of(block, "_text"), None)
+            for sums, own in ((yes, positive[rows]), (no, ~positive[rows])):
+                sums += np.bincount(features[own], weights=values[own], minlength=len(sums))
+        found = np.flatnonzero(yes + no)
+        for part in np.array_split(found, len(found) // 50_000 + 1):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), pa.array(yes[part]), pa.array(no[part])], ["feature", "yes", "no"]
+            )
+
+    by_feature = sample.mapInArrow(counts, "feature long, yes double, no double")
     by_feature = by_feature.groupBy("feature").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     positives, total = sample.agg(F.sum((F.col("_label") >= 0.5).cast("long")), F.count("*")).first()
     positives, negatives = positives or 0, total - (positives or 0)
