@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from touchline.llm.common import ddl, map_blocks, texts_of
 from touchline.llm.merges import PairTable, replay
 
-#: Pre-tokens remembered per Python worker (about 250 bytes each).
-REMEMBERED = 400_000
+#: Pre-tokens remembered per Python worker (about 350 bytes each).
+REMEMBERED = 200_000
 #: Longer pre-tokens are not remembered.
 LONGEST_REMEMBERED = 256
 
