@@ -15,39 +15,40 @@ from touchline.llm.queries import PATTERN, RANKS
 from touchline.llm.simhash import near_duplicates
 
 
-def _packed(docs: DataFrame, *beside: str) -> DataFrame:
-    """All columns in one, ``_doc``, so that no name clashes with an operator's; and some beside it."""
-    return docs.select(*beside, F.struct(*docs.columns).alias("_doc"))
+def _packed(docs: DataFrame) -> DataFrame:
+    """Id, text, and all other columns in one, ``_doc``, so that no name clashes with an operator's."""
+    others = [F.col(name) for name in docs.columns if name != "text"]
+    # In place of the text, whether it is null: operators may take null for empty.
+    return docs.select("doc_id", "text", F.struct(F.isnull("text").alias("text"), *others).alias("_doc"))
+
+
+def _unpacked(packed: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` again."""
+    kept = F.when(~F.col("_doc.text"), F.col(text)).alias("text")
+    return packed.select(*[kept if name == "text" else F.col("_doc")[name].alias(name) for name in docs.columns])
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not predict to be toxic. Labels held out for testing teach nothing."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(~F.coalesce(toxicity.held_out(), F.lit(True))))
-    return toxicity.score(_packed(docs, "text"), model, keep=["_doc"]).where("score < 0.5").select("_doc.*")
+    return _unpacked(toxicity.score(_packed(docs), model, keep=["_doc", "text"]).where("score < 0.5"), docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: that with the largest id."""
-    # The text itself stays with the operator, which keeps it once for each group.
-    marked = docs.select(
-        "doc_id",
-        "text",
-        F.struct(*[F.isnull("text").alias("text") if name == "text" else name for name in docs.columns]).alias("_doc"),
-    )
-    kept = exact_duplicates(marked, carry=["_doc"]).where("kept")
-    text = F.when(~F.col("_doc.text"), F.col("_text")).alias("text")
-    return kept.select(*[text if name == "text" else F.col("_doc")[name].alias(name) for name in docs.columns])
+    return _unpacked(exact_duplicates(_packed(docs), carry=["_doc"]).where("kept"), docs, "_text")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that SimHash links connect: that with the smallest id."""
-    return near_duplicates(_packed(docs, "doc_id", "text"), keep=["_doc"]).where("kept").select("_doc.*")
+    return _unpacked(near_duplicates(_packed(docs), keep=["_doc", "text"]).where("kept"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture to the target weights, each document as often as its epochs say."""
-    numbered = staged(_packed(docs).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.monotonically_increasing_id().alias("_row"))
+    numbered = staged(rows, "numbered")
     leaves = numbered.select("_row", "_doc.doc_id", "_doc.text", "_doc.lang", "_doc.source")
     mixed = source_mix.mix(source_mix.with_domain(leaves), source_mix.LEVELS, keep=["_row"])
     chosen = mixed.where("copies > 0").select("_row", "copies")
