@@ -116,31 +116,6 @@ class Tables:
         return marts.home_away_wide(self.team_home_away_summary())
 
 
-class StagedTables(Tables):
-    """The same, with each cleaned table derived once, into Parquet, for queries that read it several times."""
-
-    def _stage(self, name: str, table: DataFrame) -> DataFrame:
-        path = staging_path(self.spark, self.sf_dir, uuid.uuid4().hex, name)
-        table.write.parquet(path)
-        return self.spark.read.schema(table.schema).parquet(path)
-
-    @cached_property
-    def _matches(self) -> DataFrame:
-        return self._stage("matches", super()._matches)
-
-    @cached_property
-    def _goals(self) -> DataFrame:
-        return self._stage("goals", super()._goals)
-
-    @cached_property
-    def _cards(self) -> DataFrame:
-        return self._stage("cards", super()._cards)
-
-    @cached_property
-    def _statistics(self) -> DataFrame:
-        return self._stage("match_statistics", super()._statistics)
-
-
 def _table(name: str) -> Query:
     return lambda spark, sf_dir: getattr(Tables(spark, sf_dir), name)()
 
@@ -164,7 +139,7 @@ def _checked(table: str, checks: Callable[[], list[Check]]) -> Query:
 
 
 def _checked_goals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = StagedTables(spark, sf_dir)
+    tables = Tables(spark, sf_dir)
     goals = tables.silver_goals()
     return count_failures(goals, suites.silver_goals(goals, tables.silver_matches()))
 
@@ -196,7 +171,7 @@ def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = StagedTables(spark, sf_dir)
+    tables = Tables(spark, sf_dir)
     keyed = {name: getattr(tables, name) for name in serving.PRIMARY_KEYS}
     keyed["team_home_away_summary"] = tables.home_away_wide
     reports = [key_report(table(), name, serving.PRIMARY_KEYS[name]) for name, table in keyed.items()]
@@ -222,7 +197,7 @@ def _reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = StagedTables(spark, sf_dir)
+    tables = Tables(spark, sf_dir)
     parts = []
     for name, team in (
         ("silver_matches", "home_team"),
@@ -231,7 +206,8 @@ def _run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("silver_match_statistics", "team"),
     ):
         distinct = {"distinct_matches": "match_id", "distinct_seasons": "season", "distinct_teams": team}
-        parts.append(run_metrics(getattr(tables, name)(), distinct).select(F.lit(name).alias("table_name"), "*"))
+        table = tables._unnumbered_goals if name == "silver_goals" else getattr(tables, name)()
+        parts.append(run_metrics(table, distinct).select(F.lit(name).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
