@@ -118,6 +118,49 @@ def test_rewriting_templates_are_found():
     assert [chat.Renderer(numbered).add("u", "a").rewrites, chat.Renderer(appended).add("u", "a").rewrites] == [True, False]
 
 
+def counting_templates():
+    """Nested, so that workers, which do not import tests, get them by value."""
+
+    def by_number(turns):
+        return "".join(f"{number}. {role}: {text}\n" for number, (role, text) in enumerate(turns))
+
+    def by_turns(turns):
+        assert all(role == ("user", "assistant")[number % 2] for number, (role, _) in enumerate(turns))
+        return "".join(f"<{role}>{text}" for role, text in turns)
+
+    return [by_number, by_turns]
+
+
+def without_old_thoughts(turns):
+    """Thoughts are shown while fewer than 40 turns follow."""
+    return "".join(f"{role}|{text}|" for at, (role, text) in enumerate(turns) if role != "thought" or len(turns) - at <= 40)
+
+
+@pytest.mark.parametrize("template", counting_templates())
+def test_whole_prefixes_of_long_conversations(spark, template):
+    turns = [(("user", "assistant")[number % 2], f"text {number}") for number in range(90)]
+    renderer = chat.Renderer(template)
+    spans = [renderer.add(*one) for one in turns]
+    assert "".join(span.added for span in spans) == template(turns) and not any(span.rewrites for span in spans)
+    assert [span.added[span.start : span.end] for span in spans] == [text for _, text in turns]
+    rows = spark.createDataFrame([(1, at, *one) for at, one in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    parts = chat.format_turns(rows, template).orderBy("position").collect()
+    assert "".join(row["formatted"] for row in parts) == template(turns) and not any(row["rewrites"] for row in parts)
+
+
+def test_rewriting_far_back_is_found():
+    renderer = chat.Renderer(without_old_thoughts)
+    spans = [renderer.add("thought" if number == 5 else "user", f"t{number}") for number in range(60)]
+    assert [number for number, span in enumerate(spans) if span.rewrites] == [45]
+
+
+def test_only_stateless_templates_allow_a_window():
+    with pytest.raises(ValueError, match="stateless"):
+        chat.Renderer(counting_templates()[0], window=8)
+    assert chat.Renderer(chat.marked_turns, window=2).window == 2
+    assert chat.Renderer(chat.marked_turns).window == chat.WINDOW and chat.Renderer(counting_templates()[0]).window is None
+
+
 def test_awkward_conversations(spark):
     rows = [(1, 2, "assistant", None, "x"), (1, 1, "user", "hi", "x"), (1, 1, None, "hi", "x"), (None, None, "assistant", "y", "z"),
             (3, 1, "assistant", "w" * 50_000, "q")]

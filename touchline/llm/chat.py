@@ -5,10 +5,11 @@ a conversation are rendered as growing prefixes. If each output begins with the
 span; if not, the template rewrites history, which is reported. A turn rendered with a mark in place of its text shows
 where in the span the text lies, which gives the loss mask.
 
-Rows of a conversation pass through a task in order of turn, then role, then text, and only the last ``WINDOW`` turns
-are held, with the first one before them (templates often treat it apart). So up to ``WINDOW`` + 1 turns a prefix is
-the whole conversation; beyond, rendering stays linear in its length, for templates that look no further back. One
-conversation's digest is a chain over its turns and is computed in one task, but never held there.
+Rows of a conversation pass through a task in order of turn, then role, then text. A prefix is the whole conversation
+so far, so the task holds it, and rendering it takes time with the square of its turns: nothing less is right for a
+template of which nothing is known. Only a template declared ``stateless`` is rendered with the last ``WINDOW`` turns
+and the first, which stays linear and gives the same spans. The digests of the registered query use such a template;
+one conversation's digest is a chain over its turns and is computed in one task, but never held there.
 
 Null roles and texts count as empty. A null conversation id is one conversation. Repeated rows are turns of their own.
 Extra columns are ignored.
@@ -30,7 +31,7 @@ from touchline.llm.common import ddl
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
-#: Turns before the present one that are rendered again with it.
+#: Turns before the present one that are rendered again with it, for stateless templates.
 WINDOW = 32
 #: A private-use character, which no template writes by itself.
 MARK = "\ue000"
@@ -43,6 +44,12 @@ _ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
 _TURN = re.compile(r"### ((?:\\(?:\\|###|</turn>|:)|[^\\:])*): ((?:\\(?:\\|###|</turn>)|(?!###|</turn>)[^\\])*+)</turn>\n")
 
 
+def stateless(template: Template) -> Template:
+    """Declare that a template writes each turn by itself, whatever comes before it; only such ones allow a window."""
+    template.stateless = True
+    return template
+
+
 def escape(text: str) -> str:
     """Put a backslash before each control string and each backslash."""
     return _CONTROL.sub(r"\\\g<0>", text)
@@ -52,6 +59,7 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+@stateless
 def marked_turns(turns: list[Turn]) -> str:
     """The template of the registered query: ``### role: text</turn>`` and a line break for each turn."""
     return "".join(
@@ -83,16 +91,16 @@ class Span:
 
 
 class Renderer:
-    """Renders one conversation turn by turn."""
+    """Renders one conversation turn by turn, over whole prefixes or, if the template is stateless, a window."""
 
-    def __init__(self, template: Template, window: int = WINDOW):
-        self.template, self.window = template, window
+    def __init__(self, template: Template, window: int | None = None):
+        self.template, self.window = template, _allowed(template, window)
         self.turns: list[Turn] = []
         self.before = template([])
 
     def add(self, role: str, text: str) -> Span:
         turns = self.turns
-        if len(turns) > self.window + 1:
+        if self.window is not None and len(turns) > self.window + 1:
             turns = self.turns = turns[:1] + turns[-self.window :]
             self.before = self.template(turns)
         output = self.template([*turns, (role, text)])
@@ -107,6 +115,15 @@ class Renderer:
         return Span(role, output[begin:], start, max(start, end), rewrites)
 
 
+def _allowed(template: Template, window: int | None) -> int | None:
+    """The window to render with; None is whole prefixes."""
+    if getattr(template, "stateless", False):
+        return WINDOW if window is None else window
+    if window is not None:
+        raise ValueError("a window needs a template that is declared stateless")
+    return None
+
+
 def _shared(one: str, other: str) -> int:
     """Length of the common beginning, by halving."""
     low, high = 0, min(len(one), len(other))
@@ -122,7 +139,7 @@ def _in_order(conversations: DataFrame, key: str) -> DataFrame:
 
 
 def _rendered(
-    batches: Iterator[pa.RecordBatch], template: Template, window: int
+    batches: Iterator[pa.RecordBatch], template: Template, window: int | None
 ) -> Iterator[list[tuple[object, int, Span]]]:
     """For each batch of rows in order: conversation, number of the turn, span."""
     now, renderer, number = object(), None, 0
@@ -141,13 +158,15 @@ def format_turns(
     template: Template = marked_turns,
     trained: tuple[str, ...] = ("assistant",),
     key: str = "conv_id",
-    window: int = WINDOW,
+    window: int | None = None,
 ) -> DataFrame:
     """Each turn's part of the output, in order of ``position``; joined, they are the formatted conversation.
 
     ``loss_start`` and ``loss_end`` are the part of it to train on (null for other roles), in characters from the
-    beginning of ``formatted``; ``rewrites`` is true where a turn changes output before it.
+    beginning of ``formatted``; ``rewrites`` is true where a turn changes output before it. A ``window`` is refused
+    unless the template is declared ``stateless``.
     """
+    _allowed(template, window)
     names = [key, "position", "role", "formatted", "loss_start", "loss_end", "rewrites"]
     types = [_arrow_type(conversations.select(key)), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(),
              pa.bool_()]
@@ -203,7 +222,7 @@ def conversation_digests(
     conversations: DataFrame,
     trained: tuple[str, ...] = ("assistant",),
     key: str = "conv_id",
-    window: int = WINDOW,
+    window: int | None = None,
 ) -> DataFrame:
     """Format with ``marked_turns`` and read the output back, per conversation.
 
