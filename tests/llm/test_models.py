@@ -154,3 +154,41 @@ def test_network_finds_secrets_without_their_words(spark):
     found = [secret_scan.scan(spark.createDataFrame(some, schema), model=model).toPandas() for some in (rows, bare)]
     assert found[0]["n_added"].mean() < 0.05 and found[1]["n_added"].mean() > 0.7
     assert (found[0]["n_assign"] == 1).all() and not found[1]["n_assign"].any()
+
+
+def test_all_of_a_long_candidate_is_read():
+    for length in (1, 48, 49, 64, 65, 200):
+        parts = list(secret_scan.pieces(7, 7 + length))
+        assert {at for part in parts for at in range(*part)} == set(range(7, 7 + length))
+        for at in range(7, 7 + length - 32):  # any 32 characters stand together
+            assert any(start <= at and at + 32 <= end for start, end in parts)
+    random = np.random.default_rng(3)
+    size = secret_scan._REACH * (secret_scan._EMBEDDING + 1)
+    network = secret_scan.Network(
+        random.normal(0, 0.5, (secret_scan._CLASSES, secret_scan._EMBEDDING)),
+        random.normal(0, 0.3, (size, secret_scan._FILTERS)),
+        random.normal(0, 0.1, secret_scan._FILTERS),
+        random.normal(0, 0.3, 2 * secret_scan._FILTERS + 1),
+    )
+    # Two runs of 120 characters that differ in the middle only; the plain forward pass over each window agrees.
+    scores = []
+    for middle in ("words", "Q9zT7"):
+        text = "see " + "hooks/" * 10 + middle + "/archive" * 8
+        scores.append(network.score(text, [(4, len(text))])[0])
+        logit = network.forward(*secret_scan.windows(list(secret_scan._cut(text, 4, len(text), False))))[0]
+        assert abs(scores[-1] - 1 / (1 + np.exp(-logit.max()))) < 1e-4
+    assert scores[0] != scores[1]
+
+
+def test_secret_in_the_middle_of_a_long_run(spark):
+    random = np.random.default_rng(6)
+    secret = lambda size: "".join(random.choice(np.array(list("0123456789abcdef")), size))
+    word = lambda: "".join(random.choice(np.array(["th", "er", "on", "an", "re", "he"]), 10))
+    rows = [(n, f"the token = \"{secret(30)}\" is here and {word()} too, {word()}/{word()}/{word()}.") for n in range(300)]
+    schema = "doc_id long, text string"
+    model = secret_scan.train(secret_scan.find(spark.createDataFrame(rows, schema)))
+    # In both, the first 32 and the last 16 characters are words.
+    planted = [(n, f"at {word()}/{word()}/{secret(30)}/{word()} now") for n in range(40)]
+    clean = [(n, f"at {word()}/{word()}/{word()}/{word()} now") for n in range(40)]
+    found = [secret_scan.scan(spark.createDataFrame(some, schema), model=model).toPandas() for some in (planted, clean)]
+    assert found[0]["n_added"].mean() > 0.7 and found[1]["n_added"].mean() < 0.05
