@@ -192,3 +192,31 @@ def test_secret_in_the_middle_of_a_long_run(spark):
     clean = [(n, f"at {word()}/{word()}/{word()}/{word()} now") for n in range(40)]
     found = [secret_scan.scan(spark.createDataFrame(some, schema), model=model).toPandas() for some in (planted, clean)]
     assert found[0]["n_added"].mean() > 0.7 and found[1]["n_added"].mean() < 0.05
+
+
+def test_short_and_partly_covered_runs_are_candidates():
+    def runs(text):
+        return {text[start:end]: secret for start, end, secret in secret_scan.candidates_of(text)[1]}
+
+    assert runs("pwd: Tr0ub4dor3x") == {"Tr0ub4dor3x": False} and runs("auth Zx81kQ02mVpa") == {"Zx81kQ02mVpa": False}
+    assert not runs("abcdefg 1234567")
+    digits = "0123456789abcdef" * 2
+    assert runs(f"sk_live_Q9zT7_{digits}") == {digits: True, f"sk_live_Q9zT7_{digits}": None}
+    assert runs(f"{digits}_Q9zT7/{digits}_x") == {digits: True, f"{digits}_Q9zT7/{digits}_x": None}
+    assert runs("ghx_AKIA" + "Z" * 16) == {"AKIA" + "Z" * 16: True, "ghx_AKIA" + "Z" * 16: None}
+    # Wholly covered by one span, or by two that meet.
+    assert runs(digits) == {digits: True} and runs("token=abcdefghij") == {"abcdefghij": True}
+    assert None not in runs("AKIA" + "0" * 12 + "f" * 40).values() and False not in runs("AKIA" + "0" * 12 + "f" * 40).values()
+
+
+def test_short_secrets_and_wrapped_keys_are_scored(spark):
+    random = np.random.default_rng(7)
+    secret = lambda size: "".join(random.choice(np.array(list("0123456789abcdef")), size))
+    word = lambda: "".join(random.choice(np.array(["th", "er", "on", "an", "re", "he"]), 5))
+    rows = [(n, f"the token = \"{secret(12)}\" is here and {word()} too, {word()}.") for n in range(300)]
+    schema = "doc_id long, text string"
+    model = secret_scan.train(secret_scan.find(spark.createDataFrame(rows, schema)))
+    some = [(n, f"they said {word()} and {secret(12)} to {word()}") for n in range(40)]
+    some += [(n + 40, f"they said {word()} and {secret(12)}_AKIA{secret(16).upper()} to {word()}") for n in range(40)]
+    found = secret_scan.scan(spark.createDataFrame(some, schema), model=model).toPandas().sort_values("doc_id")
+    assert found["n_added"][:40].mean() > 0.7 and found["n_added"][40:].mean() > 0.5
