@@ -198,7 +198,7 @@ def test_short_and_partly_covered_runs_are_candidates():
     def runs(text):
         return {text[start:end]: secret for start, end, secret in secret_scan.candidates_of(text)[1]}
 
-    assert runs("pwd: Tr0ub4dor3x") == {"Tr0ub4dor3x": False} and runs("auth Zx81kQ02mVpa") == {"Zx81kQ02mVpa": False}
+    assert runs("pwd: Tr0ub4dor3x") == {"Tr0ub4dor3x": None} and runs("auth Zx81kQ02mVpa") == {"Zx81kQ02mVpa": None}
     assert not runs("abcdefg 1234567")
     digits = "0123456789abcdef" * 2
     assert runs(f"sk_live_Q9zT7_{digits}") == {digits: True, f"sk_live_Q9zT7_{digits}": None}
@@ -220,3 +220,21 @@ def test_short_secrets_and_wrapped_keys_are_scored(spark):
     some += [(n + 40, f"they said {word()} and {secret(12)}_AKIA{secret(16).upper()} to {word()}") for n in range(40)]
     found = secret_scan.scan(spark.createDataFrame(some, schema), model=model).toPandas().sort_values("doc_id")
     assert found["n_added"][:40].mean() > 0.7 and found["n_added"][40:].mean() > 0.5
+
+
+def test_shapes_that_may_be_keys():
+    for run in ("Tr0ub4dor3x", "9f8a7b6c5d4e", "sk_live_Q9zT7Lm2", "550e8400-e29b-41d4-a716-446655440000", "QkzVwPlmXyTr"):
+        assert secret_scan.secret_like(run)
+    for run in ("something", "Something.", "4929963689861572", "76.133.12.197", "src/main/java/app", "mail7.example.com",
+                "getUserName", "2024-01-02", "CONSTANT_NAME"):
+        assert not secret_scan.secret_like(run)
+
+
+def test_recall_holds_below_one_half():
+    random = np.random.default_rng(9)
+    word = lambda: "".join(random.choice(np.array(["th", "er", "on", "an", "re", "he"]), 5))
+    # Secrets and others cannot be told apart, and there are more of the others.
+    secrets, others = ([(word(), word(), word()) for _ in range(number)] for number in (100, 1000))
+    network = secret_scan.learn(secrets, others)
+    held = secrets[::5]
+    assert network.threshold < 0.5 and (network.probabilities(*secret_scan.windows(held)) >= network.threshold).mean() >= 0.8
