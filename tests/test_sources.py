@@ -1,6 +1,8 @@
 import hashlib
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
+import pyarrow as pa
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
@@ -112,17 +114,135 @@ def test_landing_a_folder_and_several_sources(spark, tmp_path, lake):
 def test_manifest_counts_records_that_span_lines(spark, tmp_path, lake):
     path = put(tmp_path / "in", "q.csv", 'a,b\n1,"two\nlines"\n3,"say ""hi"""\n')
     plain = put(tmp_path / "in", "p.csv", "a\n1\n2\n3")
-    manifest = landing.build_manifest(spark, lake, {"q": path, "p": plain}, NOW)
+    manifest = landing.build_manifest(spark, lake, {"q": path, "p": plain}, NOW, spanning=["q"])
     assert sorted(values(manifest, "source", "row_count")) == [("p", 3), ("q", 2)]
+    # A line is a record unless the caller says otherwise.
+    manifest = landing.build_manifest(spark, lake, {"q": path}, NOW)
+    assert values(manifest, "row_count", "spans_lines") == [(3, False)]
 
 
-def test_fingerprints_tell_valid_encodings(spark, tmp_path):
+def test_files_tell_valid_encodings(spark, tmp_path):
     put(tmp_path / "in", "valid.csv", "a\n" + "é" * 5000)
     put(tmp_path / "in", "other file.csv", "a\n" + "é" * 5000, "latin-1")
     put(tmp_path / "in", "cut.csv", "a\n" + "x" * 50)
     (tmp_path / "in/broken.csv").write_bytes(b"a\n\xc3")
-    found = values(landing.file_fingerprints(spark, str(tmp_path / "in")).orderBy("file_path"), "sha256", "valid_utf8")
-    assert [row[1] for row in found] == [False, True, False, True]
+    found = values(landing.file_lines(spark, str(tmp_path / "in")).orderBy("file_path"), "valid_utf8", "records")
+    assert found == [(False, 2), (True, 2), (False, 2), (True, 2)]
+
+
+@contextmanager
+def small_splits(spark, size="64"):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(key) for key in keys]
+    for key in keys:
+        spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        for key, value in zip(keys, before, strict=True):
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize(
+    "content", [b"x\n" * 5000, b"x\n" * 5000 + b"y", b"\xef\xbb\xbfh\nx\nh\nh", b"\xef\xbb\xbfh\n", b"\n\n", b"a\r\nb\r\n", b"one"]
+)
+def test_digests_of_files_of_many_splits_and_batches(spark, tmp_path, monkeypatch, content):
+    """Scans cut files every 64 bytes; the digest's scan must not, and takes few bytes at a time."""
+    monkeypatch.setattr(landing, "_DIGEST_BATCH", 1000)
+    monkeypatch.setattr(landing, "_MIN_SPLIT", 64)
+    put(tmp_path / "in", "small.csv", "a\n")
+    (tmp_path / "in/x.csv").write_bytes(content)
+    with small_splits(spark):
+        assert spark.read.text(str(tmp_path / "in/x.csv")).rdd.getNumPartitions() >= min(4, len(content) // 64)
+        found = values(landing.file_digests(spark, str(tmp_path / "in")).orderBy("file_path"), "sha256", "header_again")
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64"
+    lines = content.removeprefix(b"\xef\xbb\xbf").removesuffix(b"\n").split(b"\n")
+    assert found[1] == (hashlib.sha256(content).hexdigest(), lines.count(lines[0]) - 1)
+    assert found[0][0] == hashlib.sha256(b"a\n").hexdigest()
+
+
+def test_a_file_that_is_cut_has_no_digest():
+    batch = pa.RecordBatch.from_pydict({"n": ["f", "f"], "s": [9, 9], "v": [b"a", b"b"]})
+    with pytest.raises(ValueError, match="f was not read whole"):
+        list(landing._stream_digests(iter([batch])))
+
+
+STRAY = 'a,b\n1,"x\n2,y\n3,z\n'
+
+
+def test_a_stray_quote_swallows_no_row(spark, tmp_path, lake):
+    path = put(tmp_path / "in", "g.csv", STRAY)
+    [row] = landing.land_files(spark, lake, {"s": path}, NOW).collect()
+    assert (row["row_count"], row["spans_lines"]) == (3, False)
+    assert sorted(values(read_bronze(spark, lake, "s"), "a")) == [("1",), ("2",), ("3",)]
+
+
+def test_landing_again_with_fewer_rows_leaves_none_behind(spark, tmp_path, lake):
+    path = put(tmp_path / "in", "g.csv", "a,b\n1,2\n3,4\n")
+    other = put(tmp_path / "in", "h.csv", "a,b\n5,6\n")
+    landing.land_files(spark, lake, {"s": path}, NOW)
+    landing.land_files(spark, lake, {"s": other}, NOW)
+    put(tmp_path / "in", "g.csv", "a,b\n")
+    landing.land_files(spark, lake, {"s": path}, NOW)
+    assert values(read_bronze(spark, lake, "s"), "a", "b") == [("5", "6")]
+    assert sorted(values(spark.read.json(lake.manifest()), "file", "row_count")) == [("g.csv", 0), ("h.csv", 1)]
+    left = [found.name for found in (tmp_path / "lake/bronze/raw").rglob("*.txt")]
+    assert len(left) == 1
+
+
+def test_a_header_alone_has_no_rows(spark, tmp_path, lake):
+    landing.land_files(spark, lake, {"s": put(tmp_path / "in", "g.csv", "a,b\n")}, NOW)
+    assert load_dates(spark, lake, "s") == ["2024-03-05"]
+    with pytest.raises(ValueError, match="no rows in source s"):
+        read_bronze(spark, lake, "s")
+
+
+def test_a_landing_that_fails_leaves_the_rows_before(spark, tmp_path, lake, monkeypatch):
+    path = put(tmp_path / "in", "g.csv", "a\n1\n")
+    landing.land_files(spark, lake, {"s": path}, NOW)
+    put(tmp_path / "in", "g.csv", "a\n2\n3\n")
+    with monkeypatch.context() as patched:
+        patched.setattr(landing, "write_manifest", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            landing.land_files(spark, lake, {"s": path}, NOW)
+    assert values(read_bronze(spark, lake, "s"), "a") == [("1",)]
+    assert len(landing.drop_unnamed(spark, lake, "s", "2024-03-05")) == 1
+    assert landing.drop_unnamed(spark, lake, "s", "2024-03-05") == []
+    assert values(read_bronze(spark, lake, "s"), "a") == [("1",)]
+
+
+def test_a_header_with_an_open_quote_is_refused_or_parsed(spark, tmp_path, lake):
+    path = put(tmp_path / "in", "g.csv", '"two\nlines",b\n1,2\n3,"4\n5"\n')
+    with pytest.raises(ValueError, match="quote stays open.*g.csv"):
+        landing.land_files(spark, lake, {"s": path}, NOW)
+    [row] = landing.land_files(spark, lake, {"s": path}, NOW, spanning=["s"]).collect()
+    assert (row["columns"], row["row_count"], row["spans_lines"]) == (["two\nlines", "b"], 2, True)
+    landed = read_bronze(spark, lake, "s")
+    assert sorted(tuple(row)[:2] for row in landed.collect()) == [("1", "2"), ("3", "4\n5")]
+
+
+def test_records_that_span_lines_are_cut_in_parallel(spark, tmp_path, lake):
+    rows = [f'{n},"' + "line\n" * (n % 7) + 'end ""q"""' if n % 3 else f"{n},plain" for n in range(200)]
+    rows += ['200,"' + "x\n" * 300 + '"', "201,last"]
+    path = put(tmp_path / "in", "g.csv", 'a,"b\nc"\n' + "\n".join(rows) + "\n")
+    direct = spark.read.option("header", True).option("multiLine", True).csv(path)
+    assert direct.rdd.getNumPartitions() == 1
+    with small_splits(spark):
+        assert spark.read.text(path).rdd.getNumPartitions() >= 4
+        manifest = landing.land_files(spark, lake, {"s": path}, NOW, spanning=["s"]).first()
+    assert manifest["row_count"] == direct.count() == 202 and manifest["columns"] == direct.columns
+    landed = read_bronze(spark, lake, "s").drop("_source_file", "_load_date")
+    assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_every_row_can_be_traced_to_its_file(spark, tmp_path, lake):
+    for name, text in (("a.csv", "x\n1\n2\n"), ("b [é].csv", "x\n3\n")):
+        put(tmp_path / "in", name, text)
+    manifest = landing.land_files(spark, lake, {"s": str(tmp_path / "in")}, NOW)
+    traced = landing.with_file_digest(read_bronze(spark, lake, "s"), manifest, "_source_file")
+    digests = {name: hashlib.sha256((tmp_path / "in" / name).read_bytes()).hexdigest() for name in ("a.csv", "b [é].csv")}
+    assert sorted(values(traced, "x", "file_sha256")) == [
+        ("1", digests["a.csv"]), ("2", digests["a.csv"]), ("3", digests["b [é].csv"])]
 
 
 @pytest.mark.parametrize(
@@ -137,11 +257,16 @@ def test_fingerprints_tell_valid_encodings(spark, tmp_path):
         ("header only plus.csv", b"a,b\n,\n"),
     ],
 )
-def test_landing_loses_and_alters_nothing(spark, tmp_path, lake, name, content):
+@pytest.mark.parametrize("spanning", [(), ("s",)])
+def test_landing_loses_and_alters_nothing(spark, tmp_path, lake, name, content, spanning):
     path = tmp_path / "in" / name
     path.parent.mkdir()
     path.write_bytes(content)
-    manifest = landing.land_files(spark, lake, {"s": str(path)}, NOW).first()
+    if spanning and name == "old mac.csv":
+        with pytest.raises(ValueError, match="carriage returns"):
+            landing.land_files(spark, lake, {"s": str(path)}, NOW, spanning)
+        return
+    manifest = landing.land_files(spark, lake, {"s": str(path)}, NOW, spanning).first()
     encoding = manifest["encoding"]
     copy = tmp_path / "direct" / "f.csv"
     copy.parent.mkdir()

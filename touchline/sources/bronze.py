@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from touchline.operators.guards import require_rows
 from touchline.operators.loads import LOAD_DATE, choose_load_date
 from touchline.sources.lake import Lake
-from touchline.sources.storage import child_directories, path_exists
+from touchline.sources.storage import child_directories, literal_path, path_exists
 
 SOURCE_FILE = "_source_file"
 # Fixed value: how a path names its load date.
@@ -40,18 +41,26 @@ def read_csv_text(spark: SparkSession, path: str | list[str], encoding: str = "U
 
 
 def _read_landed(spark: SparkSession, lake: Lake, source: str, load_date: str) -> DataFrame:
-    """Landed lines under the header that the manifest has for all files of the load."""
-    manifest = spark.read.schema("columns array<string>, spans_lines boolean").option("recursiveFileLookup", True)
-    least, most, spans = (
-        manifest.json(lake.manifest_of(source, load_date)).agg(F.min("columns"), F.max("columns"), F.max("spans_lines"))
-    ).first()
+    """Landed lines of exactly the folders that the manifest names, under the header that all files of the load have."""
+    records = spark.read.schema("columns array<string>, spans_lines boolean, raw_path string, row_count bigint").option(
+        "recursiveFileLookup", True
+    )
+    landed = records.json(lake.manifest_of(source, load_date)).collect()  # one record a file
+    least, most = min(row["columns"] for row in landed), max(row["columns"] for row in landed)
     if least != most:
         raise ValueError(f"files of source {source}, load date {load_date} disagree on the header: {least}, {most}")
     times = Counter(name.lower() for name in least)
     names = [f"_c{at}" if not name else f"{name}{at}" if times[name.lower()] > 1 else name for at, name in enumerate(least)]
     schema = StructType([StructField(name, StringType()) for name in names])
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("multiLine", bool(spans))
-    return reader.csv(lake.raw_load(source, load_date))
+    parts: list[DataFrame] = []
+    for spans in (False, True):
+        folders = [row["raw_path"] for row in landed if row["spans_lines"] == spans and row["row_count"] > 0]
+        if folders:
+            reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("multiLine", spans)
+            parts.append(with_lineage(reader.csv([literal_path(spark, folder) for folder in folders])))
+    if not parts:
+        raise ValueError(f"no rows in source {source}, load date {load_date}")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def with_lineage(frame: DataFrame) -> DataFrame:
@@ -61,9 +70,13 @@ def with_lineage(frame: DataFrame) -> DataFrame:
 
 
 def load_dates(spark: SparkSession, lake: Lake, source: str) -> list[str]:
-    names = child_directories(spark, lake.raw_source(source))
+    # A load without any row has a manifest, but no raw folder.
+    names = {
+        *child_directories(spark, lake.raw_source(source)),
+        *child_directories(spark, lake.manifest_source(source)),
+    }
     found = (re.fullmatch(LOAD_DATE_PATTERN, name) for name in names)
-    return [match.group(1) for match in found if match]
+    return sorted(match.group(1) for match in found if match)
 
 
 def latest_load(spark: SparkSession, lake: Lake, source: str, load_date: str | None = None) -> str:
@@ -84,13 +97,12 @@ def read_bronze(
     """One load of a source: the given one, else the latest.
 
     The load is chosen from directory names and only its directory is read, so older loads cost nothing and
-    a different column order in one of them cannot mix up this one. If the load was landed with a manifest, its files
-    are lines without headers and the columns are the manifest's; otherwise each file has its header.
+    a different column order in one of them cannot mix up this one. If the load was landed with a manifest, the folders
+    it names are read, whose lines have no header, under the manifest's columns; otherwise each file has its header.
     """
     chosen = latest_load(spark, lake, source, load_date)
     if path_exists(spark, lake.manifest_of(source, chosen)):
         raw = _read_landed(spark, lake, source, chosen)
     else:
-        raw = read_csv_text(spark, lake.raw_load(source, chosen), encoding)
-    require_rows(raw, f"source {source}, load date {chosen}")
-    return with_lineage(raw)
+        raw = with_lineage(read_csv_text(spark, lake.raw_load(source, chosen), encoding))
+    return require_rows(raw, f"source {source}, load date {chosen}")

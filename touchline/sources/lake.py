@@ -31,8 +31,11 @@ class Lake:
     def manifest(self) -> str:
         return join_path(self.root, self.metadata)
 
+    def manifest_source(self, source: str) -> str:
+        return join_path(self.manifest(), f"source={source}")
+
     def manifest_of(self, source: str, load_date: str) -> str:
-        return join_path(self.manifest(), f"source={source}", f"load_date={load_date}")
+        return join_path(self.manifest_source(source), f"load_date={load_date}")
 
     def silver_table(self, name: str) -> str:
         return join_path(self.root, self.silver, name)

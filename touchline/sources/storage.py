@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -40,19 +41,27 @@ def qualified(spark: SparkSession, path: str) -> str:
     return full if files.exists(located) else re.sub(r"/[^/]*[\[{*?].*$", "", full)
 
 
-def empty_files(spark: SparkSession, path: str) -> list[str]:
-    """Files without a byte under a path, which Spark's readers pass over; hidden files do not count."""
+def _listed(spark: SparkSession, path: str) -> Iterator[tuple[str, int]]:
+    """Path and size of the files under a path that Spark's readers see: hidden ones do not count."""
     located, files = _open(spark, path)
     roots = [located] if files.exists(located) else [status.getPath() for status in files.globStatus(located) or []]
-    found = []
     for root in roots:
         listed = files.listFiles(root, True)
         while listed.hasNext():
             status = listed.next()
-            name = status.getPath().getName()
-            if not status.getLen() and not name.startswith(("_", ".")):
-                found.append(status.getPath().toString())
-    return found
+            if not status.getPath().getName().startswith(("_", ".")):
+                yield status.getPath().toString(), status.getLen()
+
+
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Files without a byte under a path, which Spark's readers pass over."""
+    return [name for name, size in _listed(spark, path) if not size]
+
+
+def largest_and_total(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Size of the largest file under a path, and of all."""
+    sizes = [size for _, size in _listed(spark, path)]
+    return max(sizes, default=0), sum(sizes)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -60,6 +69,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(located, True)
 
 
+def rename_children(spark: SparkSession, path: str, pattern: str, name: str) -> None:
+    """Rename the files directly under a folder whose names match a pattern."""
+    located, files = _open(spark, path)
+    for status in files.listStatus(located):
+        old = status.getPath()
+        if re.match(pattern, old.getName()):
+            files.rename(old, old.suffix("").getParent().suffix("/" + re.sub(pattern, name, old.getName())))
+
+
 def child_directories(spark: SparkSession, path: str) -> list[str]:
     """Names of the directories directly under a path; empty if the path does not exist."""
     located, files = _open(spark, path)

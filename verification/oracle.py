@@ -462,6 +462,22 @@ FROM matches_raw WHERE {LATEST}""",
 SELECT * EXCLUDE (_source_file, _load_date, hora, formacao_mandante), nullif(hora, '') AS hora,
   nullif(formacao_mandante, '') AS formacao_mandante, '2024-01-02' AS _load_date
 FROM matches_raw""",
+    "landed_again": f"""
+SELECT * EXCLUDE (_source_file, hora, formacao_mandante), nullif(hora, '') AS hora,
+  nullif(formacao_mandante, '') AS formacao_mandante
+FROM matches_raw WHERE {LATEST}""",
+    "landed_lineage": """
+SELECT 'matches' AS source, '2024-01-02' AS load_date, 'matches.csv' AS file, 'matches' AS source_name,
+  'matches.csv' AS original_filename, CAST(octet_length(encode(bytes)) AS BIGINT) AS file_size_bytes, n AS row_count,
+  4 AS column_count, 'ID,rodada,data,mandante_Placar' AS columns, 'ID,rodada,data,mandante_Placar' AS header,
+  false AS spans_lines, sha256(bytes) AS file_sha256, 'UTF-8' AS encoding, n AS traced_rows,
+  '2024-01-02' AS traced_load_date
+FROM (
+  SELECT count(*) AS n, 'ID,rodada,data,mandante_Placar' || chr(10)
+      || string_agg(ID || ',' || rodada || ',' || data || ',' || mandante_Placar || chr(10), '' ORDER BY CAST(ID AS BIGINT))
+      AS bytes
+  FROM matches_raw
+)""",
     "file_manifest": "\nUNION ALL\n".join(
         f"SELECT '{source}' AS source_name, (SELECT count(*) FROM {source}_raw) AS row_count, "
         f"{len(columns)} AS column_count, '{','.join(columns)}' AS columns, 'UTF-8' AS encoding"
