@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pytest
 from llm_data import awkward, labels, nothing
+from pyspark.sql import functions as F
 
 from touchline.llm import ordinal_quality, secret_scan, toxicity
 from touchline.llm.queries import op3_quality_classifier, op8_toxicity, op9_secrets
@@ -46,12 +47,57 @@ def test_equal_texts_have_equal_scores(spark):
 
 def test_density_features_stay_inside_a_text():
     place = np.full(1 << toxicity.HASH_BITS, -1, np.int32)
-    data = np.frombuffer(b" abcd ", np.uint8)
+    data = np.array(list(b" abcd "), np.uint64)
     place[toxicity._hashes(data, 6)] = 0
     rows, features, values = toxicity.densities(["x abcd", "", "ABCD abcd", "abc", "d"], place)
     assert rows.tolist() == [0, 2] and features.tolist() == [0, 0] and values[1] > values[0] > 0.9
 
 
+def plain_score(model, text):
+    """The highest score of a text's windows, n-gram by n-gram."""
+    best = 0.0
+    for part in toxicity.windows(text):
+        codes = [32 if 9 <= ord(c) <= 13 else ord(c) for c in f" {part.lower()} "]
+        counts = {}
+        for size in toxicity.SIZES:
+            for at in range(len(codes) - size + 1):
+                gram = 0
+                for code in codes[at : at + size]:
+                    gram = (gram * 0x9E3779B97F4A7C15 + code) % 2**64
+                gram ^= gram >> 29
+                number = model.place[(gram * (0xBF58476D1CE4E5B9 + 2 * size) % 2**64) >> (64 - toxicity.HASH_BITS)]
+                if number >= 0:
+                    counts[number] = counts.get(number, 0) + 1
+        total = model.bias
+        for number, n in counts.items():
+            total += model.weights[number] * np.ceil(1024 * n / (n + len(codes) / toxicity.DENSITY)) / 1024
+        best = max(best, 1 / (1 + np.exp(-total)))
+    return best
+
+
+def test_a_toxic_passage_is_found_in_any_length(spark):
+    """And scores equal a plain version, clean documents are left alone, long ones too."""
+    folder = SF.replace("0.01", "0.1")
+    docs, known = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    held = F.coalesce(toxicity.held_out(), F.lit(True))
+    model = toxicity.train(docs, known.where(~held))
+    rows = docs.join(known, "doc_id").where(held).select("doc_id", "text", "toxic").toPandas().dropna()
+    scores = model.scores(list(rows["text"]))
+    toxic = rows["toxic"].to_numpy() == 1
+    assert (scores[toxic] >= 0.5).mean() > 0.88 and (scores[~toxic] >= 0.5).mean() < 0.005
+    size = rows["text"].str.len().to_numpy()
+    passages = rows["text"][toxic & (scores >= 0.93) & (size >= 300) & (size < 3000)].tolist()[:10]
+    clean = " ".join(rows["text"][~toxic & (scores < 0.2)].tolist())
+    assert len(passages) == 10 and len(clean) > 400_000
+    for length in (5_000, 10_000, 100_000):
+        around = [clean[7_000 * at : 7_000 * at + length] for at in range(10)]
+        assert max(model.scores(around)) < 0.5
+        inside = [text[: length // 2] + " " + passage + " " + text[length // 2 :] for text, passage in zip(around, passages, strict=True)]
+        assert min(model.scores(inside)) >= 0.5
+    some = ["", "é" * 3, *rows["text"][size < 4000].tolist()[:15], "日本語 " * 900, passages[0] + clean[:4000]]
+    assert np.allclose(model.scores(some), [plain_score(model, text) for text in some], atol=1e-9)
+
+
 def test_quality_grades_on_held_out_labels(spark):
     found = op3_quality_classifier(spark, SF).toPandas()
     known = found.merge(spark.read.parquet(f"{SF}/labels.parquet").toPandas(), on="doc_id")
@@ -238,3 +284,75 @@ def test_recall_holds_below_one_half():
     network = secret_scan.learn(secrets, others)
     held = secrets[::5]
     assert network.threshold < 0.5 and (network.probabilities(*secret_scan.windows(held)) >= network.threshold).mean() >= 0.8
+
+
+LETTERS, CAPITALS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: Alphabet, length and least recall of planted keys.
+PLANTED = [
+    (LETTERS + DIGITS, 12, 0.85), (LETTERS + CAPITALS + DIGITS, 12, 0.9), (LETTERS + CAPITALS + DIGITS, 20, 0.95),
+    (DIGITS + "abcdef", 16, 0.85), (DIGITS + "abcdef", 28, 0.95), (LETTERS + CAPITALS + DIGITS + "+/", 40, 0.97),
+]
+NOT_SECRET = [
+    "550e8400-e29b-41d4-a716-446655440000", "IMG_20240102_101112.jpg", "DE89370400440532013000", "76.133.12.197",
+    "4929963689861572", "4929-9636-8986-1572", "+49-151-2345678", "getUserName", "mail7.example.com", "2024-01-02T10",
+    "final_report_v2.docx", "MAX_BUFFER_SIZE", "src/main/java/app", "978-3-16-148410-0",
+]
+
+
+@pytest.fixture(scope="module")
+def real(spark):
+    """The model of the query, trained at sf0.1, and texts."""
+    docs = spark.read.parquet(f"{SF.replace('0.01', '0.1')}/documents.parquet")
+    model = secret_scan.learn(*secret_scan._sampled(secret_scan.sampled_texts(docs, "text"), secret_scan._of_texts, secret_scan.SAMPLE))
+    return model, [row["text"] for row in docs.select("text").limit(3000).collect() if row["text"]]
+
+
+def outside(text):
+    return [(start, end) for start, end, secret in secret_scan.candidates_of(text, labelled=False)[1] if not secret]
+
+
+def test_planted_keys_are_found_and_others_left_alone(real):
+    model, texts = real
+    random = np.random.default_rng(77)
+
+    def put(run):
+        text = texts[random.integers(len(texts))][:2000]
+        at = text.find(" ", random.integers(len(text)))
+        return f"{text[: at + 1]}{run} {text[at + 1 :]}", at + 1
+
+    for alphabet, size, least in PLANTED:
+        placed = [put("".join(random.choice(list(alphabet), size))) for _ in range(200)]
+        found = [model.score(text, [(at, at + size)])[0] >= model.threshold for text, at in placed]
+        assert np.mean(found) >= least, (alphabet, size, np.mean(found))
+    for run in NOT_SECRET:
+        placed = [put(run) for _ in range(10)]
+        assert np.mean([model.score(text, [(at, at + len(run))])[0] >= model.threshold for text, at in placed]) <= 0.2, run
+    candidates = [outside(text) for text in texts]
+    added = sum((chance >= model.threshold).sum() for chance in model.score_all(texts, candidates))
+    assert added / sum(map(len, candidates)) < 0.003
+
+
+def test_scores_equal_the_plain_forward_pass(real):
+    model, texts = real
+    some = [*texts[:20], "x", "", "é日" * 10 + "Q9zT7abc" + "\U0001f389", "Q9zT7abc", "a" * 47 + " " + "b" * 48 + " " + "c" * 49 + "/" + "d9" * 40]
+    candidates = [outside(text) for text in some]
+    for text, own, scores in zip(some, candidates, model.score_all(some, candidates), strict=True):
+        plain = [
+            max(model.probabilities(*secret_scan.windows([(text[max(0, a - secret_scan.BEFORE) : a], text[a:b], text[b : b + secret_scan.AFTER])]))[0]
+                for a, b in secret_scan.reads(text, *candidate))
+            for candidate in own
+        ]
+        assert np.allclose(scores, plain, atol=1e-5)
+
+
+def test_samples_of_texts_are_bounded_and_whole_when_few(spark):
+    docs = spark.range(5000).selectExpr("id", "concat('text ', id % 4000) AS text")
+    assert secret_scan.sampled_texts(docs, "text", 10_000).count() == 4000
+    assert 200 < secret_scan.sampled_texts(docs, "text", 500).count() < 700
+
+
+def test_secrets_with_clashing_columns(spark):
+    docs = awkward(spark).withColumns({name: F.lit("x") for name in ("spans", "n_added", "_read", "mark", "secret", "inside")})
+    found = secret_scan.scan(docs)
+    assert found.count() == docs.count() and found.columns == [
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_added"]

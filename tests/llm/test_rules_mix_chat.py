@@ -1,6 +1,8 @@
 """Quality rules, source mixing and chat formatting; queries with SQL against their SQL."""
 
 import collections
+import math
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -20,9 +22,9 @@ def test_query_equals_sql(spark, name):
     assert normalised(frame.toPandas()) == normalised(wanted.df())
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = [name for name in contract.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
@@ -55,6 +57,39 @@ def test_rules_against_labels(spark):
     assert known[known["quality"] == 0]["kept"].mean() < 0.05
 
 
+def plain_verdicts(rows, votes):
+    """EM by plain loops over documents, not patterns; which are kept."""
+    accuracy = [quality_rules.FIRST_ACCURACY] * len(votes[0])
+    logit = lambda own: sum(vote * math.log(a / (1 - a)) for vote, a in zip(own, accuracy, strict=True))
+    for _ in range(200):
+        chances = [1 / (1 + math.exp(-logit(own))) for own in votes]
+        new = []
+        for rule in range(len(accuracy)):
+            mine = [(own[rule], chance) for own, chance in zip(votes, chances, strict=True) if own[rule]]
+            right = quality_rules.PRIOR * quality_rules.FIRST_ACCURACY + sum(c if vote > 0 else 1 - c for vote, c in mine)
+            share = right / (quality_rules.PRIOR + len(mine))
+            new.append(min(quality_rules.MOST_ACCURACY, max(quality_rules.LEAST_ACCURACY, share)))
+        accuracy[:] = new
+    return [not row["base_failed"] and logit(own) >= 0 for row, own in zip(rows, votes, strict=True)]
+
+
+def test_verdicts_equal_a_plain_estimation(spark):
+    rows = quality_rules.quality_rules(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    names = [name for name in rows[0].asDict() if name.startswith("vote_")]
+    assert len(names) == 9 and 0 < sum(row["kept"] for row in rows) < len(rows)
+    assert [row["kept"] for row in rows] == plain_verdicts(rows, [[row[name] for name in names] for row in rows])
+
+
+def test_few_different_words_count_at_every_length(spark):
+    seeded = random.Random(1)
+    few = [f"w{n}a" for n in range(100)]
+    texts = [" ".join(seeded.choice(few) for _ in range(n)) for n in (1000, 4999, 5000, 20_000)]
+    texts += [" ".join(f"w{seeded.randrange(n)}a" for _ in range(n)) for n in (50, 1000, 5000, 20_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    votes = quality_rules.quality_rules(docs).orderBy("doc_id").select("vote_few_different_words").collect()
+    assert [row[0] for row in votes] == [-1] * 4 + [0] * 4
+
+
 def test_estimation_finds_the_reliable_rule():
     # The first two agree; the third says the opposite of them half of the time.
     patterns = [([1, 1, 1], 40), ([1, 1, -1], 40), ([-1, -1, 1], 20), ([-1, -1, -1], 20), ([0, 0, 0], 5)]
@@ -94,6 +129,10 @@ def test_prefix_does_not_depend_on_ranges(spark, monkeypatch):
     assert sorted(map(tuple, source_mix.mix(docs, source_mix.LEVELS).collect())) == one
 
 
+def rendered(renderer, turns):
+    return [span for one in turns for span in renderer.add(*one)] + renderer.check()
+
+
 turn = st.tuples(st.text(alphabet="ab:#\\</turn>\n ", max_size=8), st.text(alphabet="a#\\</turn>\n :é", max_size=30))
 
 
@@ -102,8 +141,7 @@ turn = st.tuples(st.text(alphabet="ab:#\\</turn>\n ", max_size=8), st.text(alpha
 def test_template_is_reversible(turns):
     formatted = chat.marked_turns(turns)
     assert chat.read_turns(formatted) == turns
-    renderer = chat.Renderer(chat.marked_turns, window=2)
-    spans = [renderer.add(*one) for one in turns]
+    spans = rendered(chat.Renderer(chat.marked_turns, window=2), turns)
     assert "".join(span.added for span in spans) == formatted and not any(span.rewrites for span in spans)
     assert [chat.unescape(span.added[span.start : span.end]) for span in spans] == [text for _, text in turns]
 
@@ -115,7 +153,7 @@ def test_rewriting_templates_are_found():
     def appended(turns):
         return "".join(f"<{role}>{text}" for role, text in turns)
 
-    assert [chat.Renderer(numbered).add("u", "a").rewrites, chat.Renderer(appended).add("u", "a").rewrites] == [True, False]
+    assert [rendered(chat.Renderer(one), [("u", "a")])[0].rewrites for one in (numbered, appended)] == [True, False]
 
 
 def counting_templates():
@@ -139,8 +177,7 @@ def without_old_thoughts(turns):
 @pytest.mark.parametrize("template", counting_templates())
 def test_whole_prefixes_of_long_conversations(spark, template):
     turns = [(("user", "assistant")[number % 2], f"text {number}") for number in range(90)]
-    renderer = chat.Renderer(template)
-    spans = [renderer.add(*one) for one in turns]
+    spans = rendered(chat.Renderer(template), turns)
     assert "".join(span.added for span in spans) == template(turns) and not any(span.rewrites for span in spans)
     assert [span.added[span.start : span.end] for span in spans] == [text for _, text in turns]
     rows = spark.createDataFrame([(1, at, *one) for at, one in enumerate(turns)], "conv_id long, turn long, role string, text string")
@@ -149,11 +186,52 @@ def test_whole_prefixes_of_long_conversations(spark, template):
 
 
 def test_rewriting_far_back_is_found():
-    renderer = chat.Renderer(without_old_thoughts)
-    spans = [renderer.add("thought" if number == 5 else "user", f"t{number}") for number in range(60)]
+    turns = [("thought" if number == 5 else "user", f"t{number}") for number in range(60)]
+    spans = rendered(chat.Renderer(without_old_thoughts), turns)
     assert [number for number, span in enumerate(spans) if span.rewrites] == [45]
 
 
+def declared_wrongly():
+    """Declared stateless, but from turn 41 on the end is marked, which rewrites it with each turn; and two that only look
+    back: at the number of turns, and further than the window."""
+
+    def marks_end(turns):
+        return "".join(f"{role}|{text}|" for role, text in turns) + ("<end>" if len(turns) > 40 else "")
+
+    def numbers(turns):
+        return "".join(f"{at}. {role}: {text}\n" for at, (role, text) in enumerate(turns))
+
+    return [chat.stateless(one) for one in (marks_end, numbers, lambda turns: without_old_thoughts(turns))]
+
+
+@pytest.mark.parametrize("number", range(3))
+@pytest.mark.parametrize("length", [3, 34, 41, 42, 64, 65, 150])
+def test_a_wrong_declaration_is_found(number, length):
+    template = declared_wrongly()[number]
+    turns = [("thought" if at == 5 else "user", f"t{at}") for at in range(length)]
+    assert rendered(chat.Renderer(template), turns) == rendered(chat.Renderer(lambda turns: template(turns)), turns)
+
+
+def test_a_wrong_declaration_is_reported(spark):
+    rows = spark.createDataFrame([(1, at, "user", f"t{at}") for at in range(100)], "conv_id long, turn long, role string, text string")
+    parts = chat.format_turns(rows, declared_wrongly()[0]).orderBy("position").collect()
+    assert [row["position"] for row in parts if row["rewrites"]] == list(range(41, 100))
+    assert [row["position"] for row in parts] == list(range(100))
+
+
+def test_a_stateless_template_is_rendered_whole_a_few_times_only():
+    calls = []
+
+    @chat.stateless
+    def counted(turns):
+        calls.append(len(turns))
+        return chat.marked_turns(turns)
+
+    turns = [("user", f"t{at}") for at in range(5000)]
+    assert "".join(span.added for span in rendered(chat.Renderer(counted), turns)) == chat.marked_turns(turns)
+    assert sum(calls) < 5000 * (3 * chat.WINDOW + 10)
+
+
 def test_only_stateless_templates_allow_a_window():
     with pytest.raises(ValueError, match="stateless"):
         chat.Renderer(counting_templates()[0], window=8)

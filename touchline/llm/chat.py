@@ -7,9 +7,12 @@ where in the span the text lies, which gives the loss mask.
 
 Rows of a conversation pass through a task in order of turn, then role, then text. A prefix is the whole conversation
 so far, so the task holds it, and rendering it takes time with the square of its turns: nothing less is right for a
-template of which nothing is known. Only a template declared ``stateless`` is rendered with the last ``WINDOW`` turns
-and the first, which stays linear and gives the same spans. The digests of the registered query use such a template;
-one conversation's digest is a chain over its turns and is computed in one task, but never held there.
+template of which nothing is known. A template may be declared ``stateless``: then a turn is rendered with the first and
+the last ``WINDOW`` turns. The declaration is checked: at twice the window and each doubling, and at the end of the
+conversation, the whole prefix is rendered and compared with the joined parts, which stays linear in the sum of turns. At
+the first difference the declaration is void: the conversation's turns since the last check are rendered again as whole
+prefixes, as are all that follow, so the spans are those of an undeclared template. Parts are handed on once checked.
+One conversation's digest is a chain over its turns and is computed in one task.
 
 Null roles and texts count as empty. A null conversation id is one conversation. Repeated rows are turns of their own.
 Extra columns are ignored.
@@ -31,7 +34,7 @@ from touchline.llm.common import ddl
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
-#: Turns before the present one that are rendered again with it, for stateless templates.
+#: Turns before the present one that are rendered again with it, for templates declared stateless.
 WINDOW = 32
 #: A private-use character, which no template writes by itself.
 MARK = "\ue000"
@@ -97,22 +100,60 @@ class Renderer:
         self.template, self.window = template, _allowed(template, window)
         self.turns: list[Turn] = []
         self.before = template([])
-
-    def add(self, role: str, text: str) -> Span:
-        turns = self.turns
-        if self.window is not None and len(turns) > self.window + 1:
-            turns = self.turns = turns[:1] + turns[-self.window :]
-            self.before = self.template(turns)
+        #: Spans not compared with a whole prefix yet, the output up to the last that was, and its number of turns.
+        self.open: list[Span] = []
+        self.checked, self.n_checked = self.before, 0
+
+    def add(self, role: str, text: str) -> list[Span]:
+        """Take a turn; the spans that are certain by now, in order."""
+        self.turns.append((role, text))
+        if self.window is None:
+            self.before, span = self._span(self.turns[:-1], self.before, role, text)
+            return [span]
+        self.open.append(self._windowed())
+        if len(self.turns) <= self.window + 1:
+            return self._agreed(self.before)  # the window holds the whole prefix
+        return self.check() if len(self.turns) >= 2 * max(self.n_checked, self.window) else []
+
+    def _windowed(self) -> Span:
+        turns = self.turns[:-1]
+        before = self.before
+        if len(turns) > self.window + 1:
+            turns = turns[:1] + turns[-self.window :]
+            before = self.template(turns)
+        self.before, span = self._span(turns, before, *self.turns[-1])
+        return span
+
+    def _agreed(self, whole: str) -> list[Span]:
+        spans, self.open = self.open, []
+        self.checked, self.n_checked = whole, len(self.turns)
+        return spans
+
+    def check(self) -> list[Span]:
+        """Compare what is open with the whole prefix; the spans, those of whole prefixes if they differ."""
+        if not self.open:
+            return []
+        whole = self.template(self.turns)
+        joined = "".join([self.checked, *(span.added for span in self.open)])
+        if whole == joined and not any(span.rewrites for span in self.open):
+            return self._agreed(whole)
+        self.window, self.open = None, []
+        self.before, spans = self.checked, []
+        for number in range(self.n_checked, len(self.turns)):
+            self.before, span = self._span(self.turns[:number], self.before, *self.turns[number])
+            spans.append(span)
+        return spans
+
+    def _span(self, turns: list[Turn], before: str, role: str, text: str) -> tuple[str, Span]:
+        """The output with one more turn, and what that turn adds to ``before``, the output without it."""
         output = self.template([*turns, (role, text)])
-        rewrites = not output.startswith(self.before)
-        begin = _shared(self.before, output) if rewrites else len(self.before)
+        rewrites = not output.startswith(before)
+        begin = _shared(before, output) if rewrites else len(before)
         marked = self.template([*turns, (role, MARK)])
         place = marked.find(MARK, begin)
         after = len(marked) - place - 1
         start, end = (place - begin, len(output) - after - begin) if place >= 0 else (0, 0)
-        turns.append((role, text))
-        self.before = output
-        return Span(role, output[begin:], start, max(start, end), rewrites)
+        return output, Span(role, output[begin:], start, max(start, end), rewrites)
 
 
 def _allowed(template: Template, window: int | None) -> int | None:
@@ -141,15 +182,27 @@ def _in_order(conversations: DataFrame, key: str) -> DataFrame:
 def _rendered(
     batches: Iterator[pa.RecordBatch], template: Template, window: int | None
 ) -> Iterator[list[tuple[object, int, Span]]]:
-    """For each batch of rows in order: conversation, number of the turn, span."""
+    """Some at a time, in order: conversation, number of the turn, span."""
     now, renderer, number = object(), None, 0
+    spans: list[tuple[object, int, Span]] = []
+
+    def take(certain: list[Span]) -> None:
+        nonlocal number
+        for span in certain:
+            spans.append((now, number, span))
+            number += 1
+
     for batch in batches:
-        spans = []
         for key, role, text in zip(*(batch.column(at).to_pylist() for at in (0, 2, 3)), strict=True):
             if renderer is None or key != now:
+                if renderer is not None:
+                    take(renderer.check())
                 now, renderer, number = key, Renderer(template, window), 0
-            spans.append((key, number, renderer.add(role or "", text or "")))
-            number += 1
+            take(renderer.add(role or "", text or ""))
+        yield spans
+        spans = []
+    if renderer is not None:
+        take(renderer.check())
         yield spans
 
 

@@ -135,20 +135,21 @@ def train(
     def listed(block: pa.RecordBatch) -> dict[str, list]:
         found = [features(value) for value in texts_of(block, "_text")]
         return {
-            "features": [hashed.tolist() for hashed, _ in found],
-            "values": [values.tolist() for _, values in found],
+            "features": [hashed.astype(np.int32).tobytes() for hashed, _ in found],
+            "values": [np.asarray(values, float).tobytes() for _, values in found],
             "grade": block.column(block.schema.get_field_index("_label")),
             "id": block.column(block.schema.get_field_index("_id")).cast(pa.string()),
         }
 
-    # At most SAMPLE_ROWS lists of at most 2 ** HASH_BITS numbers; a text of a thousand words has some hundreds.
-    schema = "features array<int>, `values` array<double>, grade double, id string"
+    # At most SAMPLE_ROWS lists of at most 2 ** HASH_BITS numbers, as they lie in memory; a text of a thousand words has
+    # some hundreds.
+    schema = "features binary, `values` binary, grade double, id string"
     rows = sorted(map_blocks(sample, "_text", schema, listed).collect(), key=lambda row: row["id"])
     drop_staged(sample)
-    owner = np.repeat(np.arange(len(rows)), [len(row["features"]) for row in rows])
-    join = lambda name, kind: np.concatenate([np.array(row[name], kind) for row in rows] or [np.zeros(0, kind)])
+    owner = np.repeat(np.arange(len(rows)), [len(row["features"]) // 4 for row in rows])
+    join = lambda name, kind: np.frombuffer(b"".join(row[name] for row in rows), kind)
     grade_of = np.array([min(grades - 1, max(0, round(row["grade"]))) for row in rows], np.int64)
-    return fit(owner, join("features", np.int64), join("values", float), grade_of, grades)
+    return fit(owner, join("features", np.int32), join("values", float), grade_of, grades)
 
 
 def grade_texts(

@@ -29,6 +29,9 @@ from touchline.llm.common import SPACES, staged
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 50, 50, 3
 
+#: Fewer different words than this power of the number of words are few: 25 of 100, 388 of 5,000, 16,000 of a million.
+#: Vocabularies of prose grow about with the square root of its length, from some thirty at a hundred words upwards.
+VOCABULARY = 0.7
 KEEP = 0.5
 #: A rule's accuracy before the first step, which counts as ``PRIOR`` texts already seen.
 FIRST_ACCURACY, PRIOR = 0.9, 10
@@ -105,7 +108,7 @@ def rules() -> dict[str, Column]:
     """The rules' votes over the columns of ``statistics``."""
     mean = _share("word_chars", "n_words")
     symbols, repeated = _share("n_symbols", "n_words"), _share("n_repeat_words", "n_words")
-    lines, different = _share("n_dup_lines", "n_lines"), _share("n_different", "n_words")
+    lines = _share("n_dup_lines", "n_lines")
     lettered, capital = _share("n_lettered", "n_words"), _share("n_capital", "n_words")
     poor = {
         "length": F.col("n_words") < 20,
@@ -113,7 +116,7 @@ def rules() -> dict[str, Column]:
         "symbols": symbols > 0.1,
         "repeated_words": repeated > 0.4,
         "repeated_lines": (lines > 0.3) & (F.col("n_dup_lines") >= 3),
-        "few_different_words": (different < 0.2) & (F.col("n_words") < 5000),
+        "few_different_words": F.col("n_different") < F.pow(F.col("n_words"), F.lit(VOCABULARY)),
         "lettered_words": lettered < 0.7,
         "capitals": capital > 0.5,
     }

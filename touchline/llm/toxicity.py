@@ -1,8 +1,10 @@
 """Toxicity score: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Texts are lower-cased, white space becomes one kind of space, and n-grams of bytes (5 to 8) are hashed. A feature's
-value is how dense its n-gram is in the text: count / (count + bytes / DENSITY), so that a chance hit in a long text
-weighs little. On labelled texts, values are summed by class; the log ratio of the two classes scales the feature, and
+Texts are lower-cased, white space becomes one kind of space, and n-grams of code points (5 to 8) are hashed. A feature's
+value is how dense its n-gram is in the text: count / (count + characters / DENSITY), so that a chance hit in a long text
+weighs little. A text of more than ``WINDOW`` characters is scored in windows of that size, each half over the next, and
+has the highest score of them, so that what surrounds a toxic passage does not hide it; training takes the density over
+the whole text, which a label speaks of. On labelled texts, values are summed by class; the log ratio of the two classes scales the feature, and
 the features that separate the classes best are kept. Logistic regression on the scaled features is fitted to the same
 texts.
 
@@ -11,7 +13,8 @@ once and a text with many copies weighs no more than another. A text with labels
 The model is at most ``FEATURES`` weights and is all that is broadcast; scoring reads whole texts block by block.
 
 Null and empty texts get the score of a text without any known n-gram. Rows without a label are not learned from. If
-the sample has only one class, or is empty, all texts get that class's share of it (0.5 for none, smoothed).
+the sample has only one class, or is empty, all texts get that class's share of it (0.5 for none, smoothed). Repeated
+rows get equal scores; other columns, whatever their names, pass through or are left out as asked for.
 """
 
 from __future__ import annotations
@@ -27,8 +30,10 @@ from pyspark.sql import functions as F
 from touchline.llm.common import blocks, ddl, drop_staged, map_blocks, staged, texts_of
 
 SIZES = (5, 6, 7, 8)
-#: A text of so many bytes that holds an n-gram once has the value 1/2.
+#: A text of so many characters that holds an n-gram once has the value 1/2.
 DENSITY = 1000
+#: Characters that are scored together.
+WINDOW = 1536
 HASH_BITS = 20
 #: Labelled texts used for training, at most.
 SAMPLE_ROWS = 6_000
@@ -38,9 +43,8 @@ LEAST_TEXTS = 3
 #: Weight of the penalty on squared weights, per text.
 PENALTY = 1e-3
 _STEPS = 400
-#: Bytes of text hashed at once; some 150 times as many are held meanwhile.
+#: Characters hashed at once; some 150 times as many bytes are held meanwhile.
 _BLOCK = 1 << 19
-_TO_SPACE = bytes.maketrans(b"\t\n\v\f\r", b"     ")
 
 
 @dataclass
@@ -52,17 +56,34 @@ class Model:
     bias: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        rows, features, values = densities(texts, self.place)
-        total = np.bincount(rows, weights=self.weights[features] * values, minlength=len(texts)) + self.bias
-        return 1.0 / (1.0 + np.exp(-np.clip(total, -50, 50)))
+        """Of each text the highest score of its windows."""
+        if not texts:
+            return np.zeros(0)
+        parts, first = [], []
+        for text in texts:
+            first.append(len(parts))
+            parts += windows(text)
+        rows, features, values = densities(parts, self.place)
+        total = np.bincount(rows, weights=self.weights[features] * values, minlength=len(parts)) + self.bias
+        return np.maximum.reduceat(1.0 / (1.0 + np.exp(-np.clip(total, -50, 50))), first)
+
+
+def windows(text: str) -> list[str]:
+    """A text, or if it is long its parts of ``WINDOW`` characters, each half over the next, to its end."""
+    if len(text) <= WINDOW:
+        return [text]
+    last = len(text) - WINDOW
+    return [text[at : at + WINDOW] for at in [*range(0, last, WINDOW // 2), last]]
 
 
 def _hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A hash for the n-gram of bytes that begins at each place."""
+    """A hash for the n-gram of code points that begins at each place."""
     gram = np.zeros(len(data) - size + 1, np.uint64)
     for offset in range(size):
-        gram |= data[offset : len(data) - size + 1 + offset].astype(np.uint64) << np.uint64(8 * offset)
-    gram *= np.uint64(0x9E3779B97F4A7C15 + 2 * size)
+        gram *= np.uint64(0x9E3779B97F4A7C15)
+        gram += data[offset : len(data) - size + 1 + offset]
+    gram ^= gram >> np.uint64(29)
+    gram *= np.uint64(0xBF58476D1CE4E5B9 + 2 * size)
     return (gram >> np.uint64(64 - HASH_BITS)).astype(np.int64)
 
 
@@ -73,14 +94,15 @@ def densities(texts: list[str], place: np.ndarray | None) -> tuple[np.ndarray, n
     """
     none = np.zeros(0, np.int64)
     rows, features, values = [none], [none], [np.zeros(0)]
-    encoded = [f" {text.lower()} ".encode().translate(_TO_SPACE) for text in texts]
+    encoded = [f" {text.lower()} " for text in texts]
     start = 0
     while start < len(encoded):
         end, size = start + 1, len(encoded[start])
         while end < len(encoded) and size + len(encoded[end]) <= _BLOCK:
             size += len(encoded[end])
             end += 1
-        data = np.frombuffer(b"".join(encoded[start:end]), np.uint8)
+        data = np.frombuffer("".join(encoded[start:end]).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        data[(data >= 9) & (data <= 13)] = 32
         ends = np.cumsum([len(value) for value in encoded[start:end]])
         found = []
         for width in SIZES:
@@ -177,18 +199,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
         texts = texts_of(block, "_text")
         rows, features, values = densities(texts, place)
         cuts = np.searchsorted(rows, np.arange(1, len(texts)))
-        lists = {name: [part.tolist() for part in np.split(column, cuts)] for name, column in
-                 (("features", features), ("values", values))}
+        lists = {name: [part.tobytes() for part in np.split(column, cuts)] for name, column in
+                 (("features", features.astype(np.int32)), ("values", values))}
         return lists | {"_label": block.column(block.schema.get_field_index("_label"))}
 
-    # At most SAMPLE_ROWS lists of at most FEATURES numbers.
-    listed = "features array<int>, `values` array<double>, _label double"
+    # At most SAMPLE_ROWS lists of at most FEATURES numbers, as they lie in memory.
+    listed = "features binary, `values` binary, _label double"
     rows = map_blocks(sample, "_text", listed, rows_with_features).collect()
     drop_staged(sample)
     target = np.array([row["_label"] >= 0.5 for row in rows], float)
-    owner = np.repeat(np.arange(len(rows)), [len(row["features"]) for row in rows])
-    feature = np.array([number for row in rows for number in row["features"]], np.int64)
-    value = np.array([number for row in rows for number in row["values"]], float)
+    feature = np.frombuffer(b"".join(row["features"] for row in rows), np.int32)
+    value = np.frombuffer(b"".join(row["values"] for row in rows), float)
+    owner = np.repeat(np.arange(len(rows)), [len(row["values"]) // value.itemsize for row in rows])
     weights, bias = fit(owner, feature, value * ratio[feature], target, len(ratio))
     return Model(place, weights * ratio, bias)
 
