@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_data import SF, WORD, awkward, nothing
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from touchline.llm import chat, quality_rules, queries, source_mix
@@ -112,6 +113,17 @@ def test_awkward_mixture(spark):
     assert source_mix.mix(nothing(spark), LEVELS).count() == 0
 
 
+def test_mixture_keeps_columns_of_any_name(spark):
+    docs = source_mix.with_domain(awkward(spark)).withColumns({name: F.lit(name) for name in ("copies", "_rest", "_order", "tokens", "budget", "_kept")})
+    keep = ["n_tokens", "copies", "_row", "score", "_rest", "_order", "tokens", "budget", "_kept", "lang"]
+    mixed = source_mix.mix(docs, source_mix.LEVELS, keep=keep)
+    plain = source_mix.mix(docs.drop(*keep[:9]), source_mix.LEVELS)
+    assert mixed.columns == ["doc_id", "kept_n_tokens", "kept_copies", *keep[2:9], "domain", "lang", "source", "n_tokens", "copies"]
+    assert sorted(map(str, mixed.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    assert {tuple(row) for row in mixed.select("kept_n_tokens", "kept_copies", "budget", "_kept").collect()} == {("4", "copies", "budget", "_kept")}
+    assert source_mix.mix(docs.limit(0), source_mix.LEVELS, keep=keep).count() == 0
+
+
 def test_shortage_goes_to_siblings_first(spark):
     leaves = spark.createDataFrame(
         [("a", "x", 10), ("a", "y", 1000), ("b", "z", 1000), ("c", None, 5)], "domain string, lang string, tokens long"

@@ -128,13 +128,17 @@ def mix(
 ) -> DataFrame:
     """The key, the columns ``keep``, the levels, ``n_tokens`` and ``copies``: how often a document is in the mixture.
 
-    The budget is ``total_tokens``, or the fraction ``share`` of all tokens there are.
+    The budget is ``total_tokens``, or the fraction ``share`` of all tokens there are. Kept columns may have any name; one
+    called ``n_tokens`` or ``copies`` comes back as ``kept_n_tokens`` or ``kept_copies``. An empty table has an empty mixture.
     """
     names = list(levels)
-    columns = list(dict.fromkeys([key, *(keep or []), *names]))
+    others = [name for name in dict.fromkeys(keep or []) if name not in (key, *names)]
+    # In one column, so that no name clashes with those used here.
+    packed = [F.struct(*others).alias("_kept")] if others else []
+    columns = [*dict.fromkeys([key, *names]), *(["_kept"] if others else [])]
     rows = staged(
         docs.select(
-            *columns, n_tokens(text).alias("n_tokens"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text_hash")
+            *dict.fromkeys([key, *names]), *packed, n_tokens(text).alias("n_tokens"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text_hash")
         ),
         "mix-rows",
     )
@@ -174,7 +178,8 @@ def mix(
     within = Window.partitionBy(*names, "_range").orderBy("_order", "_text_hash").rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    result = [*columns, "n_tokens"]
+    kept = [F.col("_kept")[name].alias(f"kept_{name}" if name in ("n_tokens", "copies") else name) for name in others]
+    result = [key, *kept, *[name for name in names if name != key], "n_tokens"]
     easy = placed.where(~ends).select(*result, (F.col("_whole") + F.col("_all").cast("long")).alias("copies"))
     hard = placed.where(ends).withColumn("_upto", F.sum("n_tokens").over(within))
     hard = hard.select(*result, (F.col("_whole") + (F.col("_upto") <= F.col("_room")).cast("long")).alias("copies"))
