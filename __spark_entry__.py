@@ -18,7 +18,7 @@ from touchline.operators.integrity import key_report, orphans
 from touchline.operators.layout import project, rename_resolved
 from touchline.operators.loads import select_load
 from touchline.operators.metrics import run_metrics
-from touchline.operators.quality import Check, count_failures, violations
+from touchline.operators.quality import Check, count_failures, samples, violations
 from touchline.plans import gold, layouts, marts, pipeline, serving, silver, suites
 from touchline.session import DEFAULTS
 from touchline.sources.bronze import read_bronze
@@ -168,6 +168,16 @@ def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("check_name", "match_id")
 
 
+SAMPLES = 5
+
+
+def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first violations of each check on the matches, in an order that both engines have."""
+    matches = Tables(spark, sf_dir).silver_matches()
+    order = F.md5(F.col("match_id").cast("string"))
+    return samples(matches, suites.silver_matches(), SAMPLES, order).select("check_name", "match_id", "rank")
+
+
 def _unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = Tables(spark, sf_dir)
     keyed = {name: getattr(tables, name) for name in serving.PRIMARY_KEYS}
@@ -311,6 +321,31 @@ def _through_layers(mart: str, source: str, fact: str) -> Query:
     return _rounded(run)
 
 
+def _rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart after a full run without one season and an incremental run over a second landing that has it."""
+    work = staging_path(spark, sf_dir, uuid.uuid4().hex, "rebuilt")
+    lake, tables = Lake(join_path(work, "lake")), Tables(spark, sf_dir)
+    steps = {"matches", "match_statistics", "fact_team_match_statistics", "team_season_summary"}
+    year = F.regexp_extract("data", r"(\d{4})", 1)
+    later = tables.raw("matches").where(year == LEFT_OUT).select("ID")
+    for number, left_out in enumerate((later, later.limit(0))):
+        files = {}
+        for source, name in (("matches", "ID"), ("match_statistics", "partida_id")):
+            rows = tables.raw(source).drop("_source_file", "_load_date")
+            files[source] = join_path(work, f"inbox-{number}", source)
+            rows.join(left_out.withColumnRenamed("ID", name), name, "left_anti").select(rows.columns).write.option(
+                "header", True
+            ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(files[source])
+        land_files(spark, lake, files, datetime(2024, 1, 2 + number, tzinfo=timezone.utc))
+        done = pipeline.run_steps(spark, lake, steps, incremental=bool(number))
+    rewritten = done["team_season_summary"].seasons
+    return read_table(spark, lake.mart("team_season_summary")).withColumn("rewritten", F.col("season").isin(*rewritten))
+
+
+#: The season that the first load of ``pipeline_rebuilt`` lacks.
+LEFT_OUT = "1995"
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The season table per team, from raw text to mart."""
     return _rounded(_table("team_season_summary"))(spark, "/root/testdata/sf0.001")
@@ -352,6 +387,7 @@ def queries() -> dict[str, Query]:
         "dq_fact_cards": _checked("fact_cards", suites.fact_cards),
         "dq_fact_team_match_statistics": _checked("fact_team_match_statistics", suites.fact_team_match_statistics),
         "dq_quarantine": _quarantine,
+        "dq_samples": _samples,
         "dq_unique_keys": _unique_keys,
         "dq_orphans": _orphans,
         "goal_reconciliation": _reconciliation,
@@ -370,6 +406,7 @@ def queries() -> dict[str, Query]:
         "pipeline_home_away": _through_layers(
             "team_home_away_summary", "match_statistics", "fact_team_match_statistics"
         ),
+        "pipeline_rebuilt": _rounded(_rebuilt),
         "pipeline_scorers": _through_layers("top_scorers_by_season", "goals", "fact_goals"),
     } | _training_data_queries()
 

@@ -191,3 +191,23 @@ def test_facts_refuse_an_empty_table(spark, inputs, tmp_path):
     silver.silver_matches(inputs["matches"]).limit(0).write.parquet(lake.silver_table("matches"))
     with pytest.raises(ValueError, match="no rows in silver.matches"):
         pipeline.build_fact_matches(spark, lake)
+
+
+def test_an_incremental_run_equals_a_full_one_and_writes_only_changed_seasons(spark, inputs, tmp_path):
+    lake, whole = Lake(str(tmp_path / "lake")), Lake(str(tmp_path / "whole"))
+    steps = {"matches", "goals", "fact_goals", "top_scorers_by_season"}
+    later = inputs["matches"].where("data rlike '1996'").select(F.col("ID").alias("partida_id"))
+    first = inputs["goals"].join(later, "partida_id", "left_anti")
+    for number, goals in enumerate((first, inputs["goals"])):
+        files = {"matches": write_csv(inputs["matches"], str(tmp_path / f"m{number}")), "goals": write_csv(goals, str(tmp_path / f"g{number}"))}
+        land_files(spark, lake, files, datetime(2024, 1, 1 + number, tzinfo=timezone.utc))
+        done = pipeline.run_steps(spark, lake, steps, incremental=True)
+        assert number or all(result.seasons is None or len(result.seasons) > 3 for result in done.values())
+    assert {name: result.seasons for name, result in done.items()} == {
+        "matches": (), "goals": (1996,), "fact_goals": (1996,), "top_scorers_by_season": (1996,)}
+    land_files(spark, whole, files, datetime(2024, 1, 2, tzinfo=timezone.utc))
+    pipeline.run_steps(spark, whole, steps)
+    for path in (Lake.gold_table, Lake.mart):
+        name = "fact_goals" if path is Lake.gold_table else "top_scorers_by_season"
+        left, right = (read_table(spark, path(one, name)).drop(*LINEAGE) for one in (lake, whole))
+        assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()

@@ -1,7 +1,7 @@
 """Every check has rows that pass and a row that fails it, and nothing else."""
 
 import pytest
-from conftest import counted
+from conftest import counted, values
 
 from touchline.operators.quality import (
     FrameCheck,
@@ -13,6 +13,7 @@ from touchline.operators.quality import (
     failing_frame,
     repeated,
     require_no_critical,
+    samples,
     violations,
 )
 from touchline.plans import suites
@@ -318,6 +319,17 @@ def test_report_samples_and_gate(spark):
     assert require_no_critical(warned) is warned
 
 
+def test_samples_are_one_job_and_determined(spark):
+    frame, checks = mixed(spark)
+    found = [values(samples(part, checks, 2), "check_name", "rank", "k", "v", "count") for part in (frame, frame.repartition(3))]
+    assert sorted(found[0], key=str) == sorted(found[1], key=str)
+    assert {row[0]: row[1] for row in samples(frame, checks, 2).groupBy("check_name").count().collect()} == {
+        "null_k": 2, "same_kv": 1, "k_pairs": 1, "v_pairs": 2, "others": 2,
+    }
+    plan = samples(frame, checks, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_reports_on_an_empty_table(spark):
     frame, checks = mixed(spark)
     report = build_report("empty", frame.limit(0), [c for c in checks if not isinstance(c, FrameCheck)])

@@ -13,7 +13,7 @@ from touchline.sources.bronze import load_date_of, load_dates, read_bronze, read
 from touchline.sources.lake import Lake
 from touchline.session import shuffle_plan, sized_shuffles, tuned_session
 from touchline.sources.storage import path_bytes, shared_folder, staging_path
-from touchline.sources.tables import read_table, write_quarantine, write_table
+from touchline.sources.tables import changed_seasons, read_table, write_quarantine, write_seasons, write_table
 
 NOW = datetime(2024, 3, 5, 23, 30, tzinfo=timezone.utc)
 
@@ -321,6 +321,28 @@ def test_tables_keep_null_seasons_and_prune(spark, tmp_path):
     assert values(read_table(spark, path), "v", "season") == [(4, 2021)]
 
 
+def test_only_changed_seasons_are_written(spark, tmp_path):
+    path, kinds = str(tmp_path / "t"), "v int, w string, source_file string, season int"
+    old = [(1, "a", "f", 2020), (1, "a", "f", 2020), (2, None, "f", 2021), (3, "x", "f", 2022), (4, "y", "f", None), (5, "z", "f", 2024)]
+    new = [(1, "a", "g", 2020), (1, "a", "g", 2020), (2, "", "g", 2021), (3, "x", "g", 2022), (4, "n", "g", None), (6, "q", "g", 2023)]
+    frames = [spark.createDataFrame(rows, kinds) for rows in (old, new)]
+    assert changed_seasons(spark, frames[0], path)[1] == []
+    write_table(frames[0], path)
+    assert changed_seasons(spark, frames[0], path) == ([], [])
+    changed, gone = changed_seasons(spark, frames[1], path, ["source_file"])
+    assert (changed, gone) == ([None, 2021, 2023], [2024])
+    assert changed_seasons(spark, frames[1].limit(0), path)[1] == [None, 2020, 2021, 2022, 2024]
+    before = {file.name for file in (tmp_path / "t").rglob("season=202[02]/*.parquet")}
+    write_seasons(spark, frames[1], path, changed, gone)
+    assert {file.name for file in (tmp_path / "t").rglob("season=202[02]/*.parquet")} == before
+    assert sorted(values(read_table(spark, path), "v", "w", "season"), key=str) == sorted(values(frames[1], "v", "w", "season"), key=str)
+    # Twice the same row is not none of it.
+    assert changed_seasons(spark, frames[1].where("season = 2020").limit(1), path)[0] == [2020]
+    write_seasons(spark, frames[1], path, [], [None])
+    assert None not in {row[0] for row in values(read_table(spark, path), "season")}
+    assert values(read_table(spark, path, ["v"], seasons=[2021, None]), "v") == [(2,)]
+
+
 def test_a_table_with_only_null_seasons(spark, tmp_path):
     frame = spark.createDataFrame([(3, None)], "v int, season int")
     path = str(tmp_path / "t")

@@ -4,16 +4,17 @@ Three kinds of check. A row check fails rows where its predicate is true; an unk
 check fails key groups by their row count. A frame check fails every row of a given frame.
 
 A report costs one aggregate for all row checks, one aggregate per chain of nested group keys, and one count
-per frame check. Counts combine map-side, so a huge key group never reaches one task as rows.
+per frame check. Counts combine map-side, so a huge key group never reaches one task as rows. Samples of all failing checks
+of a suite are one job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CRITICAL, WARNING = "critical", "warning"
@@ -159,6 +160,38 @@ def failing_frame(frame: DataFrame, check: Check) -> DataFrame:
     return check.violations
 
 
+def samples(frame: DataFrame, checks: Sequence[Check], limit: int, order: Column | None = None) -> DataFrame:
+    """Up to ``limit`` violations of each check, for all checks in one job; ``rank`` counts them from 1.
+
+    Which ones is determined: the first by ``order``, or else by a digest of the whole violation. Spark keeps no more than
+    ``limit`` rows a check and task before it shuffles them.
+    """
+    failing = violations(frame, checks)
+    columns = [name for name in failing.columns if name != "check_name"]
+    digest = F.md5(F.to_json(F.struct(*[F.col(name) for name in columns])))
+    keys = [digest] if order is None else [order, digest]
+    rank = F.row_number().over(Window.partitionBy("check_name").orderBy(*keys))
+    return failing.withColumn("rank", rank).where(F.col("rank") <= limit)
+
+
+def _sample_columns(frame: DataFrame, check: Check) -> list[str]:
+    if isinstance(check, RowCheck):
+        return frame.columns
+    return [*check.keys, "count"] if isinstance(check, GroupCheck) else check.violations.columns
+
+
+def _sampled(frame: DataFrame, wanted: dict[int, Check], limit: int) -> dict[int, list[dict]]:
+    """Records of failing checks by their position; suites may share the names of checks."""
+    if not wanted:
+        return {}
+    numbered = [replace(check, name=str(position)) for position, check in wanted.items()]
+    found: dict[int, list[dict]] = {position: [] for position in wanted}
+    for row in sorted(samples(frame, numbered, limit).collect(), key=lambda row: row["rank"]):
+        position = int(row["check_name"])
+        found[position].append({name: row[name] for name in _sample_columns(frame, wanted[position])})
+    return found
+
+
 @dataclass(frozen=True)
 class CheckResult:
     check_name: str
@@ -213,15 +246,13 @@ def build_reports(frame: DataFrame, suites: Sequence[Suite]) -> list[Report]:
     counted = {row["position"]: row["invalid_count"] for row in _positioned_counts(frame, checks).collect()}
     reports, position = [], 1
     for suite in suites:
-        results = []
-        for check in suite.checks:
-            count = counted[position]
-            position += 1
-            sample = []
-            if suite.sample_limit and count:
-                failing = failing_frame(frame, check).limit(suite.sample_limit)
-                sample = [row.asDict() for row in failing.collect()]
-            results.append(CheckResult(check.name, check.severity, count, sample))
+        placed = dict(enumerate(suite.checks, position))
+        position += len(placed)
+        failing = {at: check for at, check in placed.items() if counted[at]} if suite.sample_limit else {}
+        sampled = _sampled(frame, failing, suite.sample_limit)
+        results = [
+            CheckResult(check.name, check.severity, counted[at], sampled.get(at, [])) for at, check in placed.items()
+        ]
         reports.append(Report(suite.name, counted[0], results))
     return reports
 

@@ -9,7 +9,7 @@ report: then a failing gate publishes nothing, and a failing report raises with
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -30,8 +30,8 @@ from touchline.plans import gold, marts, silver, suites
 from touchline.session import sized_shuffles, tuned_session
 from touchline.sources.bronze import latest_load, read_bronze
 from touchline.sources.lake import Lake
-from touchline.sources.storage import delete_path, path_bytes, staging_path
-from touchline.sources.tables import read_table, write_quarantine, write_table
+from touchline.sources.storage import child_directories, delete_path, path_bytes, path_exists, staging_path
+from touchline.sources.tables import changed_seasons, read_table, write_quarantine, write_seasons, write_table
 
 SAMPLE_LIMIT = 20
 
@@ -43,6 +43,8 @@ class StepResult:
     table: str
     metrics: dict[str, int]
     reports: tuple[Report, ...] = ()
+    #: Seasons that an incremental run replaced or dropped; None for a run that wrote the whole table.
+    seasons: tuple[int | None, ...] | None = None
 
 
 def _metrics(frame: DataFrame, distinct: Mapping[str, str]) -> dict[str, int]:
@@ -83,16 +85,27 @@ def _finish(
     planned: Sequence[Suite],
     distinct: Mapping[str, str],
     publish_first: bool = False,
+    incremental: bool = False,
 ) -> StepResult:
     """Check and publish, in the order asked for, then measure what was published."""
     today = datetime.now(timezone.utc).date().isoformat()
     before = 1 if publish_first else len(planned)
     reports = _check(table, lake, dataset, planned[:before], today)
-    write_table(table, path)
+    seasons = _publish(spark, table, path, incremental)
     if planned[before:]:
         reports += _check(table, lake, dataset, planned[before:], today)
     published = read_table(spark, path, schema=table.schema)
-    return StepResult(path, _metrics(published, distinct), tuple(reports))
+    return StepResult(path, _metrics(published, distinct), tuple(reports), seasons)
+
+
+def _publish(spark: SparkSession, table: DataFrame, path: str, incremental: bool) -> tuple[int | None, ...] | None:
+    """Write the table; an incremental run writes only the seasons whose rows have changed, apart from their lineage."""
+    if not incremental:
+        write_table(table, path)
+        return None
+    changed, gone = changed_seasons(spark, table, path, gold.LINEAGE_COLUMNS)
+    write_seasons(spark, table, path, changed, gone)
+    return (*changed, *gone)
 
 
 _MATCHES_AND_SEASONS = {"distinct_matches": "match_id", "distinct_seasons": "season"}
@@ -111,6 +124,7 @@ def _build_silver(
     suites_of: Callable[[DataFrame], Sequence[Suite]],
     distinct: Mapping[str, str],
     publish_first: bool = False,
+    incremental: bool = False,
 ) -> StepResult:
     """Compute a cleaned table once, check it, publish it."""
     chosen = latest_load(spark, lake, source, load_date)
@@ -119,11 +133,16 @@ def _build_silver(
         raw = read_bronze(spark, lake, source, chosen)
         with _staged(spark, lake, dataset, transform(raw)) as staged:
             path = lake.silver_table(source)
-            return _finish(spark, lake, dataset, path, staged, suites_of(staged), distinct, publish_first)
+            planned = suites_of(staged)
+            return _finish(spark, lake, dataset, path, staged, planned, distinct, publish_first, incremental)
 
 
 def build_silver_matches(
-    spark: SparkSession, lake: Lake, load_date: str | None = None, publish_first: bool = False
+    spark: SparkSession,
+    lake: Lake,
+    load_date: str | None = None,
+    publish_first: bool = False,
+    incremental: bool = False,
 ) -> StepResult:
     def planned(_: DataFrame) -> list[Suite]:
         return [
@@ -133,11 +152,13 @@ def build_silver_matches(
 
     seasons = {"distinct_seasons": "season"}
     return _build_silver(
-        spark, lake, "matches", load_date, silver.silver_matches, planned, seasons, publish_first
+        spark, lake, "matches", load_date, silver.silver_matches, planned, seasons, publish_first, incremental
     )
 
 
-def build_silver_goals(spark: SparkSession, lake: Lake, load_date: str | None = None) -> StepResult:
+def build_silver_goals(
+    spark: SparkSession, lake: Lake, load_date: str | None = None, incremental: bool = False
+) -> StepResult:
     """The suite reports and never raises."""
     matches = _silver_matches_table(spark, lake, *silver.EVENT_MATCH_COLUMNS, "total_goals")
 
@@ -147,10 +168,13 @@ def build_silver_goals(spark: SparkSession, lake: Lake, load_date: str | None =
     def transform(raw: DataFrame) -> DataFrame:
         return silver.silver_goals(raw, matches)
 
-    return _build_silver(spark, lake, "goals", load_date, transform, planned, _MATCHES_AND_SEASONS)
+    distinct = _MATCHES_AND_SEASONS
+    return _build_silver(spark, lake, "goals", load_date, transform, planned, distinct, incremental=incremental)
 
 
-def build_silver_cards(spark: SparkSession, lake: Lake, load_date: str | None = None) -> StepResult:
+def build_silver_cards(
+    spark: SparkSession, lake: Lake, load_date: str | None = None, incremental: bool = False
+) -> StepResult:
     """The suite reports and never raises."""
     matches = _silver_matches_table(spark, lake, *silver.EVENT_MATCH_COLUMNS)
 
@@ -160,11 +184,12 @@ def build_silver_cards(spark: SparkSession, lake: Lake, load_date: str | None =
     def transform(raw: DataFrame) -> DataFrame:
         return silver.silver_cards(raw, matches)
 
-    return _build_silver(spark, lake, "cards", load_date, transform, planned, _MATCHES_AND_SEASONS)
+    distinct = _MATCHES_AND_SEASONS
+    return _build_silver(spark, lake, "cards", load_date, transform, planned, distinct, incremental=incremental)
 
 
 def build_silver_match_statistics(
-    spark: SparkSession, lake: Lake, load_date: str | None = None
+    spark: SparkSession, lake: Lake, load_date: str | None = None, incremental: bool = False
 ) -> StepResult:
     matches = _silver_matches_table(spark, lake, *silver.STATISTICS_MATCH_COLUMNS)
 
@@ -174,7 +199,9 @@ def build_silver_match_statistics(
     def transform(raw: DataFrame) -> DataFrame:
         return silver.silver_match_statistics(raw, matches)
 
-    return _build_silver(spark, lake, "match_statistics", load_date, transform, planned, _MATCHES_AND_SEASONS)
+    return _build_silver(
+        spark, lake, "match_statistics", load_date, transform, planned, _MATCHES_AND_SEASONS, incremental=incremental
+    )
 
 
 def _build_fact(
@@ -185,30 +212,30 @@ def _build_fact(
     transform: Callable[[DataFrame], DataFrame],
     checks: Sequence[Check],
     distinct: Mapping[str, str],
+    incremental: bool,
 ) -> StepResult:
     """A fact is a projection of a table already laid out by season: nothing to stage, nothing to shuffle."""
     path = lake.silver_table(source)
     table = transform(require_rows(read_table(spark, path), f"silver.{source}"))
     planned = [Suite(f"gold.{name}", checks)]
     with tuned_session(spark), sized_shuffles(spark, path_bytes(spark, path)):
-        return _finish(spark, lake, name, lake.gold_table(name), table, planned, distinct)
+        return _finish(spark, lake, name, lake.gold_table(name), table, planned, distinct, incremental=incremental)
 
 
-def build_fact_matches(spark: SparkSession, lake: Lake) -> StepResult:
-    return _build_fact(
-        spark, lake, "fact_matches", "matches", gold.fact_matches, suites.fact_matches(), _MATCHES_AND_SEASONS
-    )
+def build_fact_matches(spark: SparkSession, lake: Lake, incremental: bool = False) -> StepResult:
+    checks, distinct = suites.fact_matches(), _MATCHES_AND_SEASONS
+    return _build_fact(spark, lake, "fact_matches", "matches", gold.fact_matches, checks, distinct, incremental)
 
 
-def build_fact_goals(spark: SparkSession, lake: Lake) -> StepResult:
-    return _build_fact(spark, lake, "fact_goals", "goals", gold.fact_goals, suites.fact_goals(), {})
+def build_fact_goals(spark: SparkSession, lake: Lake, incremental: bool = False) -> StepResult:
+    return _build_fact(spark, lake, "fact_goals", "goals", gold.fact_goals, suites.fact_goals(), {}, incremental)
 
 
-def build_fact_cards(spark: SparkSession, lake: Lake) -> StepResult:
-    return _build_fact(spark, lake, "fact_cards", "cards", gold.fact_cards, suites.fact_cards(), {})
+def build_fact_cards(spark: SparkSession, lake: Lake, incremental: bool = False) -> StepResult:
+    return _build_fact(spark, lake, "fact_cards", "cards", gold.fact_cards, suites.fact_cards(), {}, incremental)
 
 
-def build_fact_team_match_statistics(spark: SparkSession, lake: Lake) -> StepResult:
+def build_fact_team_match_statistics(spark: SparkSession, lake: Lake, incremental: bool = False) -> StepResult:
     return _build_fact(
         spark,
         lake,
@@ -217,45 +244,58 @@ def build_fact_team_match_statistics(spark: SparkSession, lake: Lake) -> StepRes
         gold.fact_team_match_statistics,
         suites.fact_team_match_statistics(),
         {"distinct_matches": "match_id", "distinct_teams": "team"},
+        incremental,
     )
 
 
 def _build_mart(
-    spark: SparkSession, lake: Lake, name: str, transform: Callable[..., DataFrame], *sources: str
+    spark: SparkSession,
+    lake: Lake,
+    name: str,
+    transform: Callable[..., DataFrame],
+    *sources: str,
+    seasons: Sequence[int | None] | None = None,
 ) -> StepResult:
+    """A mart groups by season, so that a run for some ``seasons`` reads and writes only their partitions."""
     paths = [lake.gold_table(source) for source in sources]
-    table = transform(*[read_table(spark, path) for path in paths])
+    table = transform(*[read_table(spark, path, seasons=seasons) for path in paths])
     path = lake.mart(name)
     with tuned_session(spark), sized_shuffles(spark, path_bytes(spark, *paths)):
-        write_table(table, path)
-    return StepResult(path, _metrics(read_table(spark, path, schema=table.schema), {}))
+        if seasons is None:
+            write_table(table, path)
+        else:
+            gone = _seasons_at(spark, path) - {season for source in paths for season in _seasons_at(spark, source)}
+            write_seasons(spark, table, path, seasons, list(gone))
+    published = None if seasons is None else tuple(seasons)
+    return StepResult(path, _metrics(read_table(spark, path, schema=table.schema), {}), seasons=published)
 
 
-def build_team_season_summary(spark: SparkSession, lake: Lake) -> StepResult:
-    return _build_mart(
-        spark, lake, "team_season_summary", marts.team_season_summary, "fact_team_match_statistics"
-    )
+def _seasons_at(spark: SparkSession, path: str) -> set[int | None]:
+    """Seasons of a table, by the names of its folders."""
+    names = [name.partition("=")[2] for name in child_directories(spark, path) if name.startswith("season=")]
+    return {int(name) if name.lstrip("-").isdigit() else None for name in names}
 
 
-def build_team_home_away_summary(spark: SparkSession, lake: Lake) -> StepResult:
-    return _build_mart(
-        spark, lake, "team_home_away_summary", marts.team_home_away_summary, "fact_team_match_statistics"
-    )
+Seasons = Sequence[int | None] | None
 
 
-def build_top_scorers_by_season(spark: SparkSession, lake: Lake) -> StepResult:
-    return _build_mart(spark, lake, "top_scorers_by_season", marts.top_scorers_by_season, "fact_goals")
+def build_team_season_summary(spark: SparkSession, lake: Lake, seasons: Seasons = None) -> StepResult:
+    name, source = "team_season_summary", "fact_team_match_statistics"
+    return _build_mart(spark, lake, name, marts.team_season_summary, source, seasons=seasons)
 
 
-def build_team_discipline_summary(spark: SparkSession, lake: Lake) -> StepResult:
-    return _build_mart(
-        spark,
-        lake,
-        "team_discipline_summary",
-        marts.team_discipline_summary,
-        "fact_cards",
-        "fact_team_match_statistics",
-    )
+def build_team_home_away_summary(spark: SparkSession, lake: Lake, seasons: Seasons = None) -> StepResult:
+    name, source = "team_home_away_summary", "fact_team_match_statistics"
+    return _build_mart(spark, lake, name, marts.team_home_away_summary, source, seasons=seasons)
+
+
+def build_top_scorers_by_season(spark: SparkSession, lake: Lake, seasons: Seasons = None) -> StepResult:
+    return _build_mart(spark, lake, "top_scorers_by_season", marts.top_scorers_by_season, "fact_goals", seasons=seasons)
+
+
+def build_team_discipline_summary(spark: SparkSession, lake: Lake, seasons: Seasons = None) -> StepResult:
+    name, sources = "team_discipline_summary", ("fact_cards", "fact_team_match_statistics")
+    return _build_mart(spark, lake, name, marts.team_discipline_summary, *sources, seasons=seasons)
 
 
 SILVER_STEPS = {
@@ -278,9 +318,41 @@ MART_STEPS = {
 }
 
 
-def run_all(spark: SparkSession, lake: Lake, load_date: str | None = None) -> dict[str, StepResult]:
-    """All steps in dependency order."""
-    results = {name: step(spark, lake, load_date) for name, step in SILVER_STEPS.items()}
-    for name, step in {**FACT_STEPS, **MART_STEPS}.items():
-        results[name] = step(spark, lake)
+#: Facts that a mart is made of.
+MART_SOURCES = {
+    "team_season_summary": ("fact_team_match_statistics",),
+    "team_home_away_summary": ("fact_team_match_statistics",),
+    "top_scorers_by_season": ("fact_goals",),
+    "team_discipline_summary": ("fact_cards", "fact_team_match_statistics"),
+}
+
+
+def run_all(
+    spark: SparkSession, lake: Lake, load_date: str | None = None, incremental: bool = False
+) -> dict[str, StepResult]:
+    """All steps in dependency order.
+
+    An ``incremental`` run derives and checks the cleaned tables and facts in full, but writes only the seasons in which
+    they differ from what is published, and makes the marts anew for those seasons alone. The result equals a full run's
+    except for lineage: an unchanged season keeps naming the files of the load that brought it.
+    """
+    return run_steps(spark, lake, {*SILVER_STEPS, *FACT_STEPS, *MART_STEPS}, load_date, incremental)
+
+
+def run_steps(
+    spark: SparkSession, lake: Lake, wanted: Collection[str], load_date: str | None = None, incremental: bool = False
+) -> dict[str, StepResult]:
+    """Some steps in dependency order; ``run_all`` says what an incremental run does."""
+    results = {
+        name: step(spark, lake, load_date, incremental=incremental) for name, step in SILVER_STEPS.items() if name in wanted
+    }
+    results |= {name: step(spark, lake, incremental) for name, step in FACT_STEPS.items() if name in wanted}
+    for name, step in MART_STEPS.items():
+        if name not in wanted:
+            continue
+        seasons = None
+        if incremental and path_exists(spark, lake.mart(name)):
+            touched = {season for source in MART_SOURCES[name] if source in results for season in results[source].seasons}
+            seasons = sorted(touched, key=lambda season: (season is not None, season))
+        results[name] = step(spark, lake, seasons)
     return results

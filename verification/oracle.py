@@ -446,6 +446,11 @@ FROM cards_raw""",
     "explicit_load": "SELECT ID AS match_key, _load_date AS load_date FROM matches_raw "
                      "WHERE _load_date = '2024-01-01'",
     "dq_quarantine": _quarantined(),
+    "dq_samples": f"""
+SELECT check_name, match_id, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY check_name ORDER BY md5(CAST(match_id AS VARCHAR))) AS rank
+  FROM ({_quarantined()})
+) WHERE rank <= 5""",
     "dq_unique_keys": "\nUNION ALL\n".join(_key_line(table, keys) for table, keys in KEYS.items()),
     "dq_orphans": "\nUNION ALL\n".join(_orphan_lines(table) for table in ("fact_goals", "fact_cards")),
     "goal_reconciliation": RECONCILED,
@@ -496,4 +501,5 @@ def oracle_sql() -> dict[str, str]:
     selects = {name: f"SELECT * FROM {name}" for name in _TABLES}
     found = {name: _over_views(text) for name, text in {**selects, **SERVING, **QUALITY, **OTHER}.items()}
     layered = {name: found[mart].replace(LATEST, "TRUE") for name, mart in THROUGH_LAYERS.items()}
+    layered["pipeline_rebuilt"] = f"SELECT *, season = 1995 AS rewritten FROM ({layered['pipeline_team_season']})"
     return found | layered
