@@ -1,5 +1,9 @@
 """Every registered query against its SQL, on the smallest scale."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from conftest import SF
 
@@ -32,3 +36,10 @@ def test_query_equals_sql(spark, oracle, name):
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns[:2] == ["season", "team"] and frame.count() == 200
+
+
+def test_the_optional_queries_are_left_out_if_they_cannot_be_imported():
+    code = "import sys; sys.modules['sentencepiece'] = None; import __spark_entry__ as c; print(*c.queries())"
+    root = Path(__file__).resolve().parents[1]
+    listed = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert set(listed) == set(CORE) or contract._llm is None
