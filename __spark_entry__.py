@@ -7,24 +7,24 @@ order of a floating-point sum is not fixed.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.operators.integrity import key_report, orphans
 from touchline.operators.layout import project, rename_resolved
 from touchline.operators.loads import select_load
 from touchline.operators.metrics import run_metrics
-from touchline.operators.quality import Check, count_failures, samples, violations
+from touchline.operators.quality import Check, QualityError, count_failures, samples, violations
 from touchline.plans import gold, layouts, marts, pipeline, serving, silver, suites
 from touchline.session import DEFAULTS
 from touchline.sources.bronze import read_bronze
 from touchline.sources.landing import land_files, with_file_digest
 from touchline.sources.lake import Lake
-from touchline.sources.storage import join_path, rename_children, staging_path
+from touchline.sources.storage import join_path, path_exists, rename_children, staging_path
 from touchline.sources.tables import read_table, write_quarantine
 from verification.fixtures import RAW, raw_view
 from verification.oracle import oracle_sql as _oracle_sql
@@ -234,15 +234,19 @@ def _bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, lake, "matches").drop("_source_file")
 
 
-def _landed(spark: SparkSession, sf_dir: str, *sources: str) -> tuple[Lake, DataFrame]:
+def _landed(
+    spark: SparkSession, sf_dir: str, *sources: str, chosen: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None
+) -> tuple[Lake, DataFrame]:
     """Write sources as CSV files, all loads together, and land them in a new lake; the lake and its manifest."""
     work = staging_path(spark, sf_dir, uuid.uuid4().hex, "landed")
     tables, files = Tables(spark, sf_dir), {}
     for source in sources:
         files[source] = join_path(work, "inbox", source)
+        rows = tables.raw(source)
+        if chosen and source in chosen:
+            rows = chosen[source](rows)
         (
-            tables.raw(source)
-            .drop("_source_file", "_load_date")
+            rows.drop("_source_file", "_load_date")
             .write.option("header", True)
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
@@ -321,6 +325,42 @@ def _through_layers(mart: str, source: str, fact: str) -> Query:
     return _rounded(run)
 
 
+def _told_apart(cards: DataFrame) -> DataFrame:
+    """Cards of a known type of players with one card in the match: what the gate of the card facts lets pass."""
+    seen = Window.partitionBy("partida_ID", "clube", "atleta")
+    counted = cards.where("cartao <> 'azul'").withColumn("_seen", F.count(F.lit(1)).over(seen))
+    return counted.where("_seen = 1").drop("_seen")
+
+
+def _discipline_through_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The card path from CSV files to its mart, by the pipeline's steps, each of which passes its gate."""
+    lake, _ = _landed(spark, sf_dir, "matches", "cards", "match_statistics", chosen={"cards": _told_apart})
+    steps = {"matches", "cards", "match_statistics", "fact_cards", "fact_team_match_statistics", "team_discipline_summary"}
+    pipeline.run_steps(spark, lake, steps)
+    return read_table(spark, lake.mart("team_discipline_summary"))
+
+
+def _matches_through_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The match facts by the pipeline's steps, over all loads."""
+    lake, _ = _landed(spark, sf_dir, "matches")
+    pipeline.run_steps(spark, lake, {"matches", "fact_matches"})
+    return read_table(spark, lake.gold_table("fact_matches"))
+
+
+def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate of the card facts over all cards: its report, whether it raised, and whether the facts were published."""
+    lake, _ = _landed(spark, sf_dir, "matches", "cards")
+    pipeline.run_steps(spark, lake, {"matches", "cards"})
+    try:
+        report, raised = pipeline.build_fact_cards(spark, lake).reports[0], False
+    except QualityError as failed:
+        report, raised = failed.report, True
+    published = path_exists(spark, lake.gold_table("fact_cards"))
+    rows = [(check.check_name, check.severity, check.invalid_count, raised, published) for check in report.checks]
+    kinds = "check_name string, severity string, invalid_count bigint, raised boolean, published boolean"
+    return spark.createDataFrame(rows, kinds)
+
+
 def _rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart after a full run without one season and an incremental run over a second landing that has it."""
     work = staging_path(spark, sf_dir, uuid.uuid4().hex, "rebuilt")
@@ -407,6 +447,9 @@ def queries() -> dict[str, Query]:
             "team_home_away_summary", "match_statistics", "fact_team_match_statistics"
         ),
         "pipeline_rebuilt": _rounded(_rebuilt),
+        "pipeline_discipline": _rounded(_discipline_through_layers),
+        "pipeline_fact_matches": _matches_through_layers,
+        "pipeline_gate": _gated,
         "pipeline_scorers": _through_layers("top_scorers_by_season", "goals", "fact_goals"),
     } | _training_data_queries()
 

@@ -428,13 +428,20 @@ HEADERS = {
                          "escanteios"),
 }
 
-#: Marts that the pipeline's steps make of files that hold all loads.
+#: Tables that the pipeline's steps make of files that hold all loads.
 THROUGH_LAYERS = {
     "pipeline_team_season": "team_season_summary",
     "pipeline_home_away": "team_home_away_summary",
     "pipeline_scorers": "top_scorers_by_season",
+    "pipeline_fact_matches": "fact_matches",
 }
 
+#: The cards that pass the gate of the card facts: of a known type, one per player and match.
+TOLD_APART = (
+    "SELECT * FROM cards_raw WHERE cartao <> 'azul' "
+    "QUALIFY count(*) OVER (PARTITION BY partida_ID, clube, atleta) = 1"
+)
+
 OTHER = {
     "silver_goals_hot": "SELECT * FROM silver_goals",
     "resolved_columns": """
@@ -501,5 +508,10 @@ def oracle_sql() -> dict[str, str]:
     selects = {name: f"SELECT * FROM {name}" for name in _TABLES}
     found = {name: _over_views(text) for name, text in {**selects, **SERVING, **QUALITY, **OTHER}.items()}
     layered = {name: found[mart].replace(LATEST, "TRUE") for name, mart in THROUGH_LAYERS.items()}
+    cards = found["team_discipline_summary"].replace("FROM cards_raw", f"FROM ({TOLD_APART})")
+    layered["pipeline_discipline"] = cards.replace(LATEST, "TRUE")
+    gate = found["dq_fact_cards"].replace(LATEST, "TRUE")
+    layered["pipeline_gate"] = f"""
+SELECT *, max(invalid_count) OVER () > 0 AS raised, max(invalid_count) OVER () = 0 AS published FROM ({gate})"""
     layered["pipeline_rebuilt"] = f"SELECT *, season = 1995 AS rewritten FROM ({layered['pipeline_team_season']})"
     return found | layered
