@@ -1,10 +1,14 @@
 """Occurrence numbers inside groups of equal events, safe when one group is huge.
 
 A plain ``row_number`` puts each group in one task. That is right for the near-unique groups expected here,
-but one bad value can gather a large part of all rows. So the rows are measured first: a count over a fixed
-number of hash buckets, combined map-side, tells which buckets hold too much. Rows outside them take the
-plain window. Rows inside take a route that never holds a group in one task: equal rows are counted, the
-counts are summed into ranges piece by piece, and the ranges are expanded after being spread again.
+but one bad value can gather a large part of all rows. So the rows are counted over a fixed number of hash buckets,
+combined map-side; buckets that hold too much for one task are *hot*. Rows outside them take the plain window. Rows
+inside take a route that never holds a group in one task: equal rows are counted, the counts are summed into ranges
+piece by piece, and the ranges are expanded after being spread again.
+
+Nothing runs when the plan is made: the hot buckets are a frame of the same plan, at most one row per ``ROWS_PER_TASK``
+rows and never more than ``BUCKETS``, so it is broadcast. Where it turns out empty, adaptive execution drops the route
+in pieces before it reads anything.
 
 Both routes number a group in the same order: the given columns, then the MD5 of the remaining columns, then
 those. A piece is a range of that MD5, so the number a row gets depends neither on the route nor on the number
@@ -13,7 +17,6 @@ of pieces, and a load that grows keeps its numbers.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -24,22 +27,14 @@ from pyspark.sql import functions as F
 # Ordinary groups fill a bucket to ROWS_PER_TASK only beyond 2e12 rows; then all rows take the route in pieces.
 BUCKETS = 1 << 20
 ROWS_PER_TASK = 2_000_000
-# Buckets named one by one; with more, all are treated alike.
-MOST_NAMED = 10_000
 
 
 @dataclass(frozen=True)
 class HotBuckets:
-    """Hash buckets with too many rows for one task, and the row count of the largest."""
+    """Hash buckets of some keys with too many rows for one task: a frame of ``_bucket`` and the ``_pieces`` to cut it in."""
 
     keys: tuple[str, ...]
-    buckets: tuple[int, ...] = ()
-    largest: int = 0
-
-    def contains(self) -> Column:
-        if len(self.buckets) > MOST_NAMED:
-            return F.lit(True)
-        return _bucket(self.keys).isin(*self.buckets)
+    buckets: DataFrame
 
 
 def _bucket(keys: Sequence[str]) -> Column:
@@ -51,18 +46,11 @@ def _digest(columns: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(columns)]))
 
 
-def measure_hot_buckets(
-    rows: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> HotBuckets:
-    """Count rows per hash bucket of the keys and name the buckets that are too much for one task.
-
-    There are at most ``BUCKETS`` counts whatever the size of the data, so bringing those above ``rows_per_task``
-    to the driver is bounded. Of a columnar source only the keys are read.
-    """
-    counts = rows.groupBy(_bucket(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    large = F.when(F.col("n") > rows_per_task, F.struct("bucket", "n"))
-    hot = {row["bucket"]: row["n"] for row in counts.agg(F.collect_list(large).alias("large")).first()["large"]}
-    return HotBuckets(tuple(keys), tuple(sorted(hot)), max(hot.values(), default=0))
+def measure_hot_buckets(rows: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> HotBuckets:
+    """Plan the count of rows per hash bucket of the keys. Of a columnar source only the keys are read."""
+    counts = rows.groupBy(_bucket(keys).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    pieces = F.greatest(F.lit(2), F.ceil(F.col("_n") / rows_per_task)).cast("bigint").alias("_pieces")
+    return HotBuckets(tuple(keys), counts.where(F.col("_n") > rows_per_task).select("_bucket", pieces))
 
 
 def number_occurrences(
@@ -73,25 +61,22 @@ def number_occurrences(
     hot: HotBuckets,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> list[DataFrame]:
-    """Number the rows of each key group, in one frame or two (plain rows, then hot rows).
+    """Number the rows of each key group, in two frames: plain rows, then hot rows.
 
-    ``hot`` must be measured on a subset of ``keys``. The plain frame is distributed by those columns, so a
+    ``hot`` must be found by a subset of ``keys``. The plain frame is distributed by those columns, so a
     following join on them needs no second shuffle; keep the frames apart until after that join.
     """
     if not set(hot.keys) <= set(keys):
         raise ValueError(f"hot buckets over {hot.keys} do not cover whole groups of {tuple(keys)}")
-    rest = [c for c in rows.columns if c not in keys and c not in order_by]
+    columns = rows.columns
+    rest = [c for c in columns if c not in keys and c not in order_by]
     window = Window.partitionBy(*keys).orderBy(*order_by, _digest(rest), *rest)
-
-    def plain(part: DataFrame) -> DataFrame:
-        return part.repartition(*hot.keys).withColumn(name, F.row_number().over(window))
-
-    if not hot.buckets:
-        return [plain(rows)]
-    pieces = max(2, math.ceil(hot.largest / rows_per_task))
+    placed = rows.withColumn("_bucket", _bucket(hot.keys))
+    plain = placed.join(F.broadcast(hot.buckets), "_bucket", "left_anti").select(*columns)
+    crowded = placed.join(F.broadcast(hot.buckets), "_bucket").select(*columns, "_pieces")
     return [
-        plain(rows.filter(~hot.contains())),
-        _number_in_pieces(rows.filter(hot.contains()), keys, order_by, name, pieces, rows_per_task),
+        plain.repartition(*hot.keys).withColumn(name, F.row_number().over(window)),
+        _number_in_pieces(crowded, keys, order_by, name, rows_per_task),
     ]
 
 
@@ -106,16 +91,16 @@ def _number_in_pieces(
     keys: Sequence[str],
     order_by: Sequence[str],
     name: str,
-    pieces: int,
     rows_per_task: int,
 ) -> DataFrame:
-    columns = rows.columns
+    """Number rows whose group is cut in ``_pieces``, the same for all rows of a group."""
+    columns = [c for c in rows.columns if c != "_pieces"]
     payload = [c for c in columns if c not in keys and c not in order_by]
     # Copies of a row are interchangeable: keep one with its count. The count combines map-side.
-    packed = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    packed = rows.groupBy(*columns, "_pieces").agg(F.count(F.lit(1)).alias("_copies"))
     # A piece is a range of the digest: pieces in order hold rows in order.
     leading = F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint")
-    packed = packed.withColumn("_digest", _digest(payload)).withColumn("_piece", F.shiftright(leading * pieces, 32))
+    packed = packed.withColumn("_digest", _digest(payload)).withColumn("_piece", F.shiftright(leading * F.col("_pieces"), 32))
 
     group, run, slot = list(keys), [*keys, *order_by], [*keys, *order_by, "_piece"]
 

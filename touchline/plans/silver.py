@@ -192,7 +192,7 @@ def silver_goals(
 
     The goals are distributed once, by match key: numbering and the join to matches share that shuffle.
     """
-    hot = measure_goals(raw) if hot is None else hot
+    hot = measure_goals(raw, rows_per_task) if hot is None else hot
     numbered = number_occurrences(
         _typed_goals(raw), GOAL_IDENTITY, ["source_file"], "occurrence", hot, rows_per_task
     )
