@@ -37,6 +37,37 @@ def test_exact_duplicates(spark, capacity):
     assert exact_duplicates(nothing(spark)).count() == 0
 
 
+def test_a_text_of_very_many_blocks_is_compared_in_groups(spark, monkeypatch):
+    """Every row is a block of its own here; one text is in 600 of them, others in few, one key holds two texts."""
+    sizes = []
+    compared = exact_dedup._compared
+
+    def watched(entries, id_type):
+        per_key = entries.groupBy("_hash").count().agg(F.max("count")).first()[0]
+        sizes.append(per_key)
+        return compared(entries, id_type)
+
+    monkeypatch.setattr(exact_dedup, "_compared", watched)
+    rows = spark.range(800).select(
+        F.when(F.col("id") % 9 != 0, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < 600, F.lit("again and again"))
+        .when(F.col("id") < 640, F.lit(None).cast("string"))
+        .when(F.col("id") < 700, F.lit(""))
+        .otherwise(F.concat(F.lit("text "), (F.col("id") % 70).cast("string")))
+        .alias("text"),
+    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        found = exact_duplicates(rows, most_entries=20).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plain = sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["text_sha256"]) for r in found)
+    assert plain == brute_exact(rows.collect())
+    assert sum(r["kept"] for r in found) == len({r["text_sha256"] for r in found})
+    # Groups of some 20 entries in the first round, one entry of each group of 600 / 20 in the second.
+    assert len(sizes) == 2 and sizes[0] <= 45 and sizes[1] <= 30
+
+
 def test_kept_rows_have_their_text(spark):
     docs = awkward(spark)
     kept = exact_duplicates(docs, carry=["lang"]).where("kept").collect()

@@ -8,6 +8,8 @@
    with a billion copies is shuffled once per block, not once per copy.
 3. Owners. The directory deals key ranges to owner tasks. An owner reads its entries in key order, chains the different
    texts of one key and compares bytes. It holds the texts of one key at a time, which are one but for collisions.
+   A key with more than ``MOST_ENTRIES`` entries, a text copied into very many blocks, is compared in two rounds: first
+   in groups of about that many entries, dealt by row; then the entry that stays of each group stands for its group.
 4. Classes. For each entry the owner writes the row that stays and the size of its class; rows find theirs by entry.
 
 Null counts as empty, so null and empty texts are equal. Of equal texts the row with the largest id stays; a null id is
@@ -37,6 +39,8 @@ MOST_OWNERS = 20_000
 FIRST_BITS, STEP_BITS = 12, 6
 #: The directory never has more than 2 ** MAX_BITS slots (some 16 bytes each). A bucket at this depth stays as it is.
 MAX_BITS = 20
+#: Entries of one key that one task compares; more are compared in groups of about so many first.
+MOST_ENTRIES = 4096
 #: Bytes an entry costs beside its text.
 _ROW_BYTES = 64
 
@@ -202,8 +206,39 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(kind)
 
 
+def _compared(entries: DataFrame, id_type: str) -> DataFrame:
+    """Classes of entries that are dealt and sorted by ``_hash``."""
+    dealt = entries.select("_hash", "_id", "_row", "_rows", "_text")
+    return dealt.mapInArrow(_compare, f"_entry long, _keep {id_type}, _keep_row long, _size long")
+
+
+def _compare_crowded(entries: DataFrame, id_type: str, most_entries: int) -> tuple[DataFrame, DataFrame | None]:
+    """Entries for the owners, and for those of crowded keys the entry that stands for each; None if no key is crowded.
+
+    The crowded keys are stored first, so that their size is known when they are joined: few are broadcast, and the texts
+    of the other entries stay where they are.
+    """
+    counts = entries.groupBy("_hash").agg(F.count("*").alias("_entries")).where(F.col("_entries") > most_entries)
+    crowded = staged(counts, "crowded")
+    if crowded.isEmpty():
+        return entries, None
+    groups = F.ceil(F.col("_entries") / most_entries)
+    group = F.pmod(F.xxhash64("_row"), groups)
+    dealt = entries.join(crowded, "_hash").withColumn("_hash", F.xxhash64("_hash", group))
+    first = staged(_compared(dealt.repartition("_hash").sortWithinPartitions("_hash"), id_type), "crowded-classes")
+    standing = first.where("_entry = _keep_row").select(F.col("_entry").alias("_row"), F.col("_size").alias("_rows"))
+    rest = entries.join(crowded, "_hash", "left_anti")
+    stand = entries.join(crowded, "_hash", "left_semi").drop("_rows").join(standing, "_row").select(entries.columns)
+    return rest.unionByName(stand), first.select("_entry", F.col("_keep_row").alias("_standing"))
+
+
 def exact_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[str] | None = None, capacity: int = CAPACITY
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    carry: list[str] | None = None,
+    capacity: int = CAPACITY,
+    most_entries: int = MOST_ENTRIES,
 ) -> DataFrame:
     """For each row: the key, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``; with ``carry``, the named columns
     and ``_text`` too, which is null for rows that can not stay."""
@@ -217,6 +252,8 @@ def exact_duplicates(
     spark = docs.sparkSession
     owners = directory.owners(loads, max(capacity, sum(loads) // MOST_OWNERS))
     entries = pages.where("_rows is not null").select("_hash", F.col(key).alias("_id"), "_row", "_rows", "_text")
+    id_type = dict(docs.dtypes)[key]
+    entries, standing = _compare_crowded(entries, id_type, most_entries)
     slots = spark.createDataFrame(
         list(enumerate(owners)), StructType([StructField("_slot", LongType()), StructField("_owner", IntegerType())])
     )
@@ -226,11 +263,13 @@ def exact_duplicates(
         .join(F.broadcast(slots), "_slot")  # at most 2 ** MAX_BITS slots
         .repartitionById(max(owners) + 1, "_owner")
         .sortWithinPartitions("_hash")
-        .select("_hash", "_id", "_row", "_rows", "_text")
     )
-    id_type = dict(docs.dtypes)[key]
-    classes = owned.mapInArrow(_compare, f"_entry long, _keep {id_type}, _keep_row long, _size long")
-    return pages.join(staged(classes, "classes"), "_entry").select(
+    classes = staged(_compared(owned, id_type), "classes")
+    if standing is not None:
+        of_standing = classes.withColumnRenamed("_entry", "_standing")
+        plain = classes.join(standing, "_entry", "left_anti")
+        classes = plain.unionByName(standing.join(of_standing, "_standing").select(classes.columns))
+    return pages.join(classes, "_entry").select(
         key,
         *carry,
         F.col("_keep").alias("keep_id"),
