@@ -13,7 +13,7 @@ from touchline.plans import layouts
 
 SIDES = ("home", "away")
 
-# Sums every team table has: output name to source column.
+# The sums every team table has, output name to source column.
 TEAM_SUMS = {
     "wins": "win_flag",
     "draws": "draw_flag",
