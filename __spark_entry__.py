@@ -22,6 +22,7 @@ from touchline.operators.quality import Check, QualityError, count_failures, sam
 from touchline.plans import gold, layouts, marts, pipeline, serving, silver, suites
 from touchline.session import DEFAULTS
 from touchline.sources.bronze import read_bronze
+from touchline.sources.check_counts import SeasonCounts
 from touchline.sources.landing import land_files, with_file_digest
 from touchline.sources.lake import Lake
 from touchline.sources.storage import join_path, path_exists, rename_children, staging_path
@@ -168,6 +169,15 @@ def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("check_name", "match_id")
 
 
+def _checked_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on the statistics from counts kept per season: those of a run that lacked a season, and that season's."""
+    statistics = Tables(spark, sf_dir).silver_match_statistics()
+    counts = SeasonCounts(spark, staging_path(spark, sf_dir, uuid.uuid4().hex, "counts"), gold.LINEAGE_COLUMNS)
+    other_seasons = statistics.where(F.col("season").isNull() | (F.col("season") != int(LEFT_OUT)))
+    counts(other_seasons, suites.silver_match_statistics())
+    return counts(statistics, suites.silver_match_statistics()).drop("position")
+
+
 SAMPLES = 5
 
 
@@ -422,6 +432,7 @@ def queries() -> dict[str, Query]:
         "dq_silver_goals": _checked_goals,
         "dq_silver_cards": _checked("silver_cards", suites.silver_cards),
         "dq_silver_match_statistics": _checked("silver_match_statistics", suites.silver_match_statistics),
+        "dq_by_season": _checked_by_season,
         "dq_fact_matches": _checked("fact_matches", suites.fact_matches),
         "dq_fact_goals": _checked("fact_goals", suites.fact_goals),
         "dq_fact_cards": _checked("fact_cards", suites.fact_cards),

@@ -66,7 +66,7 @@ def _row_counts(frame: DataFrame, checks: Sequence[Numbered]) -> DataFrame:
     return frame.agg(*[F.count_if(check.fails).alias(name) for name, check in checks])
 
 
-def _key_chains(checks: Sequence[Numbered]) -> list[list[tuple[str, ...]]]:
+def key_chains(checks: Sequence[Numbered]) -> list[list[tuple[str, ...]]]:
     """Distinct key sets, gathered into chains that each go from finer keys to a subset of them."""
     chains: list[list[tuple[str, ...]]] = []
     for keys in sorted({check.keys for _, check in checks}, key=len, reverse=True):
@@ -79,11 +79,10 @@ def _key_chains(checks: Sequence[Numbered]) -> list[list[tuple[str, ...]]]:
     return chains
 
 
-def _group_counts(
-    frame: DataFrame, chain: Sequence[tuple[str, ...]], checks: Sequence[Numbered]
+def chain_counts(
+    groups: DataFrame, chain: Sequence[tuple[str, ...]], checks: Sequence[Numbered]
 ) -> DataFrame:
-    """Failing groups per check. Coarser keys are counted from the finer groups, not from the rows."""
-    groups = frame.groupBy(*chain[0]).agg(F.count(F.lit(1)).alias("_n"))
+    """Failing groups per check, from the finest groups with their row count ``_n``. Coarser keys are counted from them."""
     done: list[str] = []
     for keys, coarser in zip(chain, [*chain[1:], None]):
         here = [(name, check) for name, check in checks if check.keys == keys]
@@ -96,7 +95,7 @@ def _group_counts(
     raise ValueError("no group keys")
 
 
-def _lines(counts: DataFrame, checks: Sequence[Numbered]) -> DataFrame:
+def report_lines(counts: DataFrame, checks: Sequence[Numbered]) -> DataFrame:
     """One row of counts to one row per check."""
     entries = [
         F.struct(
@@ -110,26 +109,28 @@ def _lines(counts: DataFrame, checks: Sequence[Numbered]) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-def _positioned_counts(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def positioned_counts(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Rows (position, check_name, severity, invalid_count), one per check in the order given, from 0."""
     numbered = [(f"c{i}", check) for i, check in enumerate(checks)]
     parts = []
     rows = [(name, check) for name, check in numbered if isinstance(check, RowCheck)]
     if rows:
-        parts.append(_lines(_row_counts(frame, rows), rows))
+        parts.append(report_lines(_row_counts(frame, rows), rows))
     grouped = [(name, check) for name, check in numbered if isinstance(check, GroupCheck)]
-    for chain in _key_chains(grouped):
+    for chain in key_chains(grouped):
         members = [(name, check) for name, check in grouped if check.keys in chain]
-        parts.append(_lines(_group_counts(frame, chain, members), members))
+        groups = frame.groupBy(*chain[0]).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(report_lines(chain_counts(groups, chain, members), members))
     for name, check in numbered:
         if isinstance(check, FrameCheck):
             counted = check.violations.agg(F.count(F.lit(1)).alias(name))
-            parts.append(_lines(counted, [(name, check)]))
+            parts.append(report_lines(counted, [(name, check)]))
     return reduce(DataFrame.unionByName, parts)
 
 
 def count_failures(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Rows (check_name, severity, invalid_count), one per check."""
-    return _positioned_counts(frame, checks).drop("position")
+    return positioned_counts(frame, checks).drop("position")
 
 
 def violations(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -240,10 +241,17 @@ class Suite:
     sample_limit: int = 0
 
 
-def build_reports(frame: DataFrame, suites: Sequence[Suite]) -> list[Report]:
-    """Run several suites over one table together: one scan for all their row checks, one per chain of keys."""
+def build_reports(
+    frame: DataFrame,
+    suites: Sequence[Suite],
+    counting: Callable[[DataFrame, Sequence[Check]], DataFrame] = positioned_counts,
+) -> list[Report]:
+    """Run several suites over one table together: one scan for all their row checks, one per chain of keys.
+
+    Another ``counting`` may know counts of earlier runs; its rows are those of ``positioned_counts``.
+    """
     checks: list[Check] = [RowCheck("rows", F.lit(True)), *[check for suite in suites for check in suite.checks]]
-    counted = {row["position"]: row["invalid_count"] for row in _positioned_counts(frame, checks).collect()}
+    counted = {row["position"]: row["invalid_count"] for row in counting(frame, checks).collect()}
     reports, position = [], 1
     for suite in suites:
         placed = dict(enumerate(suite.checks, position))

@@ -18,6 +18,7 @@ class Lake:
     gold: str = "gold"
     marts: str = "gold/marts"
     quality: str = "quality"
+    check_counts: str = "check_counts"
 
     def raw_root(self) -> str:
         return join_path(self.root, self.raw)
@@ -48,3 +49,6 @@ class Lake:
 
     def quarantine(self, dataset: str) -> str:
         return join_path(self.root, self.quality, dataset)
+
+    def counts_of_checks(self, dataset: str) -> str:
+        return join_path(self.root, self.check_counts, dataset)

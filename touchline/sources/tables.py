@@ -65,8 +65,8 @@ def in_seasons(seasons: Sequence[int | None]) -> Column:
     return (known | F.col(PARTITION).isNull()) if None in seasons else F.coalesce(known, F.lit(False))
 
 
-def season_digests(table: DataFrame, ignore: Collection[str] = ()) -> DataFrame:
-    """Per season the number of rows and two digests of them that do not depend on their order.
+def season_digests(table: DataFrame, ignore: Collection[str] = (), also: Sequence[Column] = ()) -> DataFrame:
+    """Per season the number of rows and two digests of them that do not depend on their order, and other aggregates.
 
     Hashes are summed as exact decimals and combined bit by bit, map-side; one row a season is shuffled.
     """
@@ -78,6 +78,7 @@ def season_digests(table: DataFrame, ignore: Collection[str] = ()) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum(hashed.cast("decimal(20,0)")).alias("total"),
         F.bit_xor(F.xxhash64(F.lit(1), *values)).alias("mixed"),
+        *also,
     )
 
 
@@ -103,7 +104,12 @@ def write_seasons(
     """Replace some seasons of a table by the frame's rows of them and drop others; the rest is not touched."""
     if changed:
         write_table(frame.filter(in_seasons(changed)), path, dynamic=True)
-    for season in gone:
+    delete_seasons(spark, path, gone)
+
+
+def delete_seasons(spark: SparkSession, path: str, seasons: Collection[int | None]) -> None:
+    """Drop some seasons of a table."""
+    for season in seasons:
         delete_path(spark, join_path(path, f"{PARTITION}={_NULL_PARTITION if season is None else season}"))
 
 

@@ -514,4 +514,5 @@ def oracle_sql() -> dict[str, str]:
     layered["pipeline_gate"] = f"""
 SELECT *, max(invalid_count) OVER () > 0 AS raised, max(invalid_count) OVER () = 0 AS published FROM ({gate})"""
     layered["pipeline_rebuilt"] = f"SELECT *, season = 1995 AS rewritten FROM ({layered['pipeline_team_season']})"
+    layered["dq_by_season"] = found["dq_silver_match_statistics"]
     return found | layered
