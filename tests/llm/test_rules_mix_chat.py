@@ -138,6 +138,7 @@ def test_prefix_does_not_depend_on_ranges(spark, monkeypatch):
     docs = source_mix.with_domain(spark.read.parquet(f"{SF}/documents.parquet"))
     one = sorted(map(tuple, source_mix.mix(docs, source_mix.LEVELS).collect()))
     monkeypatch.setattr(source_mix, "RANGE_ROWS", 2)
+    monkeypatch.setattr(source_mix, "BLOCK_RANGES", 3)
     assert sorted(map(tuple, source_mix.mix(docs, source_mix.LEVELS).collect())) == one
 
 

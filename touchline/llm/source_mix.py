@@ -8,9 +8,11 @@ the parent's own supply was counted before. Within a level this is water filling
 order of supply per weight.
 
 A leaf that gets more than its tokens is repeated: whole epochs first, then a prefix of the next one. An epoch is the
-leaf's documents in the order of a hash of seed, epoch and id. The prefix is found in two steps: tokens are summed by
-ranges of the hash, so that a range holds about ``RANGE_ROWS`` documents, and only the range where the budget ends is
-summed document by document. So no task holds a leaf, also where one has a third of all rows.
+leaf's documents in the order of a hash of seed, epoch and id. The prefix is found in three steps: tokens are summed by
+ranges of the hash, so that a range holds about ``RANGE_ROWS`` documents; ranges are summed by blocks of
+``BLOCK_RANGES`` neighbours; and only the range where the budget ends is summed document by document. So no task holds a
+leaf or all ranges of one, also where one has a third of all rows: with seventy billion documents in a leaf, a running
+sum is over some 4,096 blocks, 4,096 ranges or 4,096 documents.
 
 All amounts are whole numbers. Divisions round down, so at most one token for each child is left over. All is done in
 columns: no Python in tasks; nothing but the number of rows and tokens comes to the driver.
@@ -33,6 +35,8 @@ SEED = 42
 MAX_EPOCHS = 2
 #: Documents that one range of the hash holds, about.
 RANGE_ROWS = 4096
+#: Ranges that are summed together before the running sum over a leaf.
+BLOCK_RANGES = 4096
 #: Hexadecimal digits of the hash that ranges are made of.
 _DIGITS = 8
 _SPACE = 16**_DIGITS
@@ -115,6 +119,12 @@ def _water_filled(nodes: DataFrame, parents: list[str], path: list[str]) -> Data
     return spread.select(*path, given.cast("long").alias("_given"))
 
 
+def _sum_before(value: str, part: list[str], order: str) -> Column:
+    """The sum of a column over the rows before this one in its part."""
+    before = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(before), F.lit(0).cast("long"))
+
+
 def mix(
     docs: DataFrame,
     levels: Mapping[str, Mapping[str, int]],
@@ -163,9 +173,13 @@ def mix(
         (F.conv(F.substring("_order", 1, _DIGITS), 16, 10).cast("long") * F.col("_ranges") / _SPACE).cast("long"),
     )
     ordered = staged(ordered, "mix-ordered")
-    leaf = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sums = ordered.groupBy(*names, "_range").agg(F.sum("n_tokens").alias("_in_range"), F.first("_rest").alias("_rest"))
-    sums = sums.withColumn("_before", F.coalesce(F.sum("_in_range").over(leaf), F.lit(0).cast("long")))
+    sums = staged(sums.withColumn("_block", F.floor(F.col("_range") / BLOCK_RANGES)), "mix-sums")
+    blocks = sums.groupBy(*names, "_block").agg(F.sum("_in_range").alias("_in_block"))
+    blocks = blocks.select(*names, "_block", _sum_before("_in_block", names, "_block").alias("_before_block"))
+    sums = _join_same(sums, blocks, [*names, "_block"])
+    in_block = _sum_before("_in_range", [*names, "_block"], "_range")
+    sums = sums.withColumn("_before", F.col("_before_block") + in_block)
     # Whether a range is in the prefix: all of it, none of it, or up to what is left at its beginning.
     sums = sums.select(
         *names,
