@@ -5,7 +5,8 @@ together (``merges.replay``); then each document is put together from its pre-to
 bounded memory per Python worker. All state is per worker and can be rebuilt, so a lost executor costs only its tasks.
 
 Null texts count as empty. Empty texts have no tokens. Texts of any length are encoded whole; a pre-token of a
-million letters costs n log n, not n squared. Equal rows give equal results; extra columns are carried or ignored.
+million letters costs n log n, not n squared. Equal rows give equal results; extra columns, whatever their names,
+are carried or ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations

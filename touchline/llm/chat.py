@@ -15,7 +15,7 @@ prefixes, as are all that follow, so the spans are those of an undeclared templa
 One conversation's digest is a chain over its turns and is computed in one task.
 
 Null roles and texts count as empty. A null conversation id is one conversation. Repeated rows are turns of their own.
-Extra columns are ignored.
+Extra columns, whatever their names, are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations

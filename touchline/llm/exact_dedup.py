@@ -14,7 +14,8 @@
 
 Null counts as empty, so null and empty texts are equal. Of equal texts the row with the largest id stays; a null id is
 the smallest; of rows with equal ids one stays, no matter which, and the others are dropped. An empty table gives an
-empty result. Columns beside key and text are carried on request.
+empty result. Columns beside key and text, whatever their names, are left out; some can be carried, but none that is
+named like a result.
 """
 
 from __future__ import annotations

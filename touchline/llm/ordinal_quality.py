@@ -11,7 +11,8 @@ The rated sample is bounded: ``SAMPLE_ROWS`` different texts, those with the sma
 2 ** HASH_BITS weights and is all that is broadcast.
 
 Null and empty texts have one feature of their own. Rows without a rating are not learned from. With no ratings all
-weights are zero. Extra columns are ignored; repeated rows get equal results.
+weights are zero. Extra columns, whatever their names, are ignored; repeated rows get equal results. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ group of a second pass. So no task holds a bucket and no link is lost.
 
 Null and empty texts, and texts without words, have fingerprint zero. Texts with fewer words than a shingle hash their
 whole word sequence. Rows that repeat are rows of one component. Null keys come last: a component's id is null only if
-all its keys are.
+all its keys are. Extra columns, whatever their names, are left out unless they are kept. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ A word that is such an entry counts one. All other words are merged, each distin
 bounded memory per Python worker.
 
 Null texts count as empty; empty texts have no tokens. Control strings inside texts are ordinary characters. Texts of
-any length are counted whole.
+any length are counted whole. Repeated rows get equal counts; extra columns, whatever their names, are ignored. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ The model is at most ``FEATURES`` weights and is all that is broadcast; scoring
 
 Null and empty texts get the score of a text without any known n-gram. Rows without a label are not learned from. If
 the sample has only one class, or is empty, all texts get that class's share of it (0.5 for none, smoothed). Repeated
-rows get equal scores; other columns, whatever their names, pass through or are left out as asked for.
+rows get equal scores; other columns, whatever their names, pass through or are left out as asked for. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
