@@ -1,6 +1,10 @@
 """A pipeline over ``documents``: each stage's result is written as Parquet and reread as the next one's input.
 
 All stages but the last return the columns of ``documents``. A stage works on every row its predecessor kept.
+
+Null texts count as empty in every decision and stay null. Ids may be null or repeat. Extra columns travel in one column
+beside the text, so that their names clash with none. An empty table passes all stages as one. Of equal texts the row
+with the largest id goes on, of near copies that with the smallest; of rows with equal ids and texts it is open which.
 """
 
 from __future__ import annotations
