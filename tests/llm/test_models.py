@@ -356,3 +356,78 @@ def test_secrets_with_clashing_columns(spark):
     found = secret_scan.scan(docs)
     assert found.count() == docs.count() and found.columns == [
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_added"]
+
+
+def capitals(random):
+    return "".join(random.choice(list("BCDFGHJKLMNPQRSTVWXZ"), random.integers(10, 15)))
+
+
+def test_secrets_are_learned_from_all_texts(spark, monkeypatch):
+    """What no sampled text holds is learned as well: words in capitals that look like keys, in four of five texts."""
+    random = np.random.default_rng(12)
+    word = lambda: "".join(random.choice(np.array(["th", "er", "on", "an", "re", "he"]), 5))
+    rows = [
+        (n, f"the {word()} token = \"{random.bytes(12).hex()}\" {word()} {capitals(random) if n % 5 else word()} {n}")
+        for n in range(3000)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = secret_scan.sampled_texts
+    monkeypatch.setattr(secret_scan, "sampled_texts", lambda docs, text, *size: whole(docs.where(~F.col(text).rlike("[A-Z]{8}")), text, *size))
+    sample = secret_scan.learn(*secret_scan._sampled(secret_scan.sampled_texts(docs, "text"), secret_scan._of_texts, secret_scan.SAMPLE))
+    other = [(n, f"the {word()} and {capitals(random)} {word()} {n}") for n in range(200)]
+    keys = [(n, f"the {word()} and {random.bytes(14).hex()} {word()} {n}") for n in range(200)]
+    some = [spark.createDataFrame(part, "doc_id long, text string") for part in (other, keys)]
+    model = secret_scan.fit(docs)
+    found = [[secret_scan.scan(part, model=one).toPandas()["n_added"].mean() for part in some] for one in (sample, model)]
+    assert found[0][0] > 0.3 and found[1][0] < 0.1 and found[1][1] > 0.9, found
+
+
+def test_rare_candidates_are_learned_from(spark):
+    """Of 200,000 texts 60 hold a candidate; a sample of 20,000 texts holds fewer than are needed."""
+    docs = spark.range(200_000).selectExpr(
+        "id AS doc_id", "concat('it ', id, if(id % 3334 = 0, ' something', ''), if(id % 6668 = 0, ' token=abcdefgh12', '')) AS text"
+    )
+    assert len(secret_scan._sampled(secret_scan.sampled_texts(docs, "text"), secret_scan._of_texts, 10)[1]) < 10
+    model = secret_scan.fit(docs)
+    assert model is not None
+    key = spark.createDataFrame([(-1, "it is a8f5f167f44f4964e6c998dee827")], "doc_id long, text string")
+    assert secret_scan.scan(key, model=model).collect()[0]["n_added"] == 1
+
+
+def test_all_findings_are_collected_and_counted(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    random = np.random.default_rng(4)
+    size = secret_scan._REACH * (secret_scan._EMBEDDING + 1)
+    network = secret_scan.Network(
+        random.normal(0, 0.5, (secret_scan._CLASSES, secret_scan._EMBEDDING)),
+        random.normal(0, 0.3, (size, secret_scan._FILTERS)),
+        random.normal(0, 0.1, secret_scan._FILTERS),
+        np.append(random.normal(0, 0.3, 2 * secret_scan._FILTERS), -3.5),
+    )
+    expected, counts = {}, {0: 0, 3: 0}
+    least = np.log(secret_scan._COLLECTED / (1 - secret_scan._COLLECTED))
+    for row in docs.collect():
+        text = row["text"] or ""
+        held = zlib.crc32(text.encode()) % 5 == 0
+        for start, end, secret in secret_scan.candidates_of(text)[1]:
+            if secret is None:
+                continue
+            cut = list(secret_scan._cut(text, start, end, secret))
+            if held:
+                counts[0 if secret else 3] += 1
+            elif secret or network.forward(*secret_scan.windows(cut))[0].max() > least:
+                expected |= {window: expected.get(window, False) or secret for window in cut}
+    first = [(b"12345678", "a ", "something", " b", False)]
+    before = spark.createDataFrame(first, "mark binary, before string, inside string, after string, secret boolean")
+    found = secret_scan._hard(secret_scan._learners(docs, "text", False), network, before).collect()
+    expected[("a ", "something", " b")] = False
+    assert {(row["before"], row["inside"], row["after"]): row["secret"] for row in found} == expected
+    assert len(found) == len(expected) > 100 and counts[3] > 100
+
+    decided = {}
+    monkeypatch.setattr(secret_scan, "SAMPLE", 10**9)
+    monkeypatch.setattr(secret_scan, "OTHERS", 10**9)
+    monkeypatch.setattr(secret_scan, "_decide", lambda network, logit, group, weight, *rest: decided.update(group=group, weight=weight))
+    other = [("a ", "something", " b")]
+    secret_scan._settle(network, secret_scan._learners(docs, "text", True), other, [("", "Q9zT7abc", "")], other, 0.97)
+    assert {kind: decided["weight"][decided["group"] == kind].sum() for kind in counts} == counts
