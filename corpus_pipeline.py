@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import bpe, source_mix, toxicity
-from touchline.llm.common import drop_staged, staged, table
+from touchline.llm.common import drop_staged, small_batches, staged, table
 from touchline.llm.exact_dedup import exact_duplicates
 from touchline.llm.queries import PATTERN, RANKS
 from touchline.llm.simhash import near_duplicates
@@ -34,6 +34,7 @@ def _unpacked(packed: DataFrame, docs: DataFrame, text: str = "text") -> DataFra
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not predict to be toxic. Labels held out for testing teach nothing."""
+    small_batches(spark)
     labels = table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(~F.coalesce(toxicity.held_out(), F.lit(True))))
     return _unpacked(toxicity.score(_packed(docs), model, keep=["_doc", "text"]).where("score < 0.5"), docs)
@@ -62,6 +63,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every row of the mixture, and what they decode to, as digests."""
+    small_batches(spark)
     return bpe.token_digests(docs, RANKS, PATTERN)
 
 

@@ -9,7 +9,7 @@ from test_dedup import plain_components, plain_fingerprint
 
 import corpus_pipeline
 from touchline.llm import source_mix, toxicity
-from touchline.llm.common import table
+from touchline.llm.common import BLOCK_BYTES, table
 from touchline.llm.queries import RANKS
 
 SF = "/root/testdata/sf0.001"
@@ -46,3 +46,16 @@ def test_stages_on_awkward_rows(spark, monkeypatch):
             assert result.dtypes == docs.dtypes
             assert result.count() <= 2 * docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_stages_read_after_they_return_get_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: labels(spark, [(7, 1, 1, 0.0), (9, 1, 0, 0.0)]))
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for stage in (corpus_pipeline.reject_toxic, corpus_pipeline.encode_tokens):
+            spark.conf.set(setting, str(64 << 20))
+            stage(spark, awkward(spark), SF)
+            assert spark.conf.get(setting) == str(BLOCK_BYTES)
+    finally:
+        spark.conf.set(setting, before)

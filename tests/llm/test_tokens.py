@@ -1,9 +1,11 @@
 """Encoding and counting against the libraries, on awkward and on generated texts."""
 
 import base64
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -99,3 +101,37 @@ def test_known_words_are_forgotten_in_time(pieces, monkeypatch):
     for text in [value or "" for value in TEXTS] * 2:
         [found] = words.look_up([words.pattern.findall(text)])
         assert b"".join(entry[1] for entry in found).decode() == text
+
+
+def test_block_holds_no_pre_tokens_as_texts(spark, monkeypatch):
+    taken = {}
+    monkeypatch.setattr(bpe, "map_blocks", lambda docs, text, schema, process: taken.update(process=process))
+    bpe.token_digests(awkward(spark), RANKS, PATTERN)
+    bpe.vocabulary(RANKS, PATTERN)
+    texts = ["one two three " * 1000] * 100  # 400,000 pre-tokens of 50 bytes or more each
+    block = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    tracemalloc.start()
+    try:
+        counts = taken["process"](block)["n_tokens"]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(set(counts)) == 1
+    assert peak < 16 << 20
+
+
+def test_pre_tokens_are_merged_in_runs(encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "MERGED_BYTES", 8)
+    words = bpe.ByteBPE.from_file(RANKS, PATTERN)
+    texts = [value or "" for value in TEXTS]
+    expected = [encoding.encode_ordinary(value) for value in texts]
+    assert words.encode(texts) == expected
+    found = words.look_up(words.pattern.findall(value) for value in texts)
+    assert [",".join(entry[0] for entry in entries) for entries in found] == [",".join(map(str, ids)) for ids in expected]
+
+
+def test_failed_block_leaves_no_unfilled_entries():
+    words = bpe.ByteBPE.from_file(RANKS, PATTERN)
+    with pytest.raises(UnicodeEncodeError):
+        words.look_up([["ab", "\ud800"]])
+    assert words.look_up([["ab"]])[0][0][1] == b"ab"

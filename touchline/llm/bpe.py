@@ -1,8 +1,10 @@
 """Byte-level BPE: encode texts to token ids and decode ids to bytes, by replaying merges over a block's vocabulary.
 
 A block of documents is split into pre-tokens. Those not seen before and not whole vocabulary entries are merged
-together (``merges.replay``); then each document is put together from its pre-tokens. Known pre-tokens are kept in a
-bounded memory per Python worker. All state is per worker and can be rebuilt, so a lost executor costs only its tasks.
+together (``merges.replay``), some ``MERGED_BYTES`` at once; then each document is put together from its pre-tokens.
+Known pre-tokens are kept in a bounded memory per Python worker; a document is a list of references to them, so a block
+never holds its pre-tokens as texts of their own. All state is per worker and can be rebuilt, so a lost executor costs
+only its tasks.
 
 Null texts count as empty. Empty texts have no tokens. Texts of any length are encoded whole; a pre-token of a
 million letters costs n log n, not n squared. Equal rows give equal results; extra columns, whatever their names,
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -28,6 +31,24 @@ from touchline.llm.merges import PairTable, replay
 REMEMBERED = 200_000
 #: Longer pre-tokens are not remembered.
 LONGEST_REMEMBERED = 256
+#: Bytes of pre-tokens merged together, at least one pre-token; some 100 times as many are held meanwhile.
+MERGED_BYTES = 1 << 19
+
+
+class Known(dict):
+    """Entries by pre-token: its ids as decimal text, and the bytes its ids decode to.
+
+    A pre-token that is looked up for the first time gets an entry to be filled, and is named in ``fresh``.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> list:
+        entry = self[piece] = [None, None]
+        self.fresh.append(piece)
+        return entry
 
 
 class ByteBPE:
@@ -42,7 +63,7 @@ class ByteBPE:
         self.pattern = regex.compile(pattern)
         self.table = PairTable(self.tokens, list(range(size)))
         self.byte_ids = np.array([ranks[bytes([byte])] for byte in range(256)], np.int32)
-        self.known: dict[str, tuple[str, bytes]] = {}
+        self.known = Known()
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> ByteBPE:
@@ -67,36 +88,37 @@ class ByteBPE:
         tokens = self.tokens
         return b"".join([tokens[number] for number in ids])
 
-    def look_up(self, split: list[list[str]]) -> list[list[tuple[str, bytes]]]:
-        """For each pre-token of each text: its ids as decimal text, and the bytes its ids decode to."""
+    def merge_runs(self, pieces: list[str]) -> Iterator[tuple[str, list[int]]]:
+        """Each piece with its ids, merged in runs of about ``MERGED_BYTES``."""
+        run, size = [], 0
+        for number, piece in enumerate(pieces, 1):
+            run.append(piece.encode())
+            size += len(run[-1])
+            if size >= MERGED_BYTES or number == len(pieces):
+                yield from zip(pieces[number - len(run) : number], self.merge(run), strict=True)
+                run, size = [], 0
+
+    def look_up(self, split: Iterable[list[str]]) -> list[list[list]]:
+        """For each pre-token of each text its entry: its ids as decimal text, and the bytes its ids decode to."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known = Known()
         known = self.known
-        found = [list(map(known.get, pieces)) for pieces in split]
-        fresh = list(
-            dict.fromkeys(
-                piece
-                for pieces, entries in zip(split, found, strict=True)
-                if None in entries
-                for piece, entry in zip(pieces, entries, strict=True)
-                if entry is None
-            )
-        )
-        once = {}
-        for piece, ids in zip(fresh, self.merge([piece.encode() for piece in fresh]), strict=True):
-            kept = known if len(piece) <= LONGEST_REMEMBERED else once
-            kept[piece] = (",".join(map(str, ids)), self.decode(ids))
-        return [
-            [entry or known.get(piece) or once[piece] for piece, entry in zip(pieces, entries, strict=True)]
-            if None in entries
-            else entries
-            for pieces, entries in zip(split, found, strict=True)
-        ]
+        try:
+            found = [list(map(known.__getitem__, pieces)) for pieces in split]
+            for piece, ids in self.merge_runs(known.fresh):
+                known[piece][:] = ",".join(map(str, ids)), self.decode(ids)
+                if len(piece) > LONGEST_REMEMBERED:
+                    del known[piece]
+            known.fresh = []
+        except BaseException:
+            self.known = Known()  # some entries are not filled
+            raise
+        return found
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [self.pattern.findall(text) for text in texts]
         distinct = list(dict.fromkeys(piece for pieces in split for piece in pieces))
-        ids = dict(zip(distinct, self.merge([piece.encode() for piece in distinct]), strict=True))
+        ids = dict(self.merge_runs(distinct))
         return [[number for piece in pieces for number in ids[piece]] for pieces in split]
 
 
@@ -131,7 +153,7 @@ def token_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
 
     def process(block: pa.RecordBatch) -> dict[str, list]:
         words = vocabulary(path, pattern)
-        split = [words.pattern.findall(value) for value in texts_of(block, text)]
+        split = (words.pattern.findall(value) for value in texts_of(block, text))
         counts, ids_digests, decoded_digests = [], [], []
         for found in words.look_up(split):
             ids = ",".join([entry[0] for entry in found]).encode()
