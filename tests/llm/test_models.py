@@ -431,3 +431,61 @@ def test_all_findings_are_collected_and_counted(spark, monkeypatch):
     other = [("a ", "something", " b")]
     secret_scan._settle(network, secret_scan._learners(docs, "text", True), other, [("", "Q9zT7abc", "")], other, 0.97)
     assert {kind: decided["weight"][decided["group"] == kind].sum() for kind in counts} == counts
+
+
+def test_findings_of_many_texts_equal_the_plain_ones():
+    import re
+
+    random = np.random.default_rng(8)
+    some = ["password", "passwd", "Secret", "TOKEN", "api_key", "apikey", "t", "oken", '"', "'", " ", ":", "=", "\t", "\0", "\n",
+            "AKIA", "AKIAABCDEFGH12345", "0123456789abcdef", "f", "g", "é", "İ", "K", "ſ", "ß", "\U0001f389", "日", "x/y", "abc.",
+            "Z" * 20, "-", "_", "+", "?", "\x7f"]
+    texts = [*SECRETS[:-1], *("".join(random.choice(some, random.integers(0, 30))) for _ in range(4000))]
+    found = secret_scan.candidates_of_all(texts, labelled=False)
+    partly = 0
+    for text, (spans, own) in zip(texts, found, strict=True):
+        assert [(secret_scan.KINDS[kind], start, end) for kind, start, end in spans] == plain_spans(text)
+        covered = {at for _, start, end in spans for at in range(start, end)}
+        runs = [match.span() for match in re.finditer("[A-Za-z0-9+/_=.-]{8,}", text)]
+        open_ = [run for run in runs if not covered.issuperset(range(*run))]
+        assert [(start, end) for start, end, secret in own if not secret] == open_
+        partly += sum(secret is None for *_, secret in own)
+    assert partly > 100 and secret_scan.candidates_of_all([]) == []
+
+
+def test_long_runs_that_are_no_words_take_little_time():
+    import time
+
+    begun = time.process_time()
+    assert secret_scan.secret_like("a" * 40 + "999") and not secret_scan.secret_like("getUserName" * 200)
+    assert time.process_time() - begun < 1
+
+
+def test_flat_windows_are_not_read_twice(monkeypatch):
+    """Only windows that the loss is not flat at take part in the slow steps; the sums are those of all."""
+    random = np.random.default_rng(11)
+    size = secret_scan._REACH * (secret_scan._EMBEDDING + 1)
+    network = secret_scan.Network(
+        random.normal(0, 0.5, (secret_scan._CLASSES, secret_scan._EMBEDDING)),
+        random.normal(0, 0.3, (size, secret_scan._FILTERS)),
+        random.normal(0, 0.1, secret_scan._FILTERS),
+        random.normal(0, 1, 2 * secret_scan._FILTERS + 1),
+    )
+    draw = lambda most: "".join(random.choice(list("abcXYZ019 -=é"), random.integers(0, most + 1)))
+    ids, inside = secret_scan.windows([(draw(24), draw(48), draw(16)) for _ in range(300)])
+    network.output[-1] -= np.median(network.forward(ids, inside)[0]) + 4  # about half of them are flat
+    logit = network.forward(ids, inside)[0]
+    assert np.allclose(network.quick_logits(ids, inside), logit, atol=1e-4)
+    error = 1 / (1 + np.exp(-logit))  # of windows that are no secrets
+    own = np.flatnonzero(error > 0.02)
+    # Each window's gradient by itself, scaled to what its loss has beyond the flat part.
+    expected = [np.zeros_like(part) for part in network.state]
+    for at in own.tolist():
+        for whole, part in zip(expected, network.gradients(ids[at : at + 1], inside[at : at + 1], np.zeros(1)), strict=True):
+            whole += part * (error[at] - 0.02) / error[at] / len(ids)
+    read, plain = [], secret_scan.Network.forward
+    monkeypatch.setattr(secret_scan.Network, "forward", lambda self, some, *rest: read.append(len(some)) or plain(self, some, *rest))
+    found = network.gradients(ids, inside, np.zeros(len(ids)), 0.02)
+    assert all(np.allclose(one, other, atol=1e-6) for one, other in zip(found, expected, strict=True))
+    assert 20 < len(own) < 280 and len(own) <= sum(read) <= len(own) + 3
+    assert not any(part.any() for part in network.gradients(ids[error < 0.01], inside[error < 0.01], np.zeros((error < 0.01).sum()), 0.02))
