@@ -1,5 +1,6 @@
 """Trained operators: held-out accuracy, gradients, and defined results where there is nothing to learn."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -75,6 +76,18 @@ def plain_score(model, text):
     return best
 
 
+def test_toxicity_holds_little_beside_its_results():
+    texts = ["ab c " * 200] * 600
+    tracemalloc.start()
+    try:
+        rows, _, _ = toxicity.densities(texts, None)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(np.unique(rows)) == len(texts)
+    assert peak < 40 << 20
+
+
 def test_a_toxic_passage_is_found_in_any_length(spark):
     """And scores equal a plain version, clean documents are left alone, long ones too."""
     folder = SF.replace("0.01", "0.1")

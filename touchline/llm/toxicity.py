@@ -45,7 +45,7 @@ LEAST_TEXTS = 3
 PENALTY = 1e-3
 _STEPS = 400
 #: Characters hashed at once; some 150 times as many bytes are held meanwhile.
-_BLOCK = 1 << 19
+_BLOCK = 1 << 17
 
 
 @dataclass
