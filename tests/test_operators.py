@@ -136,6 +136,36 @@ def test_numbering_runs_nothing_before_the_action_and_no_pieces_without_need(spa
     assert ("Union" in final) == crowded
 
 
+@pytest.mark.parametrize("huge", [0, 40])
+def test_only_groups_too_large_for_a_task_are_cut(spark, tmp_path, huge):
+    """A hot bucket of small groups is shuffled once; before, every row of it was packed, spread and expanded."""
+    rows = [(1, f"t{i % 30}", f"f{i % 2}", f"p{i % 4}") for i in range(90)] + [(None, None, None, f"q{i}") for i in range(9)]
+    rows += [(None, f"u{i}", "f1", None) for i in range(20)] + [(1, "t0", "f1", "same")] * huge
+    spark.createDataFrame(rows, "k int, t string, f string, p string").write.parquet(str(tmp_path / "rows"))
+    frame = spark.read.parquet(str(tmp_path / "rows"))
+    hot = measure_hot_buckets(frame, ["k"], rows_per_task=10)
+    plain, crowded = number_occurrences(frame, KEYS, ORDER, "n", hot, rows_per_task=10)
+    assert plain.isEmpty()
+    check_numbers(rows, [tuple(row) for row in crowded.collect()])
+    final = crowded._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert ("Generate explode" in final) == bool(huge) and "hashpartitioning(k#" in final
+    whole = occurrences(spark, rows, 1000)[2]
+    assert sorted(map(str, whole)) == sorted(str(tuple(row)) for row in crowded.collect())
+
+
+def test_derived_keys_are_not_shuffled(spark):
+    frame = spark.createDataFrame([(1, "a ", "f", "p"), (1, "a", "f", "q"), (1, "b", "f", "q")], "k int, t_raw string, f string, p string")
+    for limit in (1000, 1, 2):
+        hot = measure_hot_buckets(frame, ["k"], rows_per_task=limit)
+        parts = number_occurrences(
+            frame, KEYS, ORDER, "n", hot, limit, derive=lambda rows: rows.withColumn("t", F.trim("t_raw"))
+        )
+        found = [row for part in parts for row in part.collect()]
+        assert sorted((row["t"], row["n"]) for row in found) == [("a", 1), ("a", 2), ("b", 1)]
+    plan = parts[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "trim(t_raw" not in plan.split("RepartitionByExpression")[1]
+
+
 @pytest.mark.parametrize("limit", [4, 25])
 def test_both_routes_give_every_row_the_same_number(spark, limit):
     whole, cut = occurrences(spark, SKEWED, 1000)[2], occurrences(spark, SKEWED, limit)[2]

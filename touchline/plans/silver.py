@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -121,19 +122,22 @@ STATISTICS_MATCH_COLUMNS = (*EVENT_MATCH_COLUMNS, "home_score", "away_score")
 GOAL_IDENTITY = ("match_id", "team", "player", "minute", "goal_type")
 
 
-def silver_matches(raw: DataFrame) -> DataFrame:
-    """One row per match. Projections only, no shuffle."""
+# Distributes the rows of a table, once they have their season, before columns are derived that need not travel.
+Arrange = Callable[[DataFrame], DataFrame]
+
+
+def as_they_come(rows: DataFrame) -> DataFrame:
+    return rows
+
+
+def silver_matches(raw: DataFrame, arrange: Arrange = as_they_come) -> DataFrame:
+    """One row per match. Projections only, no shuffle but what ``arrange`` does."""
     typed = project(raw, layouts.MATCHES)
     home, away = F.col("home_score"), F.col("away_score")
-    dated = typed.withColumns(
+    dated = typed.withColumn("match_date", parse_date(F.col("match_date_raw")))
+    return arrange(dated.withColumn("season", F.year("match_date"))).withColumns(
         {
-            "match_date": parse_date(F.col("match_date_raw")),
             "match_datetime": parse_timestamp(F.col("match_date_raw"), F.col("match_time")),
-        }
-    )
-    return dated.withColumns(
-        {
-            "season": F.year("match_date"),
             "total_goals": F.try_add(home, away),
             "is_draw": home == away,
             "home_result": result_or_draw(home, away),
@@ -143,17 +147,20 @@ def silver_matches(raw: DataFrame) -> DataFrame:
     ).select(*MATCHES_COLUMNS)
 
 
-def _with_minutes(events: DataFrame) -> DataFrame:
-    minute = parse_minute(F.col("minute_text"))
-    parsed = events.withColumns(
-        {
-            "minute_raw": minute.raw,
-            "minute_base": minute.base,
-            "stoppage_minute": minute.stoppage,
-            "minute": minute.exact,
-        }
+def _with_raw_minute(events: DataFrame) -> DataFrame:
+    return events.withColumn("minute_raw", parse_minute(F.col("minute_text")).raw).drop("minute_text")
+
+
+def _with_parsed_minute(events: DataFrame) -> DataFrame:
+    """What ``minute_raw`` says; it may be read again, so that the numbers need not be shuffled."""
+    minute = parse_minute(F.col("minute_raw"))
+    return events.withColumns(
+        {"minute_base": minute.base, "stoppage_minute": minute.stoppage, "minute": minute.exact}
     )
-    return parsed.drop("minute_text")
+
+
+def _with_minutes(events: DataFrame) -> DataFrame:
+    return _with_parsed_minute(_with_raw_minute(events))
 
 
 def _with_match(events: DataFrame, matches: DataFrame, columns: tuple[str, ...], side: str) -> DataFrame:
@@ -165,51 +172,59 @@ def _with_match(events: DataFrame, matches: DataFrame, columns: tuple[str, ...],
     return joined.withColumn(side, is_home_side(F.col("team"), F.col("home_team"), F.col("away_team")))
 
 
+def _with_side(events: DataFrame, matches: DataFrame, side: str) -> DataFrame:
+    """Events with the season and date of their match; of its teams only which of the two the event's is."""
+    return _with_match(events, matches, EVENT_MATCH_COLUMNS, side).drop("home_team", "away_team")
+
+
 def measure_goals(raw: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> HotBuckets:
     """Match keys under which too many goals gather for one task; only the key column is used."""
     return measure_hot_buckets(project(raw, [layouts.MATCH_KEY]), ["match_id"], rows_per_task)
 
 
-def _typed_goals(raw: DataFrame) -> DataFrame:
-    return _with_minutes(project(raw, layouts.GOALS))
-
-
-def _with_goal_columns(goals: DataFrame, matches: DataFrame) -> DataFrame:
-    joined = _with_match(goals, matches, EVENT_MATCH_COLUMNS, "is_home_team_goal")
-    return joined.withColumn("minute_bucket", minute_bucket(F.col("minute")))
-
-
 def goals_without_ids(raw: DataFrame, matches: DataFrame) -> DataFrame:
     """The goals without ``goal_id``, for work that needs none: nothing is numbered or distributed by match."""
-    goals = _with_goal_columns(_typed_goals(raw), matches)
-    return goals.select(*[column for column in GOALS_COLUMNS if column != "goal_id"])
+    goals = _with_side(_with_minutes(project(raw, layouts.GOALS)), matches, "is_home_team_goal")
+    bucketed = goals.withColumn("minute_bucket", minute_bucket(F.col("minute")))
+    return bucketed.select(*[column for column in GOALS_COLUMNS if column != "goal_id"])
 
 
 def silver_goals(
-    raw: DataFrame, matches: DataFrame, hot: HotBuckets | None = None, rows_per_task: int = ROWS_PER_TASK
+    raw: DataFrame,
+    matches: DataFrame,
+    hot: HotBuckets | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+    arrange: Arrange = as_they_come,
 ) -> DataFrame:
     """One row per goal.
 
     The goals are distributed once, by match key: numbering and the join to matches share that shuffle.
     """
     hot = measure_goals(raw, rows_per_task) if hot is None else hot
+    typed = _with_raw_minute(project(raw, layouts.GOALS))
     numbered = number_occurrences(
-        _typed_goals(raw), GOAL_IDENTITY, ["source_file"], "occurrence", hot, rows_per_task
+        typed, GOAL_IDENTITY, ["source_file"], "occurrence", hot, rows_per_task, derive=_with_parsed_minute
     )
-    parts = [_with_goal_columns(part, matches) for part in numbered]
+    parts = [_with_side(part, matches, "is_home_team_goal") for part in numbered]
+    arranged = arrange(reduce(DataFrame.unionByName, parts).drop("minute_base", "stoppage_minute", "minute"))
     return (
-        reduce(DataFrame.unionByName, parts)
-        .withColumn("goal_id", digest_id(*map(F.col, [*GOAL_IDENTITY, "occurrence"])))
+        _with_parsed_minute(arranged)
+        .withColumns(
+            {
+                "minute_bucket": minute_bucket(F.col("minute")),
+                "goal_id": digest_id(*map(F.col, [*GOAL_IDENTITY, "occurrence"])),
+            }
+        )
         .select(*GOALS_COLUMNS)
     )
 
 
-def silver_cards(raw: DataFrame, matches: DataFrame) -> DataFrame:
+def silver_cards(raw: DataFrame, matches: DataFrame, arrange: Arrange = as_they_come) -> DataFrame:
     """One row per card. Identical cards share an identifier."""
-    cards = _with_minutes(project(raw, layouts.CARDS))
+    cards = arrange(_with_side(project(raw, layouts.CARDS), matches, "is_home_team_card"))
     identity = ("match_id", "team", "player", "shirt_number", "position", "minute", "card_type")
     return (
-        _with_match(cards, matches, EVENT_MATCH_COLUMNS, "is_home_team_card")
+        _with_minutes(cards)
         .withColumns(
             {
                 "minute_bucket": minute_bucket(F.col("minute")),
@@ -221,7 +236,7 @@ def silver_cards(raw: DataFrame, matches: DataFrame) -> DataFrame:
     )
 
 
-def silver_match_statistics(raw: DataFrame, matches: DataFrame) -> DataFrame:
+def silver_match_statistics(raw: DataFrame, matches: DataFrame, arrange: Arrange = as_they_come) -> DataFrame:
     """One row per match and team, seen from that team."""
     stats = _with_match(
         project(raw, layouts.MATCH_STATISTICS), matches, STATISTICS_MATCH_COLUMNS, "is_home_team"
@@ -234,7 +249,7 @@ def silver_match_statistics(raw: DataFrame, matches: DataFrame) -> DataFrame:
             "goals_conceded": by_side(at_home, F.col("away_score"), F.col("home_score")),
         }
     )
-    return seen.withColumns(
+    return arrange(seen.drop("home_team", "away_team", "home_score", "away_score")).withColumns(
         {
             "match_result": known_result(F.col("goals_scored"), F.col("goals_conceded")),
             "shot_accuracy": ratio(F.col("shots_on_target"), F.col("shots")),
