@@ -32,8 +32,8 @@ from touchline.session import sized_shuffles, tuned_session
 from touchline.sources.bronze import latest_load, read_bronze
 from touchline.sources.check_counts import SeasonCounts
 from touchline.sources.lake import Lake
-from touchline.sources.storage import child_directories, delete_path, path_bytes, path_exists, staging_path
-from touchline.sources.tables import changed_seasons, read_table, write_quarantine, write_seasons, write_table
+from touchline.sources.storage import child_directories, delete_path, move_path, path_bytes, path_exists, staging_path
+from touchline.sources.tables import changed_seasons, gathered, read_table, write_quarantine, write_seasons, write_table
 
 SAMPLE_LIMIT = 20
 
@@ -56,13 +56,30 @@ def _metrics(frame: DataFrame, distinct: Mapping[str, str]) -> dict[str, int]:
 
 
 @contextmanager
-def _staged(spark: SparkSession, lake: Lake, name: str, frame: DataFrame) -> Iterator[DataFrame]:
-    """An intermediate table of this run, deleted at the end."""
-    path = staging_path(spark, lake.root, uuid.uuid4().hex, name)
+def _staged(
+    spark: SparkSession, lake: Lake, name: str, transform: Callable[[silver.Arrange], DataFrame], joins: bool
+) -> Iterator[tuple[str, DataFrame]]:
+    """An intermediate table of this run and its path; what has not been moved by then is deleted at the end.
+
+    ``transform`` is given what gathers rows by season. Where it joins them before, they are first stored as they are, in
+    compressed columns, so that the shuffle of the join is off the disks when that of the gathering is on them.
+    """
+    run = uuid.uuid4().hex
+    path, rows_path = staging_path(spark, lake.root, run, name), staging_path(spark, lake.root, run, f"{name}_rows")
+
+    def arrange(rows: DataFrame) -> DataFrame:
+        if not joins:
+            return gathered(rows)
+        write_table(rows, rows_path, ())
+        return gathered(read_table(spark, rows_path, schema=rows.schema))
+
     try:
-        write_table(frame, path, gather=True)
-        yield read_table(spark, path, schema=frame.schema)
+        frame = transform(arrange)
+        write_table(frame, path)
+        delete_path(spark, rows_path)
+        yield path, read_table(spark, path, schema=frame.schema)
     finally:
+        delete_path(spark, rows_path)
         delete_path(spark, path)
 
 
@@ -92,25 +109,35 @@ def _finish(
     distinct: Mapping[str, str],
     publish_first: bool = False,
     incremental: bool = False,
+    staged_at: str | None = None,
 ) -> StepResult:
-    """Check and publish, in the order asked for, then measure what was published."""
+    """Check and publish, in the order asked for, then measure what was published.
+
+    A table staged at a path is moved to its place if nothing reads it there afterwards.
+    """
     today = datetime.now(timezone.utc).date().isoformat()
     before = 1 if publish_first else len(planned)
     counting: Counting = positioned_counts
     if incremental:
         counting = SeasonCounts(spark, lake.counts_of_checks(dataset), gold.LINEAGE_COLUMNS)
     reports = _check(table, lake, dataset, planned[:before], today, counting)
-    seasons = _publish(spark, table, path, incremental)
+    seasons = _publish(spark, table, path, incremental, None if planned[before:] else staged_at)
     if planned[before:]:
         reports += _check(table, lake, dataset, planned[before:], today, counting)
     published = read_table(spark, path, schema=table.schema)
     return StepResult(path, _metrics(published, distinct), tuple(reports), seasons)
 
 
-def _publish(spark: SparkSession, table: DataFrame, path: str, incremental: bool) -> tuple[int | None, ...] | None:
-    """Write the table; an incremental run writes only the seasons whose rows have changed, apart from their lineage."""
+def _publish(
+    spark: SparkSession, table: DataFrame, path: str, incremental: bool, movable: str | None = None
+) -> tuple[int | None, ...] | None:
+    """Write the table; an incremental run writes only the seasons whose rows have changed, apart from their lineage.
+
+    A whole table that lies at ``movable`` becomes the published one as it is; it is copied only to another store.
+    """
     if not incremental:
-        write_table(table, path)
+        if movable is None or not move_path(spark, movable, path):
+            write_table(table, path)
         return None
     changed, gone = changed_seasons(spark, table, path, gold.LINEAGE_COLUMNS)
     write_seasons(spark, table, path, changed, gone)
@@ -129,21 +156,25 @@ def _build_silver(
     lake: Lake,
     source: str,
     load_date: str | None,
-    transform: Callable[[DataFrame], DataFrame],
+    transform: Callable[[DataFrame, silver.Arrange], DataFrame],
     suites_of: Callable[[DataFrame], Sequence[Suite]],
     distinct: Mapping[str, str],
     publish_first: bool = False,
     incremental: bool = False,
+    joins: bool = True,
 ) -> StepResult:
-    """Compute a cleaned table once, check it, publish it."""
+    """Compute a cleaned table once, check it, publish it.
+
+    ``transform`` gathers rows by season where they are narrowest, before it derives the other columns.
+    """
     chosen = latest_load(spark, lake, source, load_date)
     dataset = f"silver_{source}"
     with tuned_session(spark), sized_shuffles(spark, path_bytes(spark, lake.raw_load(source, chosen))):
         raw = read_bronze(spark, lake, source, chosen)
-        with _staged(spark, lake, dataset, transform(raw)) as staged:
+        with _staged(spark, lake, dataset, lambda arrange: transform(raw, arrange), joins) as (place, staged):
             path = lake.silver_table(source)
             planned = suites_of(staged)
-            return _finish(spark, lake, dataset, path, staged, planned, distinct, publish_first, incremental)
+            return _finish(spark, lake, dataset, path, staged, planned, distinct, publish_first, incremental, place)
 
 
 def build_silver_matches(
@@ -161,7 +192,7 @@ def build_silver_matches(
 
     seasons = {"distinct_seasons": "season"}
     return _build_silver(
-        spark, lake, "matches", load_date, silver.silver_matches, planned, seasons, publish_first, incremental
+        spark, lake, "matches", load_date, silver.silver_matches, planned, seasons, publish_first, incremental, joins=False
     )
 
 
@@ -174,8 +205,8 @@ def build_silver_goals(
     def planned(goals: DataFrame) -> list[Suite]:
         return [Suite("silver.goals", suites.silver_goals(goals, matches), gate=False)]
 
-    def transform(raw: DataFrame) -> DataFrame:
-        return silver.silver_goals(raw, matches)
+    def transform(raw: DataFrame, arrange: silver.Arrange) -> DataFrame:
+        return silver.silver_goals(raw, matches, arrange=arrange)
 
     distinct = _MATCHES_AND_SEASONS
     return _build_silver(spark, lake, "goals", load_date, transform, planned, distinct, incremental=incremental)
@@ -190,8 +221,8 @@ def build_silver_cards(
     def planned(_: DataFrame) -> list[Suite]:
         return [Suite("silver.cards", suites.silver_cards(), gate=False)]
 
-    def transform(raw: DataFrame) -> DataFrame:
-        return silver.silver_cards(raw, matches)
+    def transform(raw: DataFrame, arrange: silver.Arrange) -> DataFrame:
+        return silver.silver_cards(raw, matches, arrange)
 
     distinct = _MATCHES_AND_SEASONS
     return _build_silver(spark, lake, "cards", load_date, transform, planned, distinct, incremental=incremental)
@@ -205,8 +236,8 @@ def build_silver_match_statistics(
     def planned(_: DataFrame) -> list[Suite]:
         return [Suite("silver.match_statistics", suites.silver_match_statistics())]
 
-    def transform(raw: DataFrame) -> DataFrame:
-        return silver.silver_match_statistics(raw, matches)
+    def transform(raw: DataFrame, arrange: silver.Arrange) -> DataFrame:
+        return silver.silver_match_statistics(raw, matches, arrange)
 
     return _build_silver(
         spark, lake, "match_statistics", load_date, transform, planned, _MATCHES_AND_SEASONS, incremental=incremental
