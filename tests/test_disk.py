@@ -1,6 +1,7 @@
 """What a run leaves on the disks, and what it holds there at once."""
 
 import time
+from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from touchline.plans import pipeline, silver
 from touchline.session import swept_session
+from touchline.sources.bronze import load_dates, read_bronze
+from touchline.sources.lake import Lake
 from touchline.operators.quality import QualityError
 from touchline.sources.tables import gathered, read_table, write_table
 
@@ -103,3 +106,17 @@ def test_identifiers_take_half_their_text(spark, tmp_path):
     rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("card_id"), F.lit(2020).alias("season"))
     write_table(rows.coalesce(1), path)
     assert sum(file.stat().st_size for file in files_below(path)) < 20_000 * 45
+
+
+def test_files_of_two_landings_go_and_both_loads_stay(spark, tmp_path):
+    """Before, the second landing found the files of the first still there."""
+    lake = Lake(str(tmp_path / "lake"))
+    rows = spark.createDataFrame([("1", "a", "x", "2020"), (None, " b", "x", "2020")], "ID string, t string, _source_file string, _load_date string")
+    for day in (2, 3):
+        inbox = str(tmp_path / f"inbox-{day}")
+        entry._land_rows(spark, lake, "matches", rows, inbox, datetime(2024, 1, day, tzinfo=timezone.utc))
+        assert not Path(inbox).exists()
+        assert sorted(values(read_bronze(spark, lake, "matches"), "ID", "t", "_load_date"), key=str) == sorted(
+            [("1", "a", f"2024-01-0{day}"), (None, " b", f"2024-01-0{day}")], key=str
+        )
+    assert load_dates(spark, lake, "matches") == ["2024-01-02", "2024-01-03"]
